@@ -34,13 +34,19 @@ def fit_state(
 ) -> list[Row]:
     """State rows; fences come from the filled values, mean and std from the clipped ones."""
     columns = list(columns)
-    centres = fit_centres(train, columns, strategy)
-    filled = train.select(*[F.coalesce(F.col(c), F.lit(centres.get(c))).cast("double").alias(c) for c in columns])
-    fences = {r["feature"]: (r["lower"], r["upper"]) for r in iqr_fences(filled, columns, multiplier).collect()}
-    clipped = filled.select(
-        *[F.greatest(F.least(F.col(c), F.lit(fences[c][1])), F.lit(fences[c][0])).alias(c) for c in columns]
-    )
-    moments = clipped.agg(*[f(c).alias(f"{c}__{n}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    # Read several times below: kept in memory, on disk where it does not fit.
+    rows = train.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist()
+    try:
+        centres = fit_centres(rows, columns, strategy)
+        filled = rows.select(*[F.coalesce(F.col(c), F.lit(centres.get(c))).cast("double").alias(c) for c in columns])
+        fences = {r["feature"]: (r["lower"], r["upper"]) for r in iqr_fences(filled, columns, multiplier).collect()}
+        clipped = filled.select(
+            *[F.greatest(F.least(F.col(c), F.lit(fences[c][1])), F.lit(fences[c][0])).alias(c) for c in columns]
+        )
+        wanted = [f(c).alias(f"{c}__{n}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+        moments = clipped.agg(*wanted).first()
+    finally:
+        rows.unpersist()
     return [
         Row(feature=c, centre=centres[c], lower=fences[c][0], upper=fences[c][1], mean=moments[f"{c}__m"], std=moments[f"{c}__s"])
         for c in columns

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from loomcast.operators.chunks import null_safe_join
 
 ACCURACY = 100_000
-MARGIN = 4 / ACCURACY
 
 
 def exact_quantiles(
@@ -39,6 +38,8 @@ def exact_quantiles(
         marked = null_safe_join(data, sketches, by)
     else:
         state = sketches.first()
+        if max(state[f"{c}__n"] for c in columns) <= accuracy // 2:
+            return _small_quantiles(data, columns, probabilities)
         marked = data.select(
             "*",
             *[F.lit(state[f"{c}__b"]).cast("array<double>").alias(f"{c}__b") for c in columns],
@@ -111,6 +112,17 @@ def exact_quantiles(
     )
 
 
+def _small_quantiles(data: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """One aggregate for columns known to hold few values (at most half the sketch accuracy)."""
+    wide = data.agg(*[f.alias(f"{c}__{n}") for c in columns for n, f in (("q", F.percentile(c, list(probabilities))), ("n", F.count(c)))])
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.lit(float(p)).alias("p"), F.col(f"{c}__n").alias("n"), F.get(f"{c}__q", F.lit(i)).alias("value"))
+        for c in columns
+        for i, p in enumerate(probabilities)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def quantiles_wide(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """One row per ``(by..., feature)`` with ``q0, q1, ...`` in the order of ``probabilities``."""
     long = exact_quantiles(df, columns, probabilities, by)

@@ -32,16 +32,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def rounded(column: str | Column, digits: int = 6) -> Column:
-    """Rounded value under the same name: float sums depend on their order in the last digits."""
+# Exact ties such as 0.0000005 round up in one engine and down in another; a fixed offset far
+# below the last digit shown takes them off the edge on both sides.
+OFF_EDGE = 0.37e-3
+
+
+def rnd(column: str | Column, digits: int = 6) -> Column:
+    """Rounded value: float sums depend on their order in the last digits."""
     value = F.col(column) if isinstance(column, str) else column
-    out = F.round(value, digits)
-    return out.alias(column) if isinstance(column, str) else out
+    return F.round(value + F.lit(OFF_EDGE * 10.0**-digits), digits)
+
+
+def rounded(column: str, digits: int = 6) -> Column:
+    """``rnd`` of a column under its own name."""
+    return rnd(column, digits).alias(column)
 
 
 def r(expression: str, digits: int = 6) -> str:
-    """SQL twin of ``rounded``; adding 0.0 turns a negative zero into zero."""
-    return f"(round({expression}, {digits}) + 0.0)"
+    """SQL twin of ``rnd``; adding 0.0 turns a negative zero into zero."""
+    return f"(round({expression} + {OFF_EDGE * 10.0**-digits!r}::DOUBLE, {digits}) + 0.0)"
 
 
 def rr(names: str, digits: int = 6) -> str:

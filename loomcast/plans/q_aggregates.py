@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators import correlate, filters, metrics, quantiles
 from loomcast.operators.chunks import DAILY
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL,
     daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs,
@@ -60,7 +60,7 @@ UNION ALL SELECT 'precip', {r('median(precip)')}, {r('avg(precip)')}, (SELECT ic
 def centres(spark, folder):
     """Median, mean and most frequent value of the training rows."""
     train = daily_splits(spark, folder).where("split = 'train'").select("humidity", "precip", "icon").persist()
-    medians = quantiles.quantiles_wide(train, ["humidity", "precip"], (0.5,)).select("feature", F.round("q0", 6).alias("median_value"))
+    medians = quantiles.quantiles_wide(train, ["humidity", "precip"], (0.5,)).select("feature", rnd("q0", 6).alias("median_value"))
     means = train.agg(F.avg("humidity").alias("humidity"), F.avg("precip").alias("precip")).unpivot(
         [], ["humidity", "precip"], "feature", "mean_value"
     )
@@ -81,8 +81,8 @@ def moments(spark, folder):
     rows = [
         F.struct(
             F.lit(c).alias("feature"),
-            F.round(f"{c}_m", 6).alias("mean"),
-            F.round(F.when(F.col(f"{c}_s") == 0, 1.0).otherwise(F.col(f"{c}_s")), 6).alias("std"),
+            rnd(f"{c}_m", 6).alias("mean"),
+            rnd(F.when(F.col(f"{c}_s") == 0, 1.0).otherwise(F.col(f"{c}_s")), 6).alias("std"),
         )
         for c in ("humidity", "fixed")
     ]
@@ -99,7 +99,7 @@ CORRELATED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenum
 def correlation(spark, folder):
     features = [c for c in CORRELATED if c != "l_extendedprice"]
     out = correlate.correlation_with(table(spark, folder, "lineitem"), features, "l_extendedprice")
-    return out.select("feature", F.round(F.abs("correlation"), 6).alias("correlation"))
+    return out.select("feature", rnd(F.abs("correlation"), 6).alias("correlation"))
 
 
 @query(
@@ -207,7 +207,7 @@ def daily_values(panel):
 )
 def daily_from_hourly(spark, folder):
     out = daily_values(hourly_panel(spark, folder))
-    return out.withColumns({c: F.round(c, 6) for c in out.columns if c not in ("series_id", "ts", "precip")})
+    return out.withColumns({c: rnd(c, 6) for c in out.columns if c not in ("series_id", "ts", "precip")})
 
 
 @query(

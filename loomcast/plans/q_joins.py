@@ -11,7 +11,7 @@ from loomcast.operators.chunks import DAILY, HOURLY
 from loomcast.operators.decompose import decompose
 from loomcast.operators.metrics import forecast_metrics, winners
 from loomcast.operators.windows import add_lags, add_targets
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL,
     daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs,
@@ -103,7 +103,7 @@ def apply_state(spark, folder):
     rows = daily_splits(spark, folder).select("series_id", "ts", "split", "humidity")
     (fitted,) = state.fit_state(rows.where("split = 'train'"), ["humidity"])
     clipped = impute_and_clip(F.col("humidity"), F.lit(fitted.centre), F.lit(fitted.lower), F.lit(fitted.upper))
-    return rows.withColumn("humidity", F.round(clipped, 6))
+    return rows.withColumn("humidity", rnd(clipped, 6))
 
 
 @query(

@@ -10,7 +10,7 @@ from loomcast.operators.metrics import average_metrics, forecast_metrics, winner
 from loomcast.operators.ranking import overlap
 from loomcast.operators.topk import first_rows
 from loomcast.operators.windows import add_lags, add_targets
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
     daily_panel, daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
@@ -43,8 +43,8 @@ SMALL = {h: models.ModelConfig("GradientBoosting", {"maxIter": 5, "maxDepth": 3}
 
 @query(
     "ud01_iqr_clipper",
-    """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01')
-SELECT l_orderkey, l_linenumber, round(greatest(least(l_extendedprice, q3 + 0.25 * (q3 - q1)), q1 - 0.25 * (q3 - q1)), 4) AS l_extendedprice FROM lineitem, q""",
+    f"""WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01')
+SELECT l_orderkey, l_linenumber, {r('greatest(least(l_extendedprice, q3 + 0.25 * (q3 - q1)), q1 - 0.25 * (q3 - q1))', 4)} AS l_extendedprice FROM lineitem, q""",
 )
 def iqr_clipper(spark, folder):
     """Estimator fitted on the early rows; tight fences, so that something is clipped."""
@@ -205,7 +205,7 @@ def model_inventory(spark, folder):
     training = pairs.where("split IN ('train', 'dev')").groupBy("horizon").agg(F.count("y").alias("n_samples"))
     metrics = forecast_metrics(pairs.where("split = 'test'")).select(kind, "horizon", "mae", "rmse", "mape", "r2")
     out = registry.inventory(
-        best.select(kind, "horizon", "model", "params", F.round("rmse", 6).alias("tuned_rmse")), training.select(kind, "*"), metrics, "hourly"
+        best.select(kind, "horizon", "model", "params", rnd("rmse", 6).alias("tuned_rmse")), training.select(kind, "*"), metrics, "hourly"
     )
     return out.select("kind", "horizon", "model", "params", "tuned_rmse", "n_samples", "mae", "rmse")
 
@@ -239,5 +239,5 @@ def evaluation_points(spark, folder):
     pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS).where("split = 'test' AND y IS NOT NULL")
     kept = first_rows(pairs, ["series_id", "horizon"], ["ts"], 200)
     return kept.select(
-        "series_id", "horizon", "ts", rounded("y"), rounded("yhat"), F.round(F.abs(F.col("y") - F.col("yhat")), 6).alias("error")
+        "series_id", "horizon", "ts", rounded("y"), rounded("yhat"), rnd(F.abs(F.col("y") - F.col("yhat")), 6).alias("error")
     )

@@ -10,7 +10,7 @@ from loomcast.operators import filters, split
 from loomcast.operators.chunks import HOURLY
 from loomcast.operators.dedup import merge_history_and_forecast
 from loomcast.operators.windows import add_lags, add_targets
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import DAILY_SQL, HOURLY_SQL, daily_panel, daily_splits, hourly_panel, placed_sql
 from loomcast.sources.readers import table
 from loomcast.spec import LEAKAGE_COLUMNS, project_to_contract, hourly_spec, build_features
@@ -25,7 +25,7 @@ def drop_leakage(spark, folder):
     """Names that are absent from the panel are ignored."""
     kept = daily_panel(spark, folder).drop(*LEAKAGE_COLUMNS)
     return kept.withColumns(
-        {**{c: F.round(c, 6) for c in ("temp", "humidity", "windspeed", "cloudcover", "dew")}, "sealevelpressure": F.round("sealevelpressure", 4)}
+        {**{c: rnd(c, 6) for c in ("temp", "humidity", "windspeed", "cloudcover", "dew")}, "sealevelpressure": rnd("sealevelpressure", 4)}
     )
 
 
@@ -39,7 +39,7 @@ def drop_encoded(spark, folder):
 
     sine, cosine = direction_vector(F.col("winddir"))
     panel = hourly_panel(spark, folder).select("series_id", "ts", "winddir")
-    return panel.withColumns({"winddir_sin": F.round(sine, 6), "winddir_cos": F.round(cosine, 6)}).drop("winddir")
+    return panel.withColumns({"winddir_sin": rnd(sine, 6), "winddir_cos": rnd(cosine, 6)}).drop("winddir")
 
 
 CONTRACT = ("temp_lag1h", "precip_roll_mean_6h", "windspeed_sq", "is_night")
@@ -57,7 +57,7 @@ def contract_projection(spark, folder):
     """The model's features in the model's order out of the full hourly feature table."""
     spec = hourly_spec(HOURLY)
     out = project_to_contract(build_features(hourly_panel(spark, folder), spec), spec, CONTRACT)
-    return out.withColumns({c: F.round(c, 6) for c in CONTRACT[:3]})
+    return out.withColumns({c: rnd(c, 6) for c in CONTRACT[:3]})
 
 
 @query(

@@ -9,7 +9,7 @@ from loomcast.learning import state
 from loomcast.operators.chunks import DAILY, HOURLY
 from loomcast.operators.dedup import last_rows
 from loomcast.operators.windows import add_targets
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL, SINGLE_SQL,
     daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, single_series, target_pairs,
@@ -33,7 +33,7 @@ def cyclical(spark, folder):
     out = []
     for name, part, _, period in CYCLES:
         sine, cosine = temporal.cyclical(parts[part], period)
-        out += [F.round(sine, 6).alias(f"{name}_sin"), F.round(cosine, 6).alias(f"{name}_cos")]
+        out += [rnd(sine, 6).alias(f"{name}_sin"), rnd(cosine, 6).alias(f"{name}_cos")]
     return table(spark, folder, "events").select("event_id", *out)
 
 
@@ -44,7 +44,7 @@ def cyclical(spark, folder):
 def wind_vector(spark, folder):
     sine, cosine = temporal.direction_vector(F.col("winddir"))
     panel = daily_panel(spark, folder)
-    return panel.select("series_id", "ts", "winddir", F.round(sine, 6).alias("winddir_sin"), F.round(cosine, 6).alias("winddir_cos"))
+    return panel.select("series_id", "ts", "winddir", rnd(sine, 6).alias("winddir_sin"), rnd(cosine, 6).alias("winddir_cos"))
 
 
 @query(
@@ -87,7 +87,7 @@ def day_length(spark, folder):
         F.col("event_type").alias("series_id"), F.col("ts").cast("date").cast("timestamp_ntz").alias("day")
     ).agg(F.date_format(F.min("ts"), "HH:mm:ss").alias("sunrise"), F.date_format(F.max("ts"), "HH:mm:ss").alias("sunset"))
     readable = days.withColumn("sunset", F.when(F.col("series_id") == "error", "n/a").otherwise(F.col("sunset")))
-    return readable.select("series_id", F.col("day").alias("ts"), F.round(temporal.day_length_hours(F.col("sunrise"), F.col("sunset")), 6).alias("day_length_h"))
+    return readable.select("series_id", F.col("day").alias("ts"), rnd(temporal.day_length_hours(F.col("sunrise"), F.col("sunset")), 6).alias("day_length_h"))
 
 
 @query(
@@ -100,7 +100,7 @@ def interactions(spark, folder):
     panel = daily_panel(spark, folder).withColumnsRenamed({"tempmax": "feelslikemax", "tempmin": "feelslikemin"})
     made = {**numeric.interactions(panel.columns), **numeric.exploratory_interactions(panel.columns)}
     digits = {"pressure_humidity": 4}
-    return panel.select("series_id", "ts", *[F.round(c, digits.get(n, 6)).alias(n) for n, c in made.items()])
+    return panel.select("series_id", "ts", *[rnd(c, digits.get(n, 6)).alias(n) for n, c in made.items()])
 
 
 def _impute_case(column: str) -> str:
@@ -120,7 +120,7 @@ def impute_and_clip(spark, folder):
     rows = panel.select("series_id", "ts", F.when(F.col("precip") > 1, F.col("temp")).alias("temp"))
     (s,) = state.fit_state(rows, ["temp"], strategy="mean")
     clipped = numeric.impute_and_clip(F.col("temp"), F.lit(s.centre), F.lit(s.lower), F.lit(s.upper))
-    return rows.withColumn("temp", F.round(clipped, 6))
+    return rows.withColumn("temp", rnd(clipped, 6))
 
 
 @query(
@@ -291,7 +291,7 @@ def horizon_from_name(spark, folder):
     wide = add_targets(daily_panel(spark, folder), DAILY, "temp", DAILY_HORIZONS)
     names = [c for c in wide.columns if c.startswith("target_")]
     long = wide.select("series_id", "ts", *[F.col(f"`{c}`") for c in names]).unpivot(["series_id", "ts"], [F.col(f"`{c}`") for c in names], "name", "y")
-    return long.groupBy(horizon_of("name")).agg(F.count("y").alias("n"), F.round(F.avg("y"), 6).alias("mean"))
+    return long.groupBy(horizon_of("name")).agg(F.count("y").alias("n"), rnd(F.avg("y"), 6).alias("mean"))
 
 
 def horizon_of(column: str):
@@ -308,7 +308,7 @@ def long_and_wide(spark, folder):
     pairs = [F.struct(F.lit(h).alias("horizon"), F.col(f"`target_temp_t+{h}`").alias("y")) for h in DAILY_HORIZONS]
     long = wide.select("series_id", "ts", F.inline(F.array(*pairs)))
     back = long.groupBy("series_id", "ts").pivot("horizon", list(DAILY_HORIZONS)).agg(F.max("y"))
-    return back.select("series_id", "ts", *[F.round(f"`{h}`", 6).alias(f"h{h}") for h in DAILY_HORIZONS])
+    return back.select("series_id", "ts", *[rnd(f"`{h}`", 6).alias(f"h{h}") for h in DAILY_HORIZONS])
 
 
 @query(
@@ -341,7 +341,7 @@ def diurnal_curve(spark, folder):
     return hours.select(
         "series_id",
         F.timestamp_add("HOUR", F.col("hour"), F.col("ts")).alias("ts"),
-        F.round(numeric.diurnal_curve(F.col("tempmin"), F.col("tempmax"), F.col("hour")), 6).alias("temp"),
+        rnd(numeric.diurnal_curve(F.col("tempmin"), F.col("tempmax"), F.col("hour")), 6).alias("temp"),
     )
 
 
@@ -353,5 +353,5 @@ def first_present(spark, folder):
     history, forecast = history_and_forecast(spark, folder)
     both = history.unionByName(forecast, allowMissingColumns=True)
     return both.select(
-        "series_id", "ts", "is_forecast", F.round(F.coalesce("precip", "temp", F.lit(0.0)), 6).alias("gust"), F.nvl(F.col("precip"), F.lit(0.0)).alias("dew")
+        "series_id", "ts", "is_forecast", rnd(F.coalesce("precip", "temp", F.lit(0.0)), 6).alias("gust"), F.nvl(F.col("precip"), F.lit(0.0)).alias("dew")
     )

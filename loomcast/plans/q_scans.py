@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomcast.operators.chunks import DAILY, HOURLY
 from loomcast.operators.metrics import forecast_metrics
 from loomcast.operators.windows import add_lags, add_targets
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
     daily_panel, daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
@@ -31,7 +31,7 @@ def csv_scan(spark, folder):
     path = scratch_path(spark, "csv")
     panel = hourly_panel(spark, folder)
     names = [f.name for f in schemas.HOURLY_OBSERVATIONS.fields]
-    given = {"name": F.col("series_id"), "datetime": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "temp": F.round("temp", 3), "precip": F.col("precip"), "winddir": F.col("winddir")}
+    given = {"name": F.col("series_id"), "datetime": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "temp": rnd("temp", 3), "precip": F.col("precip"), "winddir": F.col("winddir")}
     panel.select(*[given.get(n, F.lit(None).cast("string")).alias(n) for n in names]).write.option("header", True).csv(path)
     read = readers.read_observations(spark, path, schemas.HOURLY_OBSERVATIONS)
     return read.select("series_id", "ts", "temp", "precip", "winddir")
@@ -81,7 +81,7 @@ def nested_json_scan(spark, folder):
     base = scratch_path(spark, "metrics")
     writers.write_metrics(_hourly_metrics(spark, folder), f"{base}/json", f"{base}/table")
     rows = readers.read_metrics_json(spark, f"{base}/json")
-    return rows.select("target", "hour", *[F.round(c, 6).alias(c.lower()) for c in ("MAE", "RMSE", "MAPE", "R2")])
+    return rows.select("target", "hour", *[rnd(c, 6).alias(c.lower()) for c in ("MAE", "RMSE", "MAPE", "R2")])
 
 
 @query(
@@ -94,7 +94,7 @@ def metrics_csv_scan(spark, folder):
     pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS)
     writers.write_metrics_csv(forecast_metrics(pairs.where("split = 'test'")), path)
     rows = readers.read_metrics_csv(spark, path)
-    return rows.select("target", *[F.round(c, 6).alias(c.lower()) for c in ("MAE", "RMSE", "MAPE", "R2")], "n_samples")
+    return rows.select("target", *[rnd(c, 6).alias(c.lower()) for c in ("MAE", "RMSE", "MAPE", "R2")], "n_samples")
 
 
 @query(
@@ -106,7 +106,7 @@ def split_tables(spark, folder):
     path = scratch_path(spark, "split-tables")
     writers.write_split_tables(_long_targets(spark, folder), path, ("split", "horizon"))
     rows = spark.read.parquet(path)
-    return rows.groupBy("split", "horizon").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("y"), 4).alias("total"))
+    return rows.groupBy("split", "horizon").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("y"), 4).alias("total"))
 
 
 @query("sk02_rank_tables", f"{RANKING_SQL} SELECT feature, place, {r('mean_rank')} AS mean_rank FROM placed_rank WHERE place <= 4")
@@ -176,5 +176,5 @@ def trial_log(spark, folder):
     writers.append_rows(naive_trials(spark, folder), path)
     rows = spark.read.parquet(path)
     return rows.groupBy("model").agg(
-        F.count(F.lit(1)).alias("trials"), F.round(F.min("rmse"), 6).alias("best_rmse"), F.round(F.min("mae"), 6).alias("best_mae")
+        F.count(F.lit(1)).alias("trials"), rnd(F.min("rmse"), 6).alias("best_rmse"), rnd(F.min("mae"), 6).alias("best_mae")
     )

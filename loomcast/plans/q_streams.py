@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomcast.operators.chunks import HOURLY
-from loomcast.plans.catalog import query, r, rounded
+from loomcast.plans.catalog import query, r, rnd, rounded
 from loomcast.plans.panels import HOURLY_SQL, hourly_panel
 from loomcast.plans.q_windows import trailing_sql
 from loomcast.session import scratch_path
@@ -65,7 +65,7 @@ def next_stamp(spark, folder):
 )
 def monitoring(spark, folder):
     out = jobs.monitoring(table(spark, folder, "events"))
-    return out.withColumns({"latency_mean": F.round("latency_mean", 6), "window_start": F.col("window_start").cast("timestamp_ntz")})
+    return out.withColumns({"latency_mean": rnd("latency_mean", 6), "window_start": F.col("window_start").cast("timestamp_ntz")})
 
 
 @query(

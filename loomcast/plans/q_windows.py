@@ -11,7 +11,7 @@ from loomcast.operators.decompose import decompose
 from loomcast.operators.grid import densify
 from loomcast.operators.ranking import add_mean_rank
 from loomcast.operators.windows import add_lags, add_targets, add_trailing
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, SINGLE, SINGLE_SQL,
     daily_panel, daily_splits, hourly_panel, placed_sql, single_series,
@@ -42,7 +42,7 @@ def lag_sql(lags, suffix="", skip=()) -> str:
 @query("wn01_lag", f"WITH {HOURLY_SQL} SELECT series_id, ts, {lag_sql(HOURLY_LAGS, 'h')} FROM h")
 def lags(spark, folder):
     out = add_lags(hourly_panel(spark, folder), HOURLY, HOURLY_LAGS, "h")
-    return out.select("series_id", "ts", *[F.round(c, 4).alias(c) for c in out.columns if "_lag" in c])
+    return out.select("series_id", "ts", *[rnd(c, 4).alias(c) for c in out.columns if "_lag" in c])
 
 
 WIND_SQL = "w AS (SELECT *, sin(radians(winddir)) AS winddir_sin, cos(radians(winddir)) AS winddir_cos FROM d)"
@@ -52,7 +52,7 @@ WIND_SQL = "w AS (SELECT *, sin(radians(winddir)) AS winddir_sin, cos(radians(wi
 def daily_lags(spark, folder):
     """Nine columns, three lags each, wind as a vector."""
     out = build_features(daily_panel(spark, folder), daily_spec(DAILY))
-    return out.select("series_id", "ts", *[F.round(f"{c}_lag{k}", 4).alias(f"{c}_lag{k}") for c, ks in DAILY_LAGS.items() for k in ks])
+    return out.select("series_id", "ts", *[rnd(f"{c}_lag{k}", 4).alias(f"{c}_lag{k}") for c, ks in DAILY_LAGS.items() for k in ks])
 
 
 @query(
@@ -122,7 +122,7 @@ def lead_targets(spark, folder):
     from loomcast.operators.chunks import over_chunks
 
     def build(w):
-        leads = [F.round(F.lead("temp", h).over(w), 6).alias(f"target_{h}") for h in HOURLY_HORIZONS]
+        leads = [rnd(F.lead("temp", h).over(w), 6).alias(f"target_{h}") for h in HOURLY_HORIZONS]
         return [F.lead("ts", 24).over(w).alias("label_ts"), *leads]
 
     out = over_chunks(hourly_panel(spark, folder), HOURLY, build, ahead=24)
@@ -137,7 +137,7 @@ def lead_targets(spark, folder):
 )
 def bounded_targets(spark, folder):
     out = add_targets(daily_splits(spark, folder), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
-    return out.select("series_id", "ts", "split", *[F.round(f"`target_temp_t+{h}`", 6).alias(f"target_{h}") for h in DAILY_HORIZONS])
+    return out.select("series_id", "ts", "split", *[rnd(f"`target_temp_t+{h}`", 6).alias(f"target_{h}") for h in DAILY_HORIZONS])
 
 
 @query("wn08_chronological_split", f"WITH {HOURLY_SQL}, {placed_sql('h')} SELECT series_id, ts, pos, series_rows, split FROM splits")
@@ -265,5 +265,5 @@ def hourly_features(spark, folder):
     names = ["temp", *feature_columns(out, spec)]
     return out.select(
         "series_id", "ts",
-        *[F.col(c) if c in whole or c.startswith("is_") else F.round(c, 6 if c in ENCODED else 4).alias(c) for c in names],
+        *[F.col(c) if c in whole or c.startswith("is_") else rnd(c, 6 if c in ENCODED else 4).alias(c) for c in names],
     )
