@@ -18,6 +18,8 @@ def decompose(df: DataFrame, shape: SeriesShape, column: str = "temp", period: i
         placed, shape, lambda w: [centred_mean(w, column, period).alias("trend")], back=half, ahead=half
     ).withColumn("phase", (F.col(POSITION) % period).cast("int"))
     seasonal = phase_means(trended, key, column, period)
+    # A few rows per series; the join key keeps series and phase apart, and adaptive execution
+    # broadcasts the means or cuts a series that is too large for one task.
     joined = null_safe_join(trended, seasonal, [*key, "phase"])
     return joined.withColumn("resid", F.col(column) - F.col("trend") - F.col("seasonal"))
 

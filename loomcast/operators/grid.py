@@ -22,5 +22,6 @@ def densify(df: DataFrame, shape: SeriesShape) -> DataFrame:
     ends = df.groupBy(*key).agg(F.min(ts).alias("__a"), F.max(ts).alias("__z"))
     runs = ends.select(*key, "__z", F.explode(F.sequence("__a", "__z", run)).alias("__from"))
     stop = F.least(F.col("__from") + F.make_dt_interval(secs=F.lit(shape.step * (RUN - 1))), F.col("__z"))
-    grid = runs.select(*key, F.explode(F.sequence("__from", stop, step)).alias(ts))
+    # The runs of one long series go to many tasks before they are expanded.
+    grid = runs.repartition(*key, "__from").select(*key, F.explode(F.sequence("__from", stop, step)).alias(ts))
     return grid.join(df, [*key, ts], "left")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.operators.chunks import null_safe_join
+from loomcast.session import settled
 
 ACCURACY = 100_000
 
@@ -34,8 +35,8 @@ def exact_quantiles(
         *[F.count(c).alias(f"{c}__n") for c in columns],
     )
     if by:
-        # One row per group on the right: the optimizer may broadcast it when it is small.
-        marked = null_safe_join(data, sketches, by)
+        # One row per group, written out so that the plan knows how small it is.
+        marked = null_safe_join(data, settled(sketches, "sketches"), by)
     else:
         state = sketches.first()
         if max(state[f"{c}__n"] for c in columns) <= accuracy // 2:

@@ -35,6 +35,6 @@ def rows_from(df: DataFrame, key: Sequence[str], ts: str, start: str, n: int) ->
     return first_rows(df.where(F.col(ts) >= F.lit(start).cast("timestamp_ntz")), key, [F.col(ts)], n)
 
 
-def time_ordered_layout(df: DataFrame, ts: str, files: int) -> DataFrame:
+def time_ordered_layout(df: DataFrame, ts: str) -> DataFrame:
     """Range partitions, sorted inside: the layout of a table written in time order."""
-    return df.repartitionByRange(files, ts).sortWithinPartitions(ts)
+    return df.repartitionByRange(ts).sortWithinPartitions(ts)

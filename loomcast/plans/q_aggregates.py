@@ -13,6 +13,7 @@ from loomcast.plans.panels import (
 )
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import TRIALS_SQL, naive_trials
+from loomcast.session import settled
 from loomcast.sources.readers import table
 
 QUANTITIES = ("l_quantity", "l_extendedprice", "l_discount")
@@ -59,7 +60,7 @@ UNION ALL SELECT 'precip', {r('median(precip)')}, {r('avg(precip)')}, (SELECT ic
 )
 def centres(spark, folder):
     """Median, mean and most frequent value of the training rows."""
-    train = daily_splits(spark, folder).where("split = 'train'").select("humidity", "precip", "icon").persist()
+    train = settled(daily_splits(spark, folder).where("split = 'train'").select("humidity", "precip", "icon"), "centres")
     medians = quantiles.quantiles_wide(train, ["humidity", "precip"], (0.5,)).select("feature", rnd("q0", 6).alias("median_value"))
     means = train.agg(F.avg("humidity").alias("humidity"), F.avg("precip").alias("precip")).unpivot(
         [], ["humidity", "precip"], "feature", "mean_value"

@@ -17,6 +17,7 @@ from loomcast.plans.panels import (
     daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs,
 )
 from loomcast.plans.q_scores import RANK_SCORES, SCORES_SQL, TRIALS_SQL, feature_scores, naive_trials
+from loomcast.session import settled
 from loomcast.sources.readers import table
 
 
@@ -27,7 +28,7 @@ FROM d WINDOW w AS (PARTITION BY series_id ORDER BY ts)""",
 )
 def features_with_targets(spark, folder):
     """Two tables paired by series and time rather than by row order."""
-    panel = daily_panel(spark, folder).select("series_id", "ts", "temp")
+    panel = settled(daily_panel(spark, folder).select("series_id", "ts", "temp"), "daily")
     x = add_lags(panel, DAILY, {"temp": (1,)}).select("series_id", "ts", "temp_lag1")
     y = add_targets(panel, DAILY, "temp", (1,)).select("series_id", "ts", F.col("`target_temp_t+1`").alias("y"))
     return x.join(y, ["series_id", "ts"]).select("series_id", "ts", rounded("temp_lag1"), rounded("y"))
@@ -64,7 +65,7 @@ FROM (SELECT DISTINCT horizon FROM trials) g LEFT JOIN best b USING (horizon) CR
 )
 def tuned_configuration(spark, folder):
     """Horizons above 12 have no result of their own and take the one of the middle horizon."""
-    trials = naive_trials(spark, folder).persist()
+    trials = settled(naive_trials(spark, folder), "trials")
     own = winners(trials.where("horizon <= 12"))
     first = winners(trials.where("horizon = 12"))
     return registry.resolve_configs(trials.select("horizon").distinct(), own, first, "Persistence")
@@ -100,7 +101,7 @@ q AS (SELECT quantile_cont(humidity, 0.25) AS q1, quantile_cont(humidity, 0.75)
 )
 def apply_state(spark, folder):
     """State fitted on the training rows, applied to every split."""
-    rows = daily_splits(spark, folder).select("series_id", "ts", "split", "humidity")
+    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "split", "humidity"), "humidity")
     (fitted,) = state.fit_state(rows.where("split = 'train'"), ["humidity"])
     clipped = impute_and_clip(F.col("humidity"), F.lit(fitted.centre), F.lit(fitted.lower), F.lit(fitted.upper))
     return rows.withColumn("humidity", rnd(clipped, 6))

@@ -17,6 +17,7 @@ from loomcast.plans.panels import (
 )
 from loomcast.plans.q_scores import TRIALS_SQL, naive_trials
 from loomcast.plans.q_lists import LISTS_SQL, _lists
+from loomcast.session import settled
 from loomcast.sources.readers import table
 from loomcast.spec import build_features, daily_spec, feature_columns
 
@@ -34,7 +35,8 @@ def supervised(spark, folder, horizons=DAILY_HORIZONS):
     wide = add_targets(featured, DAILY, "temp", horizons, bounded_by="split")
     labels = [F.col(f"`target_temp_t+{h}`").alias(f"y{h}") for h in horizons]
     rows = wide.select("series_id", "ts", "pos", "series_rows", "split", "temp", *FEATURES, *labels)
-    return rows.dropna(subset=["temp_lag7"])
+    # Written once: the many fits read the table, not the raw input.
+    return settled(rows.dropna(subset=["temp_lag7"]), "supervised")
 
 
 TARGETS = {h: f"y{h}" for h in DAILY_HORIZONS}
@@ -69,7 +71,8 @@ SELECT series_id, ts, split, {r('(humidity - ah) / sh')} AS humidity, {r('(temp_
 @query("ml03_preprocess", ML03_SQL)
 def preprocess(spark, folder):
     """Median, fences, scaling and categories from the training rows, applied to all splits."""
-    rows = add_lags(daily_splits(spark, folder), DAILY, {"temp": (7,)}).select("series_id", "ts", "split", "icon", "humidity", "temp_lag7")
+    lagged = add_lags(daily_splits(spark, folder), DAILY, {"temp": (7,)})
+    rows = settled(lagged.select("series_id", "ts", "split", "icon", "humidity", "temp_lag7"), "raw-features")
     train = rows.where("split = 'train'")
     fitted = state.fit_state(train, ["humidity", "temp_lag7"])
     out = state.one_hot(state.apply_state(rows, fitted), "icon", state.train_categories(train, "icon"))
@@ -78,14 +81,14 @@ def preprocess(spark, folder):
 
 @query("ml01_feature_ranking")
 def feature_ranking(spark, folder):
-    train = supervised(spark, folder).where("split = 'train'").persist()
+    train = supervised(spark, folder).where("split = 'train'")
     ranked = selection.score_features(train, FEATURES, "y1", trees=20, folds=3)
     return ranked.select("feature", *selection.SCORES, "mean_rank")
 
 
 @query("ml02_feature_lists")
 def feature_lists(spark, folder):
-    train = supervised(spark, folder).where("split = 'train'").persist()
+    train = supervised(spark, folder).where("split = 'train'")
     lists, _ = selection.select_lists(train, FEATURES, ["y1", "y5"], DAILY_HORIZONS, top_n=5, trees=10, folds=3)
     return lists
 
@@ -117,14 +120,14 @@ def lasso_weights(spark, folder):
 def forest_scores(spark, folder):
     """Dev errors of a forest of 100 trees."""
     forest = {1: models.ModelConfig("RandomForest", {"numTrees": 100, "maxDepth": 4})}
-    rows = supervised(spark, folder, (1,)).persist()
+    rows = supervised(spark, folder, (1,))
     model, _ = models.train_horizons(rows, FEATURES, {1: "y1"}, forest, splits=("train",))
     return forecast_metrics(models.score_split(model, rows, "dev", {1: "y1"}, ["series_id", "ts"]))
 
 
 @query("ml04_tuning_trials")
 def tuning_trials(spark, folder):
-    rows = supervised(spark, folder, (1, 5)).persist()
+    rows = supervised(spark, folder, (1, 5))
     space = {
         "RandomForest": {"numTrees": ("int", 5, 15), "maxDepth": ("int", 3, 5)},
         "GradientBoosting": {"maxIter": ("int", 3, 6), "maxDepth": ("int", 2, 4), "stepSize": ("log", 0.05, 0.3)},
@@ -135,7 +138,7 @@ def tuning_trials(spark, folder):
 
 @query("ml05_two_stage_tuning")
 def two_stage_tuning(spark, folder):
-    rows = supervised(spark, folder, (1, 3, 5)).persist()
+    rows = supervised(spark, folder, (1, 3, 5))
     trials = models.tune_horizons(rows, FEATURES, {3: "y3"}, trials=2, families=("Linear", "RandomForest"), space=_LIGHT)
     family = winners(trials.withColumn("params", F.to_json("params"))).first()["model"]
     return models.tune_horizons(rows, FEATURES, {1: "y1", 3: "y3", 5: "y5"}, trials=2, families=(family,), space=_LIGHT)
@@ -152,7 +155,7 @@ def train_horizons(spark, folder):
 
 @query("ml07_predict_latest")
 def predict_latest(spark, folder):
-    rows = supervised(spark, folder).persist()
+    rows = supervised(spark, folder)
     model, _ = models.train_horizons(rows, FEATURES, TARGETS, SMALL)
     return models.predict_latest(model, rows, ["series_id"], "ts", "DAY")
 
@@ -160,14 +163,14 @@ def predict_latest(spark, folder):
 @query("ud02_multi_horizon_model")
 def multi_horizon_model(spark, folder):
     """Every test row scored for every horizon."""
-    rows = supervised(spark, folder).persist()
+    rows = supervised(spark, folder)
     model, _ = models.train_horizons(rows, FEATURES, TARGETS, SMALL)
     return models.score_split(model, rows, "test", TARGETS, ["series_id", "ts"])
 
 
 @query("ml08_model_evaluation")
 def model_evaluation(spark, folder):
-    rows = supervised(spark, folder).persist()
+    rows = supervised(spark, folder)
     model, _ = models.train_horizons(rows, FEATURES, TARGETS, SMALL)
     return forecast_metrics(models.score_split(model, rows, "test", TARGETS, ["series_id", "ts"]))
 
@@ -181,7 +184,7 @@ UNION ALL SELECT 'average', {', '.join(r(f'avg({c})') for c in ('mae', 'rmse', '
 def persistence_evaluation(spark, folder):
     """The yardstick: the newest value as forecast, per horizon and on average."""
     pairs = target_pairs(hourly_splits(spark, folder), HOURLY, HOURLY_HORIZONS).where("split = 'test'")
-    per_horizon = forecast_metrics(pairs).persist()
+    per_horizon = settled(forecast_metrics(pairs), "metrics")
     names = ("mae", "rmse", "mape", "r2")
     rows = per_horizon.select(F.col("horizon").cast("string").alias("horizon"), *[rounded(c) for c in names])
     return rows.unionByName(average_metrics(per_horizon).select(F.lit("average").alias("horizon"), *[rounded(c) for c in names]))
@@ -200,8 +203,9 @@ FROM training t LEFT JOIN best b USING (kind, horizon) LEFT JOIN m USING (kind,
 def model_inventory(spark, folder):
     """Tuning, training and metric tables on one row per horizon."""
     kind = F.lit("hourly").alias("kind")
-    best = winners(naive_trials(spark, folder))
-    pairs = target_pairs(hourly_splits(spark, folder), HOURLY, HOURLY_HORIZONS)
+    splits = settled(hourly_splits(spark, folder), "hourly-splits")
+    best = winners(naive_trials(spark, folder, splits))
+    pairs = target_pairs(splits, HOURLY, HOURLY_HORIZONS)
     training = pairs.where("split IN ('train', 'dev')").groupBy("horizon").agg(F.count("y").alias("n_samples"))
     metrics = forecast_metrics(pairs.where("split = 'test'")).select(kind, "horizon", "mae", "rmse", "mape", "r2")
     out = registry.inventory(
@@ -218,7 +222,7 @@ QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY version DESC) = 1""",
 )
 def promoted_models(spark, folder):
     """Models no worse than the mean of their horizon are promoted; the newest of each horizon is listed."""
-    trials = naive_trials(spark, folder).persist()
+    trials = settled(naive_trials(spark, folder), "trials")
     table_ = trials.select(
         F.lit("hourly").alias("kind"), F.concat_ws(" ", "model", "params", F.col("horizon").cast("string")).alias("model_id"),
         "horizon", F.col("trial").alias("version"), F.lit("staging").alias("stage"), "rmse",

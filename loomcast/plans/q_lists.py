@@ -12,7 +12,7 @@ from loomcast.plans.panels import DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import SCORES_SQL, feature_scores
 from loomcast.operators.metrics import forecast_metrics
-from loomcast.session import scratch_path
+from loomcast.session import scratch_path, settled
 from loomcast.sources.readers import table
 
 
@@ -58,7 +58,7 @@ def top_and_bottom(spark, folder):
 def time_ordered_layout(spark, folder):
     """Files in time order, each sorted; no task sorts the whole table."""
     path = scratch_path(spark, "ordered")
-    topk.time_ordered_layout(table(spark, folder, "events").select("event_id", "ts"), "ts", 8).write.parquet(path)
+    topk.time_ordered_layout(table(spark, folder, "events").select("event_id", "ts"), "ts").write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -98,7 +98,7 @@ long AS (SELECT feature FROM scores ORDER BY long_correlation DESC NULLS LAST, f
 
 
 def _lists(spark, folder):
-    scores = feature_scores(spark, folder).persist()
+    scores = settled(feature_scores(spark, folder), "scores")
     return [
         topk.first_rows(scores, [], [F.col(c).desc_nulls_last(), F.col("feature")], 4).select("feature")
         for c in ("correlation", "long_correlation")

@@ -17,6 +17,7 @@ from loomcast.plans.panels import (
 from loomcast.operators.metrics import forecast_metrics
 from loomcast.plans.q_joins import STATE_SQL
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
+from loomcast.session import settled
 from loomcast.sources.readers import table
 
 CYCLES = (("month", "month", "month", 12), ("day", "day_of_year", "dayofyear", 365), ("week", "week_of_year", "week", 52), ("hour", "hour", "hour", 24))
@@ -117,7 +118,7 @@ SELECT series_id, ts, {r('greatest(least(temp, q3 + 1.5 * (q3 - q1)), q1 - 1.5 *
 def impute_and_clip(spark, folder):
     """Hours with a single event count as missing and are filled with the mean before clipping."""
     panel = hourly_panel(spark, folder)
-    rows = panel.select("series_id", "ts", F.when(F.col("precip") > 1, F.col("temp")).alias("temp"))
+    rows = settled(panel.select("series_id", "ts", F.when(F.col("precip") > 1, F.col("temp")).alias("temp")), "gaps")
     (s,) = state.fit_state(rows, ["temp"], strategy="mean")
     clipped = numeric.impute_and_clip(F.col("temp"), F.lit(s.centre), F.lit(s.lower), F.lit(s.upper))
     return rows.withColumn("temp", rnd(clipped, 6))
@@ -130,7 +131,7 @@ s AS (SELECT avg(v) AS mean, stddev_pop(v) AS std FROM c WHERE split = 'train')
 SELECT series_id, ts, split, {r('(v - mean) / std')} AS humidity FROM c, s""",
 )
 def standardise(spark, folder):
-    rows = daily_splits(spark, folder).select("series_id", "ts", "split", "humidity")
+    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "split", "humidity"), "humidity")
     fitted = state.fit_state(rows.where("split = 'train'"), ["humidity"])
     return state.apply_state(rows, fitted).select("series_id", "ts", "split", rounded("humidity"))
 
@@ -142,7 +143,7 @@ def standardise(spark, folder):
   (coalesce(icon, 'none') = 'rain')::DOUBLE AS icon_rain FROM d""",
 )
 def one_hot(spark, folder):
-    rows = daily_splits(spark, folder).select("series_id", "ts", "split", "icon")
+    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "split", "icon"), "icons")
     categories = state.train_categories(rows.where("split = 'train'"), "icon")
     return state.one_hot(rows, "icon", categories).drop("split")
 

@@ -11,6 +11,7 @@ from loomcast.operators.metrics import forecast_metrics
 from loomcast.operators.ranking import add_mean_rank, align_scores, top_features
 from loomcast.operators.windows import split_bounded_leads, trailing
 from loomcast.plans.panels import DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, daily_splits, hourly_splits, placed_sql
+from loomcast.session import settled
 
 # Naive forecasts that serve as trials: (model, parameter text, column).
 NAIVE = (
@@ -22,8 +23,9 @@ NAIVE = (
 )
 
 
-def naive_trials(spark: SparkSession, folder: str) -> DataFrame:
+def naive_trials(spark: SparkSession, folder: str, splits: DataFrame | None = None) -> DataFrame:
     """Trial log ``(horizon, trial, model, params, rmse, mae)`` scored on the dev rows."""
+    rows = hourly_splits(spark, folder) if splits is None else splits
     horizons = HOURLY_HORIZONS
 
     def build(w):
@@ -31,7 +33,7 @@ def naive_trials(spark: SparkSession, folder: str) -> DataFrame:
         means = [trailing(w, "temp", "mean", n).alias(f"m{n}") for n in (6, 24)]
         return lags + means + split_bounded_leads(w, "temp", horizons)
 
-    wide = over_chunks(hourly_splits(spark, folder), HOURLY, build, back=24, ahead=24).where("split = 'dev'")
+    wide = over_chunks(rows, HOURLY, build, back=24, ahead=24).where("split = 'dev'")
     candidates = [
         F.struct(F.lit(i).alias("trial"), F.lit(m).alias("model"), F.lit(p).alias("params"), F.col(c).alias("yhat"))
         for i, (m, p, c) in enumerate(NAIVE)
@@ -73,7 +75,9 @@ def feature_scores(spark: SparkSession, folder: str) -> DataFrame:
         return split_bounded_leads(w, "temp", DAILY_HORIZONS)
 
     wide = over_chunks(daily_splits(spark, folder), DAILY, build, ahead=5).where("split = 'train'")
-    train = wide.select(*SCORED_FEATURES, F.col("`target_temp_t+1`").alias("y1"), F.col("`target_temp_t+5`").alias("y5"))
+    labels = [F.col(f"`target_temp_t+{h}`").alias(f"y{h}") for h in (1, 5)]
+    # Every score reads these rows again.
+    train = settled(wide.select(*SCORED_FEATURES, *labels), "scored-rows")
     first = correlation_with(train, SCORED_FEATURES, "y1").select("feature", F.abs("correlation").alias("correlation"))
     last = correlation_with(train, SCORED_FEATURES[:5], "y5").select("feature", F.abs("correlation").alias("long_correlation"))
     return align_scores([first, mutual_information(train, SCORED_FEATURES, "y1"), last])

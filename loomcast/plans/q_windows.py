@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomcast.functions.temporal import direction_vector
 from loomcast.learning.state import one_hot, train_categories
 from loomcast.operators import dedup, split
 from loomcast.operators.chunks import DAILY, HOURLY
@@ -18,8 +19,9 @@ from loomcast.plans.panels import (
 )
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import RANK_SCORES, RANKING_SQL, SCORES_SQL, feature_scores, panel_ranking
+from loomcast.session import settled
 from loomcast.sources.readers import table
-from loomcast.spec import DAILY_LAGS, HOURLY_LAGS, build_features, daily_spec, feature_columns, hourly_spec
+from loomcast.spec import DAILY_LAGS, HOURLY_LAGS, build_features, feature_columns, hourly_spec
 
 SERIES = "PARTITION BY series_id ORDER BY ts"
 
@@ -51,7 +53,9 @@ WIND_SQL = "w AS (SELECT *, sin(radians(winddir)) AS winddir_sin, cos(radians(wi
 @query("wn01_lag_daily", f"WITH {DAILY_SQL}, {WIND_SQL} SELECT series_id, ts, {lag_sql(DAILY_LAGS)} FROM w")
 def daily_lags(spark, folder):
     """Nine columns, three lags each, wind as a vector."""
-    out = build_features(daily_panel(spark, folder), daily_spec(DAILY))
+    sine, cosine = direction_vector(F.col("winddir"))
+    panel = daily_panel(spark, folder).withColumns({"winddir_sin": sine, "winddir_cos": cosine})
+    out = add_lags(panel, DAILY, DAILY_LAGS)
     return out.select("series_id", "ts", *[rnd(f"{c}_lag{k}", 4).alias(f"{c}_lag{k}") for c, ks in DAILY_LAGS.items() for k in ks])
 
 
@@ -73,7 +77,7 @@ SELECT series_id, ts, lag(a, 1) OVER w AS "icon_clear-day_lag1", lag(a, 3) OVER
   lag(b, 1) OVER w AS icon_none_lag1, lag(b, 3) OVER w AS icon_none_lag3 FROM e WINDOW w AS ({SERIES})""",
 )
 def one_hot_lags(spark, folder):
-    rows = daily_splits(spark, folder).select("series_id", "ts", "pos", "series_rows", "split", "icon")
+    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "pos", "series_rows", "split", "icon"), "icons")
     categories = train_categories(rows.where("split = 'train'"), "icon")
     encoded = one_hot(rows, "icon", categories)
     names = [f"icon_{c}" for c in categories]

@@ -1,6 +1,7 @@
 """All registered queries; importing the modules registers them."""
 
 from loomcast.plans import (  # noqa: F401
+    flagship,
     q_aggregates,
     q_joins,
     q_learning,

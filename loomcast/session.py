@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # Panels carry zone-less timestamps; one fixed zone keeps casts stable.
@@ -49,3 +49,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="loomcast-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The frame written as a table in the shared folder and read back.
+
+    What is derived from it reads the table instead of the raw input again, survives the loss
+    of executors, and is planned with the table's true size: the optimizer broadcasts it in a
+    join only where that size is under its own threshold.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

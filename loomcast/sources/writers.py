@@ -12,8 +12,8 @@ from loomcast.functions.temporal import iso_text
 
 
 def write_split_tables(df: DataFrame, path: str, partitions: Sequence[str] = ("split",)) -> None:
-    """Partitioned Parquet; rows stay where they are, so no split goes through one task."""
-    df.write.partitionBy(*partitions).mode("overwrite").parquet(path)
+    """Partitioned Parquet; rebalancing gathers small partitions and cuts large ones."""
+    df.hint("rebalance", *partitions).write.partitionBy(*partitions).mode("overwrite").parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:

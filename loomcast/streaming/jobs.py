@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomcast.operators.chunks import SeriesShape
 from loomcast.operators.dedup import keep_first, only_new
+from loomcast.operators.topk import latest_rows
 from loomcast.spec import FeatureSpec, build_features
 
 
@@ -69,14 +70,9 @@ def monitoring(events: DataFrame, length: str = "1 day") -> DataFrame:
     ).select(F.col("w.start").alias("window_start"), "event_type", "requests", "errors", "latency_mean", "latency_max")
 
 
-def halo_rows(stored: DataFrame, fresh: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Stored rows that features of the fresh rows look back on: the newest ones per series."""
-    from loomcast.operators.topk import first_rows
-
-    key = list(spec.shape.key)
-    touched = fresh.select(*key).distinct()
-    near = stored.join(touched, key, "left_semi") if key else stored
-    return first_rows(near, key, [F.col(spec.shape.ts).desc()], spec.history_rows)
+def halo_rows(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Stored rows that features of later rows look back on: the newest ones per series."""
+    return latest_rows(stored, list(spec.shape.key), spec.shape.ts, spec.history_rows)
 
 
 def refresh_features(stored: DataFrame, fresh: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -84,7 +80,7 @@ def refresh_features(stored: DataFrame, fresh: DataFrame, spec: FeatureSpec) ->
 
     Equal to the full computation as long as fresh rows are later than the stored ones.
     """
-    both = halo_rows(stored, fresh, spec).withColumn("__fresh", F.lit(False)).unionByName(
+    both = halo_rows(stored, spec).withColumn("__fresh", F.lit(False)).unionByName(
         fresh.withColumn("__fresh", F.lit(True))
     )
     return build_features(both, spec).where("__fresh").drop("__fresh", "pos", "series_rows")
@@ -93,27 +89,38 @@ def refresh_features(stored: DataFrame, fresh: DataFrame, spec: FeatureSpec) ->
 def feature_stream(
     stream: DataFrame,
     spec: FeatureSpec,
-    observations: str,
-    features: str,
+    path: str,
     checkpoint: str,
     on_batch: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Append new observations and their features batch by batch.
 
-    Each batch writes to its own folder, so a batch that is repeated after a failure
-    replaces what it wrote before.
+    Under ``path`` each batch writes its own folder of ``observations``, ``features`` and
+    ``tail`` (the newest rows per series, all that later features look back on), so a batch
+    repeated after a failure replaces what it wrote. A batch reads the tail of the batch
+    before and, against repeats, only stored rows from its own earliest time on.
     """
     schema = stream.schema
     key = [*spec.shape.key, spec.shape.ts]
+    rest = [c for c in schema.names if c not in key]
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        stored = _batches_before(spark, observations, schema, number)
-        fresh = only_new(keep_first(batch, key, [c for c in batch.columns if c not in key]), stored, key)
-        refresh_features(stored, fresh, spec).write.mode("overwrite").parquet(f"{features}/batch={number}")
-        fresh.write.mode("overwrite").parquet(f"{observations}/batch={number}")
-        if on_batch:
-            on_batch(fresh, number)
+        batch.persist()
+        try:
+            earliest = batch.agg(F.min(spec.shape.ts)).first()[0]
+            stored = _batches_before(spark, f"{path}/observations", schema, number)
+            near = stored.where(F.col(spec.shape.ts) >= F.lit(earliest))
+            fresh = only_new(keep_first(batch, key, rest), near, key)
+            fresh.write.mode("overwrite").parquet(f"{path}/observations/batch={number}")
+            added = spark.read.schema(schema).parquet(f"{path}/observations/batch={number}")
+            tail = _tail_before(spark, f"{path}/tail", schema, number)
+            refresh_features(tail, added, spec).write.mode("overwrite").parquet(f"{path}/features/batch={number}")
+            halo_rows(tail.unionByName(added), spec).write.mode("overwrite").parquet(f"{path}/tail/batch={number}")
+            if on_batch:
+                on_batch(added, number)
+        finally:
+            batch.unpersist()
 
     query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -126,3 +133,9 @@ def _batches_before(spark: SparkSession, path: str, schema: T.StructType, number
         return spark.createDataFrame([], schema)
     with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
     return spark.read.schema(with_batch).parquet(path).where(F.col("batch") < number).drop("batch")
+
+
+def _tail_before(spark: SparkSession, path: str, schema: T.StructType, number: int) -> DataFrame:
+    if number == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch={number - 1}")
