@@ -95,23 +95,32 @@ def train_horizons(
     splits: Sequence[str] = ("train", "dev"),
     feature_types: Mapping[int, str] | None = None,
     tuned: Mapping[int, float] | None = None,
+    parallelism: int = 4,
 ) -> tuple[MultiHorizonModel, DataFrame]:
-    """Fit every horizon that has a configuration; returns the model and its metadata rows."""
+    """Fit every horizon that has a configuration; returns the model and its metadata rows.
+
+    The fits are independent and run as concurrent Spark jobs over the same kept rows.
+    """
     rows = persist_training_rows(df.where(F.col("split").isin(*splits)), features, list(targets.values()))
-    models, records = {}, []
+
+    def fit(h: int) -> tuple[Transformer, float]:
+        started = time.perf_counter()
+        fitted = configs[h].estimator(targets[h], f"yhat_{h}").fit(rows.where(F.col(targets[h]).isNotNull()))
+        return fitted, time.perf_counter() - started
+
+    wanted = [h for h in targets if h in configs]
     try:
-        for h, target in targets.items():
-            if h not in configs:
-                continue
-            started = time.perf_counter()
-            labelled = rows.where(F.col(target).isNotNull())
-            models[h] = configs[h].estimator(target, f"yhat_{h}").fit(labelled)
-            spent = time.perf_counter() - started
-            kind = (feature_types or {}).get(h, "ALL")
-            records.append((h, configs[h].family, kind, len(features), labelled.count(), (tuned or {}).get(h), spent))
+        sizes = rows.agg(*[F.count(t).alias(t) for t in targets.values()]).first()
+        with ThreadPoolExecutor(parallelism) as pool:
+            fitted = dict(zip(wanted, pool.map(fit, wanted)))
     finally:
         rows.unpersist()
-    return MultiHorizonModel(features, models), df.sparkSession.createDataFrame(records, METADATA_SCHEMA)
+    records = [
+        (h, configs[h].family, (feature_types or {}).get(h, "ALL"), len(features), sizes[targets[h]], (tuned or {}).get(h), fitted[h][1])
+        for h in wanted
+    ]
+    model = MultiHorizonModel(features, {h: m for h, (m, _) in fitted.items()})
+    return model, df.sparkSession.createDataFrame(records, METADATA_SCHEMA)
 
 
 def predict_latest(model: MultiHorizonModel, features: DataFrame, key: Sequence[str], ts: str, unit: str) -> DataFrame:

@@ -9,6 +9,7 @@ from loomcast.plans import (  # noqa: F401
     q_rows,
     q_scalars,
     q_scans,
+    q_serving,
     q_streams,
     q_windows,
 )
