@@ -6,13 +6,23 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation over the rows that have both values, null where one of them is constant.
+
+    The built-in ``corr`` stops the job on a constant column.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_with(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Rows ``(feature, correlation)``: every feature in one aggregate."""
-    wide = df.agg(*[F.corr(c, target).alias(c) for c in features])
+    wide = df.agg(*[correlation(c, target).alias(c) for c in features])
     pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in features]
     return wide.select(F.inline(F.array(*pairs)))
 
@@ -20,7 +30,7 @@ def correlation_with(df: DataFrame, features: Sequence[str], target: str) -> Dat
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long matrix ``(a, b, correlation)`` with both triangles and the diagonal."""
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    wide = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     cells = [(a, b, F.col(f"`{a}|{b}`")) for a, b in pairs]
     cells += [(b, a, value) for a, b, value in cells] + [(c, c, F.lit(1.0)) for c in columns]
     return wide.select(
@@ -29,17 +39,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def variance_inflation(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows ``(feature, vif)``: the diagonal of the inverse correlation matrix.
+    """Rows ``(feature, vif)`` from the correlation matrix; only that p x p matrix reaches the driver.
 
-    Only the p x p matrix reaches the driver.
+    A constant feature has no factor, an exact combination of the others has an infinite one.
     """
-    index = {c: i for i, c in enumerate(features)}
-    matrix = np.eye(len(features))
-    for row in correlation_matrix(df, features).collect():
-        matrix[index[row["a"]], index[row["b"]]] = row["correlation"]
-    factors = np.diag(np.linalg.inv(matrix))
+    cells = {(r["a"], r["b"]): r["correlation"] for r in correlation_matrix(df, features).collect()}
+    varying = [c for c in features if len(features) == 1 or any(cells[(c, o)] is not None for o in features if o != c)]
+    matrix = np.array([[cells[(a, b)] for b in varying] for a in varying], dtype=float)
+    factors: dict[str, float | None] = dict.fromkeys(features)
+    for i, c in enumerate(varying):
+        others = [j for j in range(len(varying)) if j != i]
+        explained = matrix[i, others] @ np.linalg.pinv(matrix[np.ix_(others, others)]) @ matrix[others, i]
+        factors[c] = float(1 / (1 - explained)) if 1 - explained > 1e-10 else float("inf")
     spark: SparkSession = df.sparkSession
-    return spark.createDataFrame([(c, float(v)) for c, v in zip(features, factors)], "feature string, vif double")
+    return spark.createDataFrame(list(factors.items()), "feature string, vif double")
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins: int = 20) -> DataFrame:

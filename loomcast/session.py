@@ -39,6 +39,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -46,8 +49,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="loomcast-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="loomcast-")
+        base = _own_folders[application]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

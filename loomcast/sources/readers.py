@@ -61,7 +61,7 @@ def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tuning_json(spark: SparkSession, path: str) -> DataFrame:
     """Tuning results ``{horizon: {model, params, ...}}`` to rows."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     parsed = text.select(F.from_json("value", T.MapType(T.StringType(), schemas.TUNING_RESULT)).alias("m"))
     rows = parsed.select(F.explode("m").alias("target", "entry"))
     return rows.select(horizon_number(F.col("target")).alias("horizon"), "target", "entry.*")

@@ -134,3 +134,17 @@ def test_correlation_vif_and_information(spark):
 def test_information_of_a_constant_is_zero(spark):
     df = spark.range(50).select(F.lit(1.0).alias("k"), F.col("id").cast("double").alias("y"))
     assert correlate.mutual_information(df, ["k"], "y").first()["mutual_info"] == pytest.approx(0)
+
+
+def test_constant_column_has_no_correlation(spark):
+    df = spark.createDataFrame([(1.0, float(i), float(2 * i), float(i % 3)) for i in range(9)], "k double, y double, x double, m double")
+    got = {r["feature"]: r["correlation"] for r in correlate.correlation_with(df, ["k", "x"], "y").collect()}
+    assert got["k"] is None and got["x"] == pytest.approx(1)
+    vif = {r["feature"]: r["vif"] for r in correlate.variance_inflation(df, ["k", "x", "y", "m"]).collect()}
+    assert vif["k"] is None and vif["x"] == float("inf") and 1 <= vif["m"] < 2
+
+
+def test_correlation_skips_rows_without_both(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, 5.0), (None, 100.0), (50.0, None)], "a double, b double")
+    got = df.agg(correlate.correlation("a", "b")).first()[0]
+    assert got == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.5, 5])[0, 1])

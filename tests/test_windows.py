@@ -91,12 +91,15 @@ def test_positions_of_one_series_without_key(spark):
 
 
 def test_no_window_takes_a_whole_series(spark):
-    """The plan partitions windows by chunk; no exchange gathers all rows of the table."""
+    """Lags are windowed per chunk; only the bucket counts of the single series meet in one task."""
     df = hours(spark, [1.0, 2.0, 3.0]).drop("series_id")
-    plan = add_lags(df, SeriesShape(key=(), step=3600, chunk_rows=2), {"temp": (1,)})._jdf.queryExecution().executedPlan().toString()
-    gathered = plan.split("SinglePartition")[0].count("lag(")
-    assert "hashpartitioning(__chunk" in plan
-    assert gathered <= 1 or plan.index("lag(") < plan.index("SinglePartition")
+    out = add_lags(df, SeriesShape(key=(), step=3600, chunk_rows=2), {"temp": (1,)})
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    lagged = next(i for i, line in enumerate(lines) if "Window [lag(" in line)
+    exchange = next(line for line in lines[lagged:] if "Exchange" in line)
+    assert "hashpartitioning(__chunk" in exchange
+    gathered = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert all("__size" in lines[i + 1] or "__bucket" in lines[i + 1] for i in gathered)
 
 
 def test_split_sizes_are_truncated(spark):
