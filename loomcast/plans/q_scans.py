@@ -46,6 +46,23 @@ def range_scan(spark, folder):
     return readers.time_range(events, "ts", "2024-01-10", "2024-01-20").select("event_id", "ts", "event_type", "value")
 
 
+CONTRACT = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query(
+    "sc03_feature_contract",
+    " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS feature, count({c}) AS filled FROM lineitem" for i, c in enumerate(CONTRACT)),
+)
+def feature_contract(spark, folder):
+    """Feature order from the schema alone; then one aggregate over the table for its filled values."""
+    items = readers.table(spark, folder, "lineitem")
+    outside = [f.name for f in items.schema.fields if f.dataType.typeName() in ("string", "timestamp_ntz")]
+    names = readers.feature_contract(items, outside)
+    counts = items.agg(*[F.count(c).alias(c) for c in names])
+    rows = [F.struct(F.lit(i).alias("place"), F.lit(c).alias("feature"), F.col(c).alias("filled")) for i, c in enumerate(names)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 @query(
     "sc04_split_horizon_scan",
     f"WITH {DAILY_SQL}, {placed_sql('d')}, {TARGETS_SQL} "
