@@ -33,13 +33,13 @@ def canonical_record(df: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def strip_code_fence(reply: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(reply), "```json", ""), "```", ""))
+    return F.regexp_replace(F.regexp_replace(reply, "```(json)?", ""), r"^\s+|\s+$", "")
 
 
 def parse_reply(reply: Column) -> Column:
     """Object text of a reply, else an object that keeps the reply under ``raw``."""
     text = strip_code_fence(reply)
     parsed = F.try_parse_json(text)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    is_object = text.startswith("{") & parsed.isNotNull()
     raw = F.to_json(F.struct(F.when(parsed.isNull(), reply).otherwise(text).alias("raw")))
     return F.when(is_object, F.to_json(parsed)).otherwise(raw)

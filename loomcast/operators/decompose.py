@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.chunks import LENGTH, POSITION, SeriesShape, null_safe_join, over_chunks, with_positions
 from loomcast.operators.windows import centred_mean
+from loomcast.session import settled
 
 
 def decompose(df: DataFrame, shape: SeriesShape, column: str = "temp", period: int = 7) -> DataFrame:
@@ -14,9 +15,11 @@ def decompose(df: DataFrame, shape: SeriesShape, column: str = "temp", period: i
     key = list(shape.key)
     placed = with_positions(df.where(F.col(column).isNotNull()), shape).where(F.col(LENGTH) >= 2 * period)
     half = period // 2
-    trended = over_chunks(
+    windowed = over_chunks(
         placed, shape, lambda w: [centred_mean(w, column, period).alias("trend")], back=half, ahead=half
     ).withColumn("phase", (F.col(POSITION) % period).cast("int"))
+    # Read twice, for the phase means and for the rows: written once instead of windowed twice.
+    trended = settled(windowed, "trend")
     seasonal = phase_means(trended, key, column, period)
     # A few rows per series; the join key keeps series and phase apart, and adaptive execution
     # broadcasts the means or cuts a series that is too large for one task.

@@ -9,6 +9,7 @@ rank outside its bracket stops the job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,34 +30,35 @@ def exact_quantiles(
     """Rows ``(by..., feature, p, n, value)``, linear interpolation, nulls ignored."""
     by, margin = list(by), 4 / accuracy
     data = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    pairs = [(c, i, p) for c in columns for i, p in enumerate(probabilities)]
     bounds = [q for p in probabilities for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketches = data.groupBy(*by).agg(
         *[F.percentile_approx(c, bounds, accuracy).alias(f"{c}__b") for c in columns],
         *[F.count(c).alias(f"{c}__n") for c in columns],
     )
-    if by:
-        # One row per group, written out so that the plan knows how small it is.
-        marked = null_safe_join(data, settled(sketches, "sketches"), by)
-    else:
-        state = sketches.first()
-        if max(state[f"{c}__n"] for c in columns) <= accuracy // 2:
-            return _small_quantiles(data, columns, probabilities)
-        marked = data.select(
-            "*",
-            *[F.lit(state[f"{c}__b"]).cast("array<double>").alias(f"{c}__b") for c in columns],
-            *[F.lit(state[f"{c}__n"]).cast("long").alias(f"{c}__n") for c in columns],
-        )
 
-    def bracket(c: str, i: int) -> tuple[Column, Column]:
+    def edge(c: str, i: int, open_end: float) -> Column:
         # A group this small is cheaper taken whole than bracketed.
         small = F.col(f"{c}__n") <= accuracy // 2
-        low = F.when(small, F.lit(float("-inf"))).otherwise(F.get(f"{c}__b", F.lit(2 * i)))
-        high = F.when(small, F.lit(float("inf"))).otherwise(F.get(f"{c}__b", F.lit(2 * i + 1)))
-        return low, high
+        return F.when(small, F.lit(open_end)).otherwise(F.get(f"{c}__b", F.lit(i)))
 
-    pairs = [(c, i, p) for c in columns for i, p in enumerate(probabilities)]
+    brackets = sketches.select(
+        *by,
+        *[f"{c}__n" for c in columns],
+        *[edge(c, 2 * i, float("-inf")).alias(f"{c}__lo{i}") for c, i, _ in pairs],
+        *[edge(c, 2 * i + 1, float("inf")).alias(f"{c}__hi{i}") for c, i, _ in pairs],
+    )
+    if by:
+        # One row per group, written out so that the plan knows how small it is.
+        marked = null_safe_join(data, settled(brackets, "brackets"), by)
+    else:
+        row = brackets.first()
+        if max(row[f"{c}__n"] for c in columns) <= accuracy // 2:
+            return _small_quantiles(data, columns, probabilities)
+        fixed = [f.name for f in brackets.schema.fields]
+        marked = data.select("*", *[F.lit(row[n]).cast(brackets.schema[n].dataType).alias(n) for n in fixed])
     under = marked.groupBy(*by).agg(
-        *[F.count_if(F.col(c) < bracket(c, i)[0]).alias(f"{c}__{i}") for c, i, _ in pairs],
+        *[F.count_if(F.col(c) < F.col(f"{c}__lo{i}")).alias(f"{c}__{i}") for c, i, _ in pairs],
         *[F.max(f"{c}__n").alias(f"{c}__n") for c in columns],
     )
     under = under.select(
@@ -76,14 +78,16 @@ def exact_quantiles(
             )
         ),
     )
-    inside = marked.select(
+    # Nearly all rows end here, before any array is built for them.
+    in_any = reduce(lambda a, b: a | b, [F.col(c).between(F.col(f"{c}__lo{i}"), F.col(f"{c}__hi{i}")) for c, i, _ in pairs])
+    inside = marked.where(in_any).select(
         *by,
         F.inline(
             F.array_compact(
                 F.array(
                     *[
                         F.when(
-                            F.col(c).between(*bracket(c, i)),
+                            F.col(c).between(F.col(f"{c}__lo{i}"), F.col(f"{c}__hi{i}")),
                             F.struct(F.lit(c).alias("feature"), F.lit(i).alias("i"), F.col(c).alias("v")),
                         )
                         for c, i, _ in pairs
@@ -93,7 +97,7 @@ def exact_quantiles(
         ),
     )
     counted = inside.groupBy(*by, "feature", "i", "v").agg(F.count(F.lit(1)).alias("copies"))
-    running = Window.partitionBy(*by, "feature", "i").orderBy("v")
+    running = Window.partitionBy(*by, "feature", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("reached", F.sum("copies").over(running))
     joined = null_safe_join(ranked, under, [*by, "feature", "i"])
     rank = (F.col("n") - 1) * F.col("p")
