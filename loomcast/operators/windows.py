@@ -42,16 +42,20 @@ def lead_columns(window: WindowSpec, column: str, horizons: Sequence[int], unit:
     return [F.lead(column, h).over(window).alias(f"target_{column}_t+{h}{unit}") for h in horizons]
 
 
-def split_bounded_leads(
-    window: WindowSpec, column: str, horizons: Sequence[int], unit: str = "", split: str = "split"
-) -> list[Column]:
-    """Lead targets that stay inside the split of the row they belong to."""
-    return [
-        F.when(F.lead(split, h).over(window) == F.col(split), F.lead(column, h).over(window)).alias(
-            f"target_{column}_t+{h}{unit}"
-        )
+def later_rows(window: WindowSpec, column: str, horizons: Sequence[int], split: str = "split") -> list[Column]:
+    """Value and split of the row ``h`` steps on, one window function per horizon."""
+    later = F.struct(F.col(split).alias("split"), F.col(column).alias("value"))
+    return [F.lead(later, h).over(window).alias(f"__later_{h}") for h in horizons]
+
+
+def bounded_targets(df: DataFrame, column: str, horizons: Sequence[int], unit: str = "", split: str = "split") -> DataFrame:
+    """``later_rows`` to targets: a label in another split than its row is null."""
+    kept = [c for c in df.columns if not c.startswith("__later_")]
+    targets = [
+        F.when(F.col(f"__later_{h}.split") == F.col(split), F.col(f"__later_{h}.value")).alias(f"target_{column}_t+{h}{unit}")
         for h in horizons
     ]
+    return df.select(*kept, *targets)
 
 
 def add_lags(df: DataFrame, shape: SeriesShape, lags: Mapping[str, Sequence[int]], suffix: str = "") -> DataFrame:
@@ -78,10 +82,7 @@ def add_targets(
     df: DataFrame, shape: SeriesShape, column: str, horizons: Sequence[int], unit: str = "", bounded_by: str | None = None
 ) -> DataFrame:
     """Lead targets; ``bounded_by`` names a split column no label may cross."""
-
-    def build(w: WindowSpec) -> list[Column]:
-        if bounded_by:
-            return split_bounded_leads(w, column, horizons, unit, bounded_by)
-        return lead_columns(w, column, horizons, unit)
-
-    return over_chunks(df, shape, build, ahead=max(horizons))
+    if bounded_by:
+        later = over_chunks(df, shape, lambda w: later_rows(w, column, horizons, bounded_by), ahead=max(horizons))
+        return bounded_targets(later, column, horizons, unit, bounded_by)
+    return over_chunks(df, shape, lambda w: lead_columns(w, column, horizons, unit), ahead=max(horizons))

@@ -9,8 +9,8 @@ from loomcast.operators.chunks import DAILY, HOURLY, over_chunks
 from loomcast.operators.correlate import correlation_with, mutual_information
 from loomcast.operators.metrics import forecast_metrics
 from loomcast.operators.ranking import add_mean_rank, align_scores, top_features
-from loomcast.operators.windows import split_bounded_leads, trailing
-from loomcast.plans.panels import DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, daily_splits, hourly_splits, placed_sql
+from loomcast.operators.windows import add_targets, bounded_targets, later_rows, trailing
+from loomcast.plans.panels import DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, daily_splits, hourly_splits, placed_sql
 from loomcast.session import settled
 
 # Naive forecasts that serve as trials: (model, parameter text, column).
@@ -31,9 +31,10 @@ def naive_trials(spark: SparkSession, folder: str, splits: DataFrame | None = No
     def build(w):
         lags = [F.lag("temp", 1).over(w).alias("l1"), F.lag("temp", 23).over(w).alias("l23")]
         means = [trailing(w, "temp", "mean", n).alias(f"m{n}") for n in (6, 24)]
-        return lags + means + split_bounded_leads(w, "temp", horizons)
+        return lags + means + later_rows(w, "temp", horizons)
 
-    wide = over_chunks(rows, HOURLY, build, back=24, ahead=24).where("split = 'dev'")
+    windowed = over_chunks(rows, HOURLY, build, back=24, ahead=24).where("split = 'dev'")
+    wide = bounded_targets(windowed, "temp", horizons)
     candidates = [
         F.struct(F.lit(i).alias("trial"), F.lit(m).alias("model"), F.lit(p).alias("params"), F.col(c).alias("yhat"))
         for i, (m, p, c) in enumerate(NAIVE)
@@ -71,10 +72,7 @@ RANK_SCORES = ("correlation", "mutual_info", "long_correlation")
 def feature_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Three scores of daily columns on training rows; the last one leaves two features out."""
 
-    def build(w):
-        return split_bounded_leads(w, "temp", DAILY_HORIZONS)
-
-    wide = over_chunks(daily_splits(spark, folder), DAILY, build, ahead=5).where("split = 'train'")
+    wide = add_targets(daily_splits(spark, folder), DAILY, "temp", (1, 5), bounded_by="split").where("split = 'train'")
     labels = [F.col(f"`target_temp_t+{h}`").alias(f"y{h}") for h in (1, 5)]
     # Every score reads these rows again.
     train = settled(wide.select(*SCORED_FEATURES, *labels), "scored-rows")
