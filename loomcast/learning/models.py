@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.functions.temporal import forecast_time, horizon_label
@@ -212,14 +212,17 @@ def best_configs(trials: DataFrame) -> dict[int, tuple[ModelConfig, float]]:
 
 
 def tune_two_stage(
-    df: DataFrame, features: Sequence[str], targets: Mapping[int, str], first: int, second: int, parallelism: int = 4
+    df: DataFrame,
+    features: Sequence[str],
+    targets: Mapping[int, str],
+    first: int,
+    second: int,
+    parallelism: int = 4,
+    space: Mapping[str, Mapping[str, tuple]] = SEARCH_SPACE,
 ) -> DataFrame:
     """Choose the family on the middle horizon, then search its parameters on every horizon."""
     middle = sorted(targets)[len(targets) // 2]
-    chosen = best_configs(tune_horizons(df, features, {middle: targets[middle]}, first, parallelism=parallelism))
-    family = chosen[middle][0].family
-    return tune_horizons(df, features, targets, second, families=(family,), parallelism=parallelism)
-
-
-def save_metadata(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    options = dict(parallelism=parallelism, space=space)
+    stage = tune_horizons(df, features, {middle: targets[middle]}, first, families=tuple(space), **options)
+    family = best_configs(stage)[middle][0].family
+    return tune_horizons(df, features, targets, second, families=(family,), **options)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomcast.operators.chunks import HOURLY, over_chunks
 from loomcast.operators.metrics import forecast_metrics
 from loomcast.operators.windows import trailing
-from loomcast.plans.catalog import query, r, rounded, rr
+from loomcast.plans.catalog import query, rounded, rr
 from loomcast.plans.panels import HOURLY_SQL, hourly_panel
 
 FLAGSHIP_SQL = f"""WITH {HOURLY_SQL}, f AS (

@@ -13,13 +13,13 @@ from loomcast.operators.windows import add_lags, add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
-    daily_panel, daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
+    daily_splits, hourly_splits, pairs_sql, placed_sql, target_pairs,
 )
 from loomcast.plans.q_scores import TRIALS_SQL, naive_trials
 from loomcast.plans.q_lists import LISTS_SQL, _lists
 from loomcast.session import settled
 from loomcast.sources.readers import table
-from loomcast.spec import build_features, daily_spec, feature_columns
+from loomcast.spec import daily_spec
 
 FEATURES = ("temp_lag1", "temp_lag3", "temp_lag7", "humidity", "windspeed", "winddir_sin", "day_sin", "day_cos")
 
@@ -139,9 +139,7 @@ def tuning_trials(spark, folder):
 @query("ml05_two_stage_tuning")
 def two_stage_tuning(spark, folder):
     rows = supervised(spark, folder, (1, 3, 5))
-    trials = models.tune_horizons(rows, FEATURES, {3: "y3"}, trials=2, families=("Linear", "RandomForest"), space=_LIGHT)
-    family = winners(trials.withColumn("params", F.to_json("params"))).first()["model"]
-    return models.tune_horizons(rows, FEATURES, {1: "y1", 3: "y3", 5: "y5"}, trials=2, families=(family,), space=_LIGHT)
+    return models.tune_two_stage(rows, FEATURES, {1: "y1", 3: "y3", 5: "y5"}, first=2, second=2, space=_LIGHT)
 
 
 _LIGHT = {"RandomForest": {"numTrees": ("int", 5, 10), "maxDepth": ("int", 3, 4)}, "Linear": models.SEARCH_SPACE["Linear"]}

@@ -8,7 +8,7 @@ from loomcast.functions.temporal import horizon_number
 from loomcast.operators import ranking, topk
 from loomcast.operators.chunks import DAILY
 from loomcast.plans.catalog import query, r, rounded
-from loomcast.plans.panels import DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs
+from loomcast.plans.panels import DAILY_SQL, HOURLY_SQL, METRICS_SQL, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import SCORES_SQL, feature_scores
 from loomcast.operators.metrics import forecast_metrics

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.chunks import DAILY, HOURLY
 from loomcast.operators.metrics import forecast_metrics
-from loomcast.operators.windows import add_lags, add_targets
+from loomcast.operators.windows import add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
-    daily_panel, daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
+    daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
 )
 from loomcast.plans.q_scores import RANKING_SQL, TRIALS_SQL, naive_trials, panel_ranking
 from loomcast.session import scratch_path

@@ -18,7 +18,7 @@ from loomcast.plans.panels import (
     daily_panel, daily_splits, hourly_panel, placed_sql, single_series,
 )
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
-from loomcast.plans.q_scores import RANK_SCORES, RANKING_SQL, SCORES_SQL, feature_scores, panel_ranking
+from loomcast.plans.q_scores import RANK_SCORES, RANKING_SQL, feature_scores, panel_ranking
 from loomcast.session import settled
 from loomcast.sources.readers import table
 from loomcast.spec import DAILY_LAGS, HOURLY_LAGS, build_features, feature_columns, hourly_spec

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loomcast.operators.chunks import SeriesShape
 from loomcast.operators.dedup import keep_first, only_new
 from loomcast.operators.topk import latest_rows
 from loomcast.spec import FeatureSpec, build_features
