@@ -31,7 +31,8 @@ class PathJoin:
 
     A node is split while it has more than ``bucket`` sets and is less than ``depth`` tokens
     deep; a node that is still larger then (copies that share nearly all tokens) is compared in
-    blocks of ``block`` sets. A pair at the threshold survives d levels of one run with the
+    blocks of ``block`` sets. A component is verified in blocks of about ``block_sets`` sets and
+    ``block_shingles`` shingles at most. A pair at the threshold survives d levels of one run with the
     probability that a branching process of mean one does; ``runs`` repeats lift the recall of a
     pair to ``recall`` at every depth.
     """
@@ -44,6 +45,7 @@ class PathJoin:
     recall: float = 0.985
     block: int = 4096
     block_shingles: int = 1_000_000
+    block_sets: int = 1000
 
     def runs(self) -> int:
         alive = 1.0
@@ -355,12 +357,13 @@ def verified_links(docs: DataFrame, sets: DataFrame, components: DataFrame, para
     kind = docs.schema["doc_id"].dataType.simpleString()
     ties = components.unionByName(components.select(F.col("root").alias("node"), "root").distinct())
     placed = ties.join(sets.select("sid", "size", "copies", "rep"), ties.node == sets.sid)
-    weight = placed.groupBy("root").agg(F.sum("size").alias("shingles"))
+    weight = placed.groupBy("root").agg(F.sum("size").alias("shingles"), F.count(F.lit(1)).alias("members"))
+    blocks = F.greatest(F.col("shingles") / params.block_shingles, F.col("members") / params.block_sets)
     sized = placed.join(weight, "root").select(
         F.col("root").alias("component"),
         "sid",
         "copies",
-        F.ceil(F.col("shingles") / params.block_shingles).cast("int").alias("blocks"),
+        F.ceil(blocks).cast("int").alias("blocks"),
         F.col("rep.doc_id").alias("rep_id"),
         F.col("rep.text_hash").alias("rep_hash"),
     )
