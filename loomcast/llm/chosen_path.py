@@ -428,10 +428,12 @@ def keep_one_of_each(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFram
         .select(F.col("doc_id").alias("__leave"))
         .distinct()
     )
-    stay = docs.join(leave, F.col("doc_id").eqNullSafe(F.col("__leave")), "left_anti")
-    repeated = stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
     ids = settled(repeated.select(F.col("doc_id").alias("__twice")), "path-repeated")
-    columns = docs.columns
-    several = stay.join(ids, F.col("doc_id") == F.col("__twice"), "left_semi")
-    one = several.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("x")).select("x.*")
-    return stay.join(ids, F.col("doc_id") == F.col("__twice"), "left_anti").unionByName(one)
+    twice = F.col("doc_id") == F.col("__twice")
+    # Ids that leave grow with the documents: a merge join at every size.
+    gone = F.col("doc_id").eqNullSafe(F.col("__leave"))
+    stay = docs.join(ids, twice, "left_anti").join(leave.hint("merge"), gone, "left_anti")
+    several = docs.join(ids, twice, "left_semi").join(leave, gone, "left_anti")
+    one = several.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
+    return stay.unionByName(one)

@@ -121,12 +121,13 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     their counts, rounded down, the first ones once more for what is left.
     """
     taken = systematic_copies(docs, mix).groupBy("doc_id").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    taken = taken.withColumnRenamed("doc_id", "__id").where(F.col("__copies") > 0)
+    taken = settled(taken.withColumnRenamed("doc_id", "__id").where(F.col("__copies") > 0), "mix-taken")
     columns = docs.columns
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    # Taken ids grow with the documents: a merge join at every size.
+    single = docs.join(taken.where("__rows = 1").hint("merge"), same).withColumn("__n", F.col("__copies"))
     turn = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64(*[F.col(c) for c in columns])))
-    single = joined.where("__rows = 1").withColumn("__n", F.col("__copies"))
-    several = joined.where("__rows > 1").withColumn("__turn", turn)
+    several = docs.join(settled(taken.where("__rows > 1"), "mix-repeated"), same).withColumn("__turn", turn)
     several = several.withColumn(
         "__n",
         F.floor(F.col("__copies") / F.col("__rows")) + F.when(F.col("__turn") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0),

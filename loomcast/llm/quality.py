@@ -313,4 +313,5 @@ def keep_sound(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFra
     all rows with a null id; they are dropped when any of them fails.
     """
     failed = judge_quality(docs, rules).where(~F.col("kept")).select(F.col("doc_id").alias("__failed")).distinct()
-    return docs.join(failed, F.col("doc_id").eqNullSafe(F.col("__failed")), "left_anti")
+    # Failed ids grow with the documents: a merge join at every size.
+    return docs.join(failed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__failed")), "left_anti")

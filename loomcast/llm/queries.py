@@ -69,7 +69,7 @@ _BASE32 = " || ".join(
     m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS newest FROM d)
     SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
            CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
-           CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to
+           CASE WHEN page_id <> newest THEN newest END AS refers_to
     FROM m
     """,
 )
