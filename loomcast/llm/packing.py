@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +19,9 @@ from loomcast.llm.common import whole
 from loomcast.session import settled
 
 TOKENIZER = "word_bpe_49k.json"
+# A full stop or comma that ends a word is a piece of its own after a letter or digit. Only letters
+# that no normal form takes apart are listed; other words simply stay whole.
+_ENDING = re.compile(r"(?<=[a-zA-Z0-9\u00df-\u00f6\u00f8-\u00ff])([.,])(?=[ \n]|\Z)")
 
 
 @dataclass(frozen=True)
@@ -26,7 +31,7 @@ class Packing:
     tokenizer: str = TOKENIZER
     window: int = 2048
     end_id: int = 1
-    cached_words: int = 300_000
+    cached_words: int = 500_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,21 +58,40 @@ class WordEncoder:
         self.most = packing.cached_words
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        """Parts of a text that the tokenizer treats alone, in few spellings: ASCII letters are
+        lower-cased as the tokenizer does, except near its special strings."""
+        if "<|" not in text:
+            text = text.encode().lower().decode()
+        return _ENDING.sub(r" \1", text).replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Ids of each text, then ``end_id``, as little-endian unsigned 32-bit numbers."""
-        split = [t.split(" ") for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.asarray(got.ids, dtype="<u4").tobytes()
-        end = np.uint32(end_id).astype("<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, words)) + end for words in split]
+        get, end, out = self.known.get, array("I", [end_id]).tobytes(), []
+        for text in texts:
+            pieces = self.pieces(text)
+            ids = list(map(get, pieces))
+            if None in ids:
+                own = self.learn({p for p, known in zip(pieces, ids, strict=True) if known is None})
+                ids = [own[p] if known is None else known for p, known in zip(pieces, ids, strict=True)]
+            ids.append(end)
+            out.append(b"".join(ids))
+        return out
+
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not in the cache; they are added to it. A word of small ASCII
+        letters passes normal form and splitting unchanged, so it goes to the model directly."""
+        tokenize = self.tokenizer.model.tokenize
+        plain = [p for p in new if p.isascii() and p.isalpha() and p.islower()]
+        own = {p: array("I", [t.id for t in tokenize(p)]).tobytes() for p in plain}
+        rest = [p for p in new if p not in own]
+        for piece, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            own[piece] = array("I", got.ids).tobytes()
+        if len(self.known) + len(own) > self.most:
+            self.known.clear()
+        self.known.update(own)
+        return own
 
 
 def _tokenised(packing: Packing):
