@@ -368,8 +368,9 @@ def verified_links(docs: DataFrame, sets: DataFrame, components: DataFrame, para
         F.col("rep.text_hash").alias("rep_hash"),
     )
     texts = docs.select("doc_id", whole().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    # Candidates grow with the documents, so they are never broadcast: a merge join at every size.
     found = texts.join(
-        settled(sized, "path-candidates"), F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash"))
+        settled(sized, "path-candidates").hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash"))
     ).select("component", "sid", "copies", "blocks", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
