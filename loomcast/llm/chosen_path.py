@@ -40,8 +40,8 @@ class PathJoin:
     words: int = 5
     similarity: float = 0.8
     coordinates: int = 64
-    bucket: int = 64
-    depth: int = 4
+    bucket: int = 256
+    depth: int = 3
     recall: float = 0.985
     block: int = 4096
     block_shingles: int = 1_000_000
