@@ -103,9 +103,10 @@ def with_neighbour(docs: DataFrame) -> DataFrame:
     n = parallel(docs)
     rows = docs.select("doc_id", whole().alias("text"), F.col("doc_id").cast("double").alias("__at"))
     cuts = rows.agg(F.percentile_approx("__at", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *sorted(set(cuts) or {0.0}), float("inf")]
     cutter = Bucketizer(splits=splits, inputCol="__at", outputCol="__bucket", handleInvalid="keep")
-    placed = cutter.transform(rows).select("doc_id", "text", F.col("__bucket").cast("int").alias("bucket"))
+    numbers = rows.withColumn("__at", F.coalesce("__at", F.lit(float("nan"))))  # null ids: the last bucket
+    placed = cutter.transform(numbers).select("doc_id", "text", F.col("__bucket").cast("int").alias("bucket"))
     firsts = placed.groupBy("bucket").agg(F.min("doc_id").alias("first_id"))
     in_order = Window.orderBy("bucket")
     whole_table = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
