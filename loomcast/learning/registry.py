@@ -44,7 +44,7 @@ def missing_configs(horizons: DataFrame, tuned: DataFrame) -> DataFrame:
 
 def promote(models: DataFrame, chosen: DataFrame) -> DataFrame:
     """Set the stage of the chosen ``model_id`` rows to production."""
-    marked = models.join(chosen.select("model_id", F.lit(True).alias("__chosen")), "model_id", "left")
+    marked = models.join(chosen.select("model_id").distinct().withColumn("__chosen", F.lit(True)), "model_id", "left")
     return marked.withColumn("stage", F.when(F.col("__chosen"), "production").otherwise(F.col("stage"))).drop("__chosen")
 
 

@@ -12,7 +12,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomcast.functions.numeric import impute_and_clip, standardise
@@ -72,10 +72,10 @@ def apply_state(df: DataFrame, state: Sequence[Row]) -> DataFrame:
     return df.withColumns({r.feature: scaled(r) for r in state})
 
 
-def train_categories(train: DataFrame, column: str, most: int = 1000) -> list[str]:
-    """Sorted categories seen in training, null as ``none``; too many for columns is an error."""
-    seen = train.select(F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("c")).distinct().limit(most + 1).collect()
-    if len(seen) > most:
+def train_categories(train: DataFrame, column: str, most: int | None = None) -> list[str]:
+    """Sorted categories seen in training, null as ``none``; more than an asked ``most`` is an error."""
+    seen = train.select(F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("c")).distinct().collect()
+    if most is not None and len(seen) > most:
         raise ValueError(f"{column} has more than {most} categories; one-hot columns are not made from it")
     return sorted(r["c"] for r in seen)
 
@@ -86,11 +86,20 @@ def one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
     return df.withColumns({f"{column}_{c}": (value == c).cast("double") for c in categories}).drop(column)
 
 
-def ordinal(df: DataFrame, column: str, train: DataFrame, most: int = 1000) -> DataFrame:
-    """Add ``<column>_code``: place among the sorted training categories, -1 when unknown."""
-    codes = train_categories(train.where(F.col(column).isNotNull()), column, most)
-    place = F.array_position(F.array(*[F.lit(c) for c in codes]), F.col(column).cast("string")) - 1
-    return df.withColumn(f"{column}_code", F.coalesce(place, F.lit(-1)).cast("int"))
+def ordinal(df: DataFrame, column: str, train: DataFrame) -> DataFrame:
+    """Add ``<column>_code``: place among the sorted training categories, -1 when unknown.
+
+    Codes are a table, one row per category, and are joined: any number of categories will do.
+    """
+    seen = train.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("__category")).distinct()
+    codes = seen.withColumn("__code", F.row_number().over(Window.orderBy("__category")) - 1)
+    joined = df.join(codes, F.col(column).cast("string") == F.col("__category"), "left")
+    return joined.withColumn(f"{column}_code", F.coalesce("__code", F.lit(-1)).cast("int")).drop("__category", "__code")
+
+
+def _or(fence: float | None, open_end: float) -> float:
+    """A column without values in training is not clipped."""
+    return open_end if fence is None else float(fence)
 
 
 class _ClipParams(Params):
@@ -115,8 +124,8 @@ class IqrClipper(Estimator, _ClipParams, DefaultParamsReadable, DefaultParamsWri
         model = IqrClipperModel()
         model._set(
             inputCols=columns,
-            lower=[float(rows[c]["lower"]) for c in columns],
-            upper=[float(rows[c]["upper"]) for c in columns],
+            lower=[_or(rows[c]["lower"], float("-inf")) for c in columns],
+            upper=[_or(rows[c]["upper"], float("inf")) for c in columns],
         )
         return model
 

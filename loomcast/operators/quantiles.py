@@ -27,9 +27,13 @@ def exact_quantiles(
     by: Sequence[str] = (),
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Rows ``(by..., feature, p, n, value)``, linear interpolation, nulls ignored."""
+    """Rows ``(by..., feature, p, n, value)``, linear interpolation, nulls and NaN ignored.
+
+    A column without any value has a row with n = 0 and a null value, grouped or not.
+    """
     by, margin = list(by), 4 / accuracy
-    data = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    known = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
+    data = df.select(*by, *known)
     pairs = [(c, i, p) for c in columns for i, p in enumerate(probabilities)]
     bounds = [q for p in probabilities for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketches = data.groupBy(*by).agg(
@@ -53,8 +57,6 @@ def exact_quantiles(
         marked = null_safe_join(data, settled(brackets, "brackets"), by)
     else:
         row = brackets.first()
-        if max(row[f"{c}__n"] for c in columns) <= accuracy // 2:
-            return _small_quantiles(data, columns, probabilities)
         fixed = [f.name for f in brackets.schema.fields]
         marked = data.select("*", *[F.lit(row[n]).cast(brackets.schema[n].dataType).alias(n) for n in fixed])
     under = marked.groupBy(*by).agg(
@@ -99,7 +101,7 @@ def exact_quantiles(
     counted = inside.groupBy(*by, "feature", "i", "v").agg(F.count(F.lit(1)).alias("copies"))
     running = Window.partitionBy(*by, "feature", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("reached", F.sum("copies").over(running))
-    joined = null_safe_join(ranked, under, [*by, "feature", "i"])
+    joined = null_safe_join(under, ranked, [*by, "feature", "i"], "left")
     rank = (F.col("n") - 1) * F.col("p")
     upto = F.col("below") + F.col("reached")
     found = joined.groupBy(*by, "feature", "p", "n", "below").agg(
@@ -113,21 +115,10 @@ def exact_quantiles(
         "feature",
         "p",
         "n",
-        F.when(sound, value).otherwise(F.raise_error(F.lit("quantile rank outside its bracket"))).alias("value"),
+        F.when(F.col("n") == 0, F.lit(None)).when(sound, value).otherwise(F.raise_error(F.lit("quantile rank outside its bracket"))).alias("value"),
     )
 
 
-def _small_quantiles(data: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """One aggregate for columns known to hold few values (at most half the sketch accuracy)."""
-    wide = data.agg(*[f.alias(f"{c}__{n}") for c in columns for n, f in (("q", F.percentile(c, list(probabilities))), ("n", F.count(c)))])
-    rows = [
-        F.struct(F.lit(c).alias("feature"), F.lit(float(p)).alias("p"), F.col(f"{c}__n").alias("n"), F.get(f"{c}__q", F.lit(i)).alias("value"))
-        for c in columns
-        for i, p in enumerate(probabilities)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
-
-
 def quantiles_wide(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """One row per ``(by..., feature)`` with ``q0, q1, ...`` in the order of ``probabilities``."""
     long = exact_quantiles(df, columns, probabilities, by)

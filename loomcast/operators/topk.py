@@ -7,14 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Most rows a history request returns.
-MAX_DAYS = 365
-MAX_HOURS = 168
-
-
-def clamp_rows(asked: int | None, cap: int) -> int | None:
-    """Rows to return: at least 1, at most ``cap``; nothing asked means all."""
-    return None if asked is None else max(1, min(asked, cap))
+def clamp_rows(asked: int | None, cap: int | None = None) -> int | None:
+    """Rows to return: at least 1, at most a ``cap`` that the caller sets; nothing asked means all."""
+    return None if asked is None else max(1, asked if cap is None else min(asked, cap))
 
 
 def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:

@@ -8,7 +8,6 @@ from loomcast.learning import models, registry, selection, state
 from loomcast.operators.chunks import DAILY, HOURLY
 from loomcast.operators.metrics import average_metrics, forecast_metrics, winners
 from loomcast.operators.ranking import overlap
-from loomcast.operators.topk import first_rows
 from loomcast.operators.windows import add_lags, add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
@@ -234,12 +233,11 @@ def promoted_models(spark, folder):
     "ml13_evaluation_points",
     f"""WITH {DAILY_SQL}, {placed_sql('d')}, {pairs_sql(DAILY_HORIZONS)}
 SELECT series_id, horizon, ts, {r('y')} AS y, {r('yhat')} AS yhat, {r('abs(y - yhat)')} AS error FROM pairs
-WHERE split = 'test' AND y IS NOT NULL QUALIFY row_number() OVER (PARTITION BY series_id, horizon ORDER BY ts) <= 200""",
+WHERE split = 'test' AND y IS NOT NULL""",
 )
 def evaluation_points(spark, folder):
-    """First 200 actual / predicted pairs of each series and horizon."""
+    """All actual / predicted pairs of each series and horizon."""
     pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS).where("split = 'test' AND y IS NOT NULL")
-    kept = first_rows(pairs, ["series_id", "horizon"], ["ts"], 200)
-    return kept.select(
+    return pairs.select(
         "series_id", "horizon", "ts", rounded("y"), rounded("yhat"), rnd(F.abs(F.col("y") - F.col("yhat")), 6).alias("error")
     )

@@ -18,19 +18,18 @@ from loomcast.sources.readers import table
 
 @query(
     "tk01_latest_rows",
-    f"WITH {HOURLY_SQL} SELECT series_id, ts, {r('temp')} AS temp FROM h QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 168",
+    f"WITH {HOURLY_SQL} SELECT series_id, ts, {r('temp')} AS temp FROM h QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 500",
 )
 def latest_rows(spark, folder):
-    """A request for more hours than the cap gets the cap."""
+    """A request gets as many hours as it asks for."""
     panel = hourly_panel(spark, folder).select("series_id", "ts", "temp")
-    asked = topk.clamp_rows(500, topk.MAX_HOURS)
-    return topk.latest_rows(panel, ["series_id"], "ts", asked).select("series_id", "ts", rounded("temp"))
+    return topk.latest_rows(panel, ["series_id"], "ts", topk.clamp_rows(500)).select("series_id", "ts", rounded("temp"))
 
 
 @query("tk01_latest_rows_global", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 365")
 def latest_rows_global(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    return topk.first_rows(orders, [], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], topk.clamp_rows(365, topk.MAX_DAYS))
+    return topk.first_rows(orders, [], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], topk.clamp_rows(365))
 
 
 @query(

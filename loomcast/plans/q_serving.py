@@ -22,7 +22,7 @@ from loomcast.session import settled
 SELECT series_id, count(*) AS total_records, strftime(min(ts), '%Y-%m-%dT%H:%M:%S') AS start, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS "end" FROM k GROUP BY 1""",
 )
 def history_envelope(spark, folder):
-    _, envelope = serving.history(hourly_panel(spark, folder).select("series_id", "ts", "precip"), ["series_id"], "ts", 72, hourly=True)
+    _, envelope = serving.history(hourly_panel(spark, folder).select("series_id", "ts", "precip"), ["series_id"], "ts", 72)
     return envelope
 
 

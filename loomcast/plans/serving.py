@@ -11,18 +11,20 @@ from loomcast.functions.numeric import confidence_interval, display
 from loomcast.functions.temporal import iso_text
 from loomcast.functions.text import canonical_record
 from loomcast.operators.filters import first_of_date
-from loomcast.operators.topk import MAX_DAYS, MAX_HOURS, clamp_rows, latest_rows
+from loomcast.operators.topk import clamp_rows, latest_rows
 from loomcast.sources.writers import export_envelope, export_records
 
 # Error assumed for a horizon without metrics, and rows a forecast asks for.
 FALLBACK_RMSE = 1.6
 LEAST_DAYS = 84
-LEAST_HOURS = 168
 
 
-def history(df: DataFrame, key: Sequence[str], ts: str, rows: int | None, hourly: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Newest rows as records, and the envelope with their number, first and last time."""
-    kept = latest_rows(df, key, ts, clamp_rows(rows, MAX_HOURS if hourly else MAX_DAYS))
+def history(df: DataFrame, key: Sequence[str], ts: str, rows: int | None, cap: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Newest rows as records, and the envelope with their number, first and last time.
+
+    ``cap`` is the limit of a service, if it has one; nothing is cut without it.
+    """
+    kept = latest_rows(df, key, ts, clamp_rows(rows, cap))
     return export_records(kept, key, ts), export_envelope(kept, key, ts)
 
 

@@ -45,10 +45,14 @@ _own_folders: dict[str, str] = {}
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the setting is absent (tests, one machine).
+    A folder of our own is made only where the setting is absent and driver and executors are
+    one process; a cluster without the setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         application = spark.sparkContext.applicationId
         if application not in _own_folders:
             _own_folders[application] = tempfile.mkdtemp(prefix="loomcast-")

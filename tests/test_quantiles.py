@@ -49,3 +49,30 @@ def test_wide_form(spark):
 def test_most_frequent_smallest_wins_a_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), ("c",), (None,)], "x string")
     assert most_frequent(df, "x").first()["x"] == "a"
+
+
+def test_nan_and_empty_columns_at_every_accuracy(spark):
+    rows = [(g, float("nan") if i % 20 == 0 else float(i), None) for g in ("a", "b") for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, x double, z double")
+    for by in ([], ["g"]):
+        for accuracy in (50, 100_000):
+            found = exact_quantiles(df, ["x", "z"], (0.5, 0.99), by, accuracy).collect()
+            assert len(found) == 4 * (2 if by else 1)
+            assert all(r.n == 0 and r.value is None for r in found if r.feature == "z")
+            values = sorted(float(i) for i in range(100) if i % 20) * (1 if by else 2)
+            for r in (r for r in found if r.feature == "x"):
+                assert r.n == len(values)
+                assert r.value == pytest.approx(np.quantile(values, r.p))
+
+
+def test_any_number_of_categories_and_empty_columns_in_state(spark):
+    from loomcast.learning import state
+
+    df = spark.range(5000).selectExpr("concat('c', lpad(id, 5, '0')) AS icon", "cast(null AS double) AS z", "cast(id AS double) AS x")
+    coded = state.ordinal(df, "icon", df)
+    assert coded.where("icon_code != x").count() == 0 and coded.count() == 5000
+    assert len(state.train_categories(df, "icon")) == 5000
+    fitted = {r["feature"]: r for r in state.fit_state(df, ["x", "z"])}
+    assert fitted["z"]["centre"] is None and fitted["x"]["centre"] == 2499.5
+    clipper = state.IqrClipper(inputCols=["x", "z"]).fit(df)
+    assert clipper.transform(df).where("z IS NOT NULL").count() == 0
