@@ -12,11 +12,11 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.functions.temporal import forecast_time, horizon_label
-from loomcast.operators.dedup import last_rows
+from loomcast.operators.dedup import keep_last
 from loomcast.operators.metrics import forecast_metrics
 
 FEATURES = "__features"
@@ -54,42 +54,99 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="skip").transform(df)
 
 
+FeatureLists = Sequence[str] | Mapping[int, Sequence[str]]
+
+
+def lists_by_horizon(features: FeatureLists, horizons: Sequence[int]) -> dict[int, list[str]]:
+    """Features of each horizon; one list without horizons serves all of them."""
+    if isinstance(features, Mapping):
+        return {h: list(features[h]) for h in horizons}
+    return {h: list(features) for h in horizons}
+
+
+def vector_columns(lists: Mapping[int, Sequence[str]]) -> dict[int, str]:
+    """Name of the vector column of each horizon; horizons with the same list share one."""
+    names: dict[tuple[str, ...], str] = {}
+    return {h: names.setdefault(tuple(lists[h]), f"{FEATURES}_{len(names)}") for h in sorted(lists)}
+
+
+def complete(features: Sequence[str]) -> Column:
+    """Whether a row has every feature."""
+    out = F.lit(True)
+    for c in features:
+        out = out & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return out
+
+
+def with_vectors(df: DataFrame, lists: Mapping[int, Sequence[str]]) -> DataFrame:
+    """Add the vector column of every distinct list; all rows stay, missing values are NaN."""
+    user = {name: h for h, name in vector_columns(lists).items()}
+    for name, h in user.items():
+        df = VectorAssembler(inputCols=list(lists[h]), outputCol=name, handleInvalid="keep").transform(df)
+    return df
+
+
 class MultiHorizonModel(Transformer):
-    """One fitted model per horizon over one feature vector; output is long."""
+    """One fitted model per horizon, each over its own feature list; output is long."""
 
-    def __init__(self, features: Sequence[str], models: Mapping[int, Transformer]) -> None:
+    def __init__(self, features: FeatureLists, models: Mapping[int, Transformer]) -> None:
         super().__init__()
-        self.features, self.models = list(features), dict(sorted(models.items()))
+        self.models = dict(sorted(models.items()))
+        self.lists = lists_by_horizon(features, list(self.models))
+
+    @property
+    def features(self) -> list[str]:
+        """Every feature that some horizon uses."""
+        return list(dict.fromkeys(c for names in self.lists.values() for c in names))
 
     def model_for(self, horizon: int) -> Transformer | None:
         return self.models.get(horizon)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """Every row once per horizon with ``horizon`` and ``yhat``; features are built once."""
+        """Every row once per horizon with ``horizon`` and ``yhat``; features are built once.
+
+        A row that lacks a feature of a horizon stays, with a null ``yhat``.
+        """
         kept = dataset.columns
-        scored = assemble(dataset, self.features)
+        scored = with_vectors(dataset, self.lists)
         for model in self.models.values():
             scored = model.transform(scored)
-        pairs = [F.struct(F.lit(h).alias("horizon"), F.col(f"yhat_{h}").alias("yhat")) for h in self.models]
+        pairs = [
+            F.struct(F.lit(h).alias("horizon"), F.when(complete(self.lists[h]), F.col(f"yhat_{h}")).alias("yhat"))
+            for h in self.models
+        ]
         return scored.select(*kept, F.inline(F.array(*pairs)))
 
     def save(self, path: str) -> None:
+        """Models, and the table of their feature lists: all that ``load`` needs."""
         for h, model in self.models.items():
-            PipelineModel([model]).write().overwrite().save(f"{path}/horizon={h}")
+            PipelineModel([model]).write().overwrite().save(f"{path}/models/horizon={h}")
+        rows = [(h, i, c) for h, names in self.lists.items() for i, c in enumerate(names)]
+        lists = SparkSession.active().createDataFrame(rows, "horizon int, place int, feature string")
+        lists.coalesce(1).write.mode("overwrite").parquet(f"{path}/lists")
 
     @classmethod
-    def load(cls, path: str, features: Sequence[str], horizons: Sequence[int]) -> MultiHorizonModel:
-        return cls(features, {h: PipelineModel.load(f"{path}/horizon={h}") for h in horizons})
+    def load(cls, path: str) -> MultiHorizonModel:
+        lists: dict[int, list[str]] = {}
+        for row in SparkSession.active().read.parquet(f"{path}/lists").orderBy("horizon", "place").collect():
+            lists.setdefault(row["horizon"], []).append(row["feature"])
+        return cls(lists, {h: PipelineModel.load(f"{path}/models/horizon={h}") for h in lists})
 
 
-def persist_training_rows(df: DataFrame, features: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """Assembled rows kept for the many fits; the caller unpersists."""
-    return assemble(df, features).select("split", *targets, FEATURES).persist()
+def persist_training_rows(df: DataFrame, lists: Mapping[int, Sequence[str]], targets: Mapping[int, str]) -> DataFrame:
+    """Assembled rows kept for the many fits; the caller unpersists.
+
+    ``y<h>__ready`` tells whether a row has the label and all features of a horizon.
+    """
+    ready = [(complete(lists[h]) & F.col(targets[h]).isNotNull()).alias(f"{targets[h]}__ready") for h in lists]
+    vectors = list(dict.fromkeys(vector_columns(lists).values()))
+    labels = list(dict.fromkeys(targets[h] for h in lists))
+    return with_vectors(df, lists).select("split", *labels, *vectors, *ready).persist()
 
 
 def train_horizons(
     df: DataFrame,
-    features: Sequence[str],
+    features: FeatureLists,
     targets: Mapping[int, str],
     configs: Mapping[int, ModelConfig],
     splits: Sequence[str] = ("train", "dev"),
@@ -99,37 +156,41 @@ def train_horizons(
 ) -> tuple[MultiHorizonModel, DataFrame]:
     """Fit every horizon that has a configuration; returns the model and its metadata rows.
 
-    The fits are independent and run as concurrent Spark jobs over the same kept rows.
+    The fits are independent and run as concurrent Spark jobs over the same kept rows. A fit
+    takes the rows that have its label and its features; ``n_samples`` counts them.
     """
-    rows = persist_training_rows(df.where(F.col("split").isin(*splits)), features, list(targets.values()))
+    wanted = [h for h in targets if h in configs]
+    lists = lists_by_horizon(features, wanted)
+    vectors = vector_columns(lists)
+    rows = persist_training_rows(df.where(F.col("split").isin(*splits)), lists, targets)
 
     def fit(h: int) -> tuple[Transformer, float]:
         started = time.perf_counter()
-        fitted = configs[h].estimator(targets[h], f"yhat_{h}").fit(rows.where(F.col(targets[h]).isNotNull()))
-        return fitted, time.perf_counter() - started
+        estimator = configs[h].estimator(targets[h], f"yhat_{h}", vectors[h])
+        return estimator.fit(rows.where(f"{targets[h]}__ready")), time.perf_counter() - started
 
-    wanted = [h for h in targets if h in configs]
     try:
-        sizes = rows.agg(*[F.count(t).alias(t) for t in targets.values()]).first()
+        sizes = rows.agg(*[F.count_if(f"{targets[h]}__ready").alias(str(h)) for h in wanted]).first()
         with ThreadPoolExecutor(parallelism) as pool:
             fitted = dict(zip(wanted, pool.map(fit, wanted)))
     finally:
         rows.unpersist()
     records = [
-        (h, configs[h].family, (feature_types or {}).get(h, "ALL"), len(features), sizes[targets[h]], (tuned or {}).get(h), fitted[h][1])
+        (h, configs[h].family, (feature_types or {}).get(h, "ALL"), len(lists[h]), sizes[str(h)], (tuned or {}).get(h), fitted[h][1])
         for h in wanted
     ]
-    model = MultiHorizonModel(features, {h: m for h, (m, _) in fitted.items()})
+    model = MultiHorizonModel(lists, {h: m for h, (m, _) in fitted.items()})
     return model, df.sparkSession.createDataFrame(records, METADATA_SCHEMA)
 
 
 def predict_latest(model: MultiHorizonModel, features: DataFrame, key: Sequence[str], ts: str, unit: str) -> DataFrame:
-    """Newest complete row of each series to one forecast per horizon.
+    """One forecast per series and horizon, from the newest row that has every feature.
 
-    The base time is the time of the row that was scored.
+    A series without such a row keeps its newest row and has null forecasts where a feature is
+    missing. The base time is the time of the row that was scored.
     """
-    complete = features.dropna(subset=model.features)
-    newest = last_rows(complete.select(*key, ts, *model.features), key, ts)
+    rows = features.select(*key, ts, *[c for c in model.features if c != ts], complete(model.features).alias("__complete"))
+    newest = keep_last(rows, key, ["__complete", ts])
     short = "h" if unit == "HOUR" else ""
     return model.transform(newest).select(
         *key,
@@ -142,9 +203,9 @@ def predict_latest(model: MultiHorizonModel, features: DataFrame, key: Sequence[
 
 
 def score_split(model: MultiHorizonModel, df: DataFrame, split: str, targets: Mapping[int, str], keep: Sequence[str]) -> DataFrame:
-    """Actual and predicted values of one split, long by horizon."""
+    """Actual and predicted values of one split, long by horizon; every row of the split stays."""
     actual = F.element_at(F.create_map(*[x for h, t in targets.items() for x in (F.lit(h), F.col(t))]), F.col("horizon"))
-    scored = model.transform(df.where(F.col("split") == split).dropna(subset=model.features))
+    scored = model.transform(df.where(F.col("split") == split))
     return scored.select(*keep, "horizon", actual.alias("y"), "yhat")
 
 
@@ -163,7 +224,7 @@ def draw(space: Mapping[str, tuple], rng: random.Random) -> dict[str, float]:
 
 def tune_horizons(
     df: DataFrame,
-    features: Sequence[str],
+    features: FeatureLists,
     targets: Mapping[int, str],
     trials: int,
     families: Sequence[str] = tuple(SEARCH_SPACE),
@@ -181,12 +242,14 @@ def tune_horizons(
         for i in range(trials):
             family = families[i % len(families)] if trials >= len(families) else rng.choice(list(families))
             plan.append((h, i, ModelConfig(family, draw(space[family], rng))))
-    rows = persist_training_rows(df.where(F.col("split").isin("train", "dev")), features, list(targets.values()))
+    lists = lists_by_horizon(features, list(targets))
+    vectors = vector_columns(lists)
+    rows = persist_training_rows(df.where(F.col("split").isin("train", "dev")), lists, targets)
 
     def run(job: tuple[int, int, ModelConfig]) -> tuple:
         h, i, config = job
-        labelled = rows.where(F.col(targets[h]).isNotNull())
-        fitted = config.estimator(targets[h], "yhat").fit(labelled.where("split = 'train'"))
+        labelled = rows.where(f"{targets[h]}__ready")
+        fitted = config.estimator(targets[h], "yhat", vectors[h]).fit(labelled.where("split = 'train'"))
         pairs = fitted.transform(labelled.where("split = 'dev'")).select(F.col(targets[h]).alias("y"), "yhat")
         score = forecast_metrics(pairs, by=()).first()
         return h, i, config.family, {k: str(v) for k, v in config.params.items()}, score["rmse"], score["mae"]
@@ -213,7 +276,7 @@ def best_configs(trials: DataFrame) -> dict[int, tuple[ModelConfig, float]]:
 
 def tune_two_stage(
     df: DataFrame,
-    features: Sequence[str],
+    features: FeatureLists,
     targets: Mapping[int, str],
     first: int,
     second: int,

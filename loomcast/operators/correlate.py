@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _present(column: str) -> Column:
+    """The value as a double; NaN counts as missing."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def correlation(a: str, b: str) -> Column:
     """Pearson correlation over the rows that have both values, null where one of them is constant.
 
     The built-in ``corr`` stops the job on a constant column.
     """
-    x = F.when(F.col(b).isNotNull(), F.col(a))
-    y = F.when(F.col(a).isNotNull(), F.col(b))
+    x = F.when(_present(b).isNotNull(), _present(a))
+    y = F.when(_present(a).isNotNull(), _present(b))
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -27,14 +32,51 @@ def correlation_with(df: DataFrame, features: Sequence[str], target: str) -> Dat
     return wide.select(F.inline(F.array(*pairs)))
 
 
+# Spread below this share of the square sum is rounding: the column is constant.
+CONSTANT = 1e-13
+MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def _cross_products(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Moments of every pair of columns over the rows of a partition that have both values."""
+    i, j = np.triu_indices(width, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, first, square, product = (np.zeros((width, width)) for _ in range(4))
+        for batch in batches:
+            has = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            x = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            count += has.T @ has
+            first += x.T @ has
+            square += (x * x).T @ has
+            product += x.T @ x
+        sums = (count[i, j], first[i, j], first[j, i], square[i, j], square[j, i], product[i, j])
+        arrays = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, sums)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["i", "j", *MOMENTS])
+
+    return run
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long matrix ``(a, b, correlation)`` with both triangles and the diagonal."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [(a, b, F.col(f"`{a}|{b}`")) for a, b in pairs]
-    cells += [(b, a, value) for a, b, value in cells] + [(c, c, F.lit(1.0)) for c in columns]
-    return wide.select(
-        F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), v.alias("correlation")) for a, b, v in cells]))
+    """Long matrix ``(a, b, correlation)`` with both triangles and the diagonal.
+
+    One pass for the means, one for the cross products around them: a matrix product per Arrow
+    batch and one row per pair and partition, so the plan does not grow with the columns. A pair
+    uses the rows that have both values; NaN counts as missing; a constant has no correlation.
+    """
+    columns = list(columns)
+    means = df.agg(*[F.avg(_present(c)).alias(f"m{k}") for k, c in enumerate(columns)]).first()
+    centred = df.select(*[(_present(c) - F.lit(means[k] or 0.0)).alias(f"x{k}") for k, c in enumerate(columns)])
+    parts = centred.mapInArrow(_cross_products(len(columns)), "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS))
+    total = parts.groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in MOMENTS])
+    spread_x, spread_y = F.expr("sxx - try_divide(sx * sx, n)"), F.expr("syy - try_divide(sy * sy, n)")
+    varies = (F.col("n") > 0) & (spread_x > CONSTANT * F.col("sxx")) & (spread_y > CONSTANT * F.col("syy"))
+    value = F.when(varies, F.expr("sxy - try_divide(sx * sy, n)") / F.sqrt(spread_x * spread_y))
+    found = total.select("i", "j", value.alias("correlation"))
+    cells = [(a, b, min(k, m), max(k, m)) for k, a in enumerate(columns) for m, b in enumerate(columns)]
+    named = df.sparkSession.createDataFrame(cells, "a string, b string, i int, j int")
+    return named.join(found, ["i", "j"], "left").select(
+        "a", "b", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.col("correlation")).alias("correlation")
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,16 @@ def labelled_features(observations: DataFrame, config: JobConfig) -> DataFrame:
     return split.withColumnsRenamed(renames)
 
 
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table of an earlier run, or None where there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def run_forecast_job(
     spark: SparkSession, observations: DataFrame, config: JobConfig, folder: str, skip: Sequence[str] = ()
 ) -> dict[str, str]:
@@ -97,7 +108,12 @@ def run_forecast_job(
         )
         write_table(lists, paths["lists"])
         write_table(shares, paths["overlap"])
-    chosen = [r["feature"] for r in spark.read.parquet(paths["lists"]).select("feature").distinct().orderBy("feature").collect()]
+    assigned = spark.read.parquet(paths["lists"]).select("horizon", "feature_type", "feature").orderBy("horizon", "feature").collect()
+    own: dict[int, list[str]] = {}
+    for r in assigned:
+        own.setdefault(r["horizon"], []).append(r["feature"])
+    kinds = {r["horizon"]: r["feature_type"] for r in assigned}
+    chosen = sorted({r["feature"] for r in assigned})
 
     categories = [c for c in spec.categories if c in rows.columns]
     if "preprocess" not in skip:
@@ -105,14 +121,15 @@ def run_forecast_job(
         write_table(state.state_table(spark, state.fit_state(train, chosen, config.imputation)), paths["state"])
         seen = [(c, v) for c in categories for v in state.train_categories(train, c)]
         write_table(spark.createDataFrame(seen, "feature string, category string"), paths["categories"])
-        kept = usable.select(*key, spec.shape.ts, "split", spec.target, *chosen, *categories, *labels)
+        outside = [c for c in (spec.target,) if c not in chosen]
+        kept = usable.select(*key, spec.shape.ts, "split", *outside, *chosen, *categories, *labels)
         prepared = state.apply_state(kept, state.load_state(spark.read.parquet(paths["state"])))
         for c in categories:
             prepared = state.one_hot(prepared, c, [v for f, v in seen if f == c])
         write_split_tables(prepared, paths["prepared"])
     prepared = spark.read.parquet(paths["prepared"])
     encoded = [c for c in prepared.columns if any(c.startswith(f"{k}_") for k in categories)]
-    features = [*chosen, *encoded]
+    features = {h: list(dict.fromkeys([*names, *encoded])) for h, names in own.items()}
 
     if "tune" not in skip:
         write_table(
@@ -121,18 +138,17 @@ def run_forecast_job(
             ),
             paths["trials"],
         )
-        tuned = models.best_configs(spark.read.parquet(paths["trials"]))
-    else:
-        tuned = {}
+    trials = stored_table(spark, paths["trials"])
+    tuned = models.best_configs(trials) if trials is not None else {}
     configs = {h: tuned[h][0] if h in tuned else config.default_model for h in targets}
 
     if "train" not in skip:
         model, metadata = models.train_horizons(
-            prepared, features, targets, configs, tuned={h: rmse for h, (_, rmse) in tuned.items()}
+            prepared, features, targets, configs, feature_types=kinds, tuned={h: rmse for h, (_, rmse) in tuned.items()}
         )
         model.save(paths["models"])
         append_rows(metadata, paths["metadata"])
-    model = models.MultiHorizonModel.load(paths["models"], features, list(targets))
+    model = models.MultiHorizonModel.load(paths["models"])
 
     if "evaluate" not in skip:
         scored = models.score_split(model, prepared, "test", targets, [*key, spec.shape.ts])

@@ -266,7 +266,7 @@ def hourly_features(spark, folder):
     spec = hourly_spec(HOURLY)
     out = build_features(hourly_panel(spark, folder), spec)
     whole = {"year", "hour", "is_night", "precip", "winddir"}
-    names = ["temp", *feature_columns(out, spec)]
+    names = list(dict.fromkeys(["temp", *feature_columns(out, spec)]))
     return out.select(
         "series_id", "ts",
         *[F.col(c) if c in whole or c.startswith("is_") else rnd(c, 6 if c in ENCODED else 4).alias(c) for c in names],

@@ -162,11 +162,13 @@ def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def feature_columns(df: DataFrame, spec: FeatureSpec) -> list[str]:
-    """Numeric feature names of a feature table, in column order."""
-    outside = {
-        *spec.shape.key, spec.shape.ts, "pos", "series_rows", "split", spec.target,
-        *spec.categories, *spec.target_names(),
-    }
+    """Numeric feature names of a feature table, in column order.
+
+    The current value of the target is a feature where the bases are kept.
+    """
+    outside = {*spec.shape.key, spec.shape.ts, "pos", "series_rows", "split", *spec.categories, *spec.target_names()}
+    if not spec.keep_bases:
+        outside.add(spec.target)
     numbers = ("double", "float", "int", "bigint", "smallint", "tinyint")
     return [name for name, kind in df.dtypes if name not in outside and kind in numbers]
 

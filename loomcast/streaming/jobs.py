@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loomcast.operators.dedup import keep_first, only_new
+from loomcast.operators.chunks import null_safe_join
+from loomcast.operators.dedup import keep_first, keep_last, only_new
 from loomcast.operators.topk import latest_rows
 from loomcast.spec import FeatureSpec, build_features
 
@@ -75,14 +76,25 @@ def halo_rows(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def refresh_features(stored: DataFrame, fresh: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Features of the fresh rows only, computed on them and their halo of stored rows.
+    """Features of every row from the earliest fresh one of its series on.
 
-    Equal to the full computation as long as fresh rows are later than the stored ones.
+    Fresh rows may lie between stored ones: stored rows after them are computed anew, on the
+    rows that the specification looks back on before the earliest fresh row. Equal to the full
+    computation for these rows; series without fresh rows are left out.
     """
-    both = halo_rows(stored, spec).withColumn("__fresh", F.lit(False)).unionByName(
-        fresh.withColumn("__fresh", F.lit(True))
-    )
-    return build_features(both, spec).where("__fresh").drop("__fresh", "pos", "series_rows")
+    key, ts = list(spec.shape.key), spec.shape.ts
+    since = fresh.groupBy(*key).agg(F.min(ts).alias("__since"))
+    touched = null_safe_join(stored, since, key)
+    before = halo_rows(touched.where(F.col(ts) < F.col("__since")), spec)
+    after = touched.where(F.col(ts) >= F.col("__since"))
+    both = before.unionByName(after).unionByName(null_safe_join(fresh, since, key))
+    return build_features(both, spec).where(F.col(ts) >= F.col("__since")).drop("__since", "pos", "series_rows")
+
+
+def current_features(spark: SparkSession, path: str, spec: FeatureSpec) -> DataFrame:
+    """Features that ``feature_stream`` wrote under ``path``: of each time the newest version."""
+    written = spark.read.parquet(f"{path}/features")
+    return keep_last(written, [*spec.shape.key, spec.shape.ts], ["batch"]).drop("batch")
 
 
 def feature_stream(
@@ -97,7 +109,9 @@ def feature_stream(
     Under ``path`` each batch writes its own folder of ``observations``, ``features`` and
     ``tail`` (the newest rows per series, all that later features look back on), so a batch
     repeated after a failure replaces what it wrote. A batch reads the tail of the batch
-    before and, against repeats, only stored rows from its own earliest time on.
+    before and, against repeats, only stored rows from its own earliest time on. Series with
+    rows that come late read their stored rows, and features of stored rows after a late one are
+    written anew: ``current_features`` takes the newest version.
     """
     schema = stream.schema
     key = [*spec.shape.key, spec.shape.ts]
@@ -114,7 +128,8 @@ def feature_stream(
             fresh.write.mode("overwrite").parquet(f"{path}/observations/batch={number}")
             added = spark.read.schema(schema).parquet(f"{path}/observations/batch={number}")
             tail = _tail_before(spark, f"{path}/tail", schema, number)
-            refresh_features(tail, added, spec).write.mode("overwrite").parquet(f"{path}/features/batch={number}")
+            near_enough = _with_late_series(tail, stored, added, spec)
+            refresh_features(near_enough, added, spec).write.mode("overwrite").parquet(f"{path}/features/batch={number}")
             halo_rows(tail.unionByName(added), spec).write.mode("overwrite").parquet(f"{path}/tail/batch={number}")
             if on_batch:
                 on_batch(added, number)
@@ -126,6 +141,16 @@ def feature_stream(
     return query
 
 
+def _with_late_series(tail: DataFrame, stored: DataFrame, added: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The tail, but all stored rows (of earlier batches) for series with rows not after the tail."""
+    key, ts = list(spec.shape.key), spec.shape.ts
+    newest = tail.groupBy(*key).agg(F.max(ts).alias("__newest"))
+    late = null_safe_join(added, newest, key).where(F.col(ts) <= F.col("__newest")).select(*key).distinct()
+    if late.isEmpty():
+        return tail
+    return null_safe_join(tail, late, key, "left_anti").unionByName(null_safe_join(stored, late, key, "left_semi"))
+
+
 def _batches_before(spark: SparkSession, path: str, schema: T.StructType, number: int) -> DataFrame:
     """Observations of earlier batches; the first batch has none."""
     if number == 0:

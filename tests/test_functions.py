@@ -117,7 +117,7 @@ def test_hourly_features_keep_bases(spark):
     out = build_features(panel(spark), hourly_spec(HOURLY))
     assert {"humidity", "temp_lag24h", "windspeed_roll_max_24h", "is_night", "hour_sin", "is_dry_season"} <= set(out.columns)
     assert "icon" not in out.columns and "is_weekend" not in out.columns
-    assert "icon" not in feature_columns(out, hourly_spec(HOURLY)) and "temp" not in feature_columns(out, hourly_spec(HOURLY))
+    assert "icon" not in feature_columns(out, hourly_spec(HOURLY)) and "temp" in feature_columns(out, hourly_spec(HOURLY))
 
 
 def test_contract_names_what_is_missing(spark):

@@ -87,13 +87,36 @@ def test_tune_train_score_and_reload(spark):
     assert metadata.first()["n_samples"] == df.where("split IN ('train', 'dev')").count()
     path = scratch_path(spark, "models")
     model.save(path)
-    again = models.MultiHorizonModel.load(path, ["x", "z"], [1])
+    again = models.MultiHorizonModel.load(path)
     scored = models.score_split(again, df, "test", {1: "y1"}, ["pos"])
     row = forecast_metrics(scored).first()
     assert row["r2"] > 0.99 and row["n_samples"] == df.where("split = 'test'").count()
     assert model.model_for(9) is None
 
 
+def test_own_features_per_horizon_and_no_lost_rows(spark):
+    """First and last horizon use other columns; a row without a feature keeps its place."""
+    df = frame(spark).withColumn("y2", F.col("y1") + 1).withColumn("x", F.when(F.col("pos") % 10 != 5, F.col("x")))
+    df = df.withColumn("series_id", F.lit("a")).withColumn("ts", F.expr("make_dt_interval(cast(pos AS int)) + timestamp_ntz'2024-01-01'"))
+    linear = models.ModelConfig("Linear", {"regParam": 0.0})
+    lists = {1: ["x", "z"], 2: ["z", "noise"]}
+    df = df.withColumn("noise", F.rand(3))
+    model, metadata = models.train_horizons(df, lists, {1: "y1", 2: "y2"}, {1: linear, 2: linear}, feature_types={1: "SHORT", 2: "LONG"})
+    rows = {r["horizon"]: (r["feature_type"], r["n_features"], r["n_samples"]) for r in metadata.collect()}
+    assert rows == {1: ("SHORT", 2, 306), 2: ("LONG", 2, 340)}
+    path = scratch_path(spark, "models")
+    model.save(path)
+    again = models.MultiHorizonModel.load(path)
+    assert again.lists == lists and again.features == ["x", "z", "noise"]
+    scored = models.score_split(again, df, "test", {1: "y1", 2: "y2"}, ["pos"])
+    assert scored.count() == 120
+    assert {r["horizon"]: r["n"] for r in scored.groupBy("horizon").agg(F.count("yhat").alias("n")).collect()} == {1: 54, 2: 60}
+    last = models.predict_latest(again, df.where("pos <= 395"), ["series_id"], "ts", "DAY").collect()
+    assert [(r["base_ts"].day, r["yhat"] is None) for r in last] == [(29, False)] * 2  # day 394: the row before lacks nothing
+    empty = models.predict_latest(again, df.where("pos = 395"), ["series_id"], "ts", "DAY").orderBy("horizon").collect()
+    assert [r["yhat"] is None for r in empty] == [True, False]
+
+
 def test_draw_is_repeatable_and_inside_its_ranges():
     space = models.SEARCH_SPACE["GradientBoosting"]
     a, b = (models.draw(space, random.Random(7)) for _ in range(2))
@@ -148,6 +171,9 @@ def test_forecast_job_end_to_end(spark):
     metrics = spark.read.parquet(paths["metrics"])
     assert metrics.count() == 3 and metrics.agg(F.max("mae")).first()[0] < 3
     assert spark.read.parquet(paths["lists"]).select("feature_type").distinct().count() == 3
+    lists = models.MultiHorizonModel.load(paths["models"]).lists
+    assigned = spark.read.parquet(paths["lists"]).collect()
+    assert all({r["feature"] for r in assigned if r["horizon"] == h} == {c for c in names if "icon_" not in c} for h, names in lists.items())
     run_forecast_job(spark, observations(spark), job(), folder, skip=("features", "select", "preprocess", "tune", "train"))
     with pytest.raises(ValueError):
         run_forecast_job(spark, observations(spark), job(), folder, skip=("nothing",))

@@ -141,6 +141,14 @@ def test_grid_runs_join_without_gap_or_overlap(spark):
     assert grid.count() == 2501 and grid.select("ts").distinct().count() == 2501
 
 
+def test_grid_keeps_every_row(spark):
+    rows = [("a", START, 1.0), ("a", START + timedelta(hours=1, minutes=7), 2.0), ("a", START + timedelta(hours=2), 3.0),
+            (None, START, 4.0), (None, START + timedelta(hours=2), 5.0), ("b", None, 6.0)]
+    grid = densify(spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, temp double"), HOURLY)
+    assert sorted(r["temp"] for r in grid.where("temp IS NOT NULL").collect()) == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert grid.count() == 8  # a gap of each series
+
+
 def test_decomposition_of_trend_and_week(spark):
     week = [3.0, 1.0, -1.0, -3.0, 2.0, -2.0, 0.0]
     df = hours(spark, [0.5 * i + week[i % 7] for i in range(21)])
