@@ -27,10 +27,15 @@ def keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFr
     return _pick(df, key, F.max_by, F.struct(*order))
 
 
-def merge_history_and_forecast(history: DataFrame, forecast: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Union by name with missing columns as null; the forecast wins where both know a time."""
+def merge_history_and_forecast(
+    history: DataFrame, forecast: DataFrame, key: Sequence[str], issued: str | None = None
+) -> DataFrame:
+    """Union by name with missing columns as null; the forecast wins where both know a time.
+
+    Of several forecasts of one time the one ``issued`` last wins, where that column is given.
+    """
     both = history.unionByName(forecast, allowMissingColumns=True)
-    return keep_last(both, key, ["is_forecast"])
+    return keep_last(both, key, ["is_forecast", *([issued] if issued else [])])
 
 
 def last_rows(df: DataFrame, key: Sequence[str], ts: str) -> DataFrame:

@@ -80,3 +80,22 @@ def refresh_features(spark, folder):
     cut = F.lit("2024-01-25").cast("timestamp_ntz")
     out = jobs.refresh_features(panel.where(F.col("ts") < cut), panel.where(F.col("ts") >= cut), hourly_spec(HOURLY))
     return out.select("series_id", "ts", rounded("temp_lag24h"), rounded("precip_roll_mean_24h"))
+
+
+# Rows that arrive late: one hour of the day from the 20th on, among rows that are stored already.
+LATE = "ts >= TIMESTAMP_NTZ '2024-01-25' OR (ts >= TIMESTAMP_NTZ '2024-01-20' AND hour(ts) = 5)"
+
+
+@query(
+    "in05_late_rows",
+    f"""WITH {HOURLY_SQL}, f AS (SELECT series_id, ts, {r('lag(temp, 24) OVER (PARTITION BY series_id ORDER BY ts)')} AS temp_lag24h,
+  {trailing_sql('precip', 'avg', 24, 'precip_roll_mean_24h')} FROM h),
+since AS (SELECT series_id, min(ts) AS since FROM h WHERE {LATE.replace('TIMESTAMP_NTZ', 'TIMESTAMP')} GROUP BY 1)
+SELECT f.* FROM f JOIN since USING (series_id) WHERE ts >= since""",
+)
+def late_rows(spark, folder):
+    """Features after rows that lie between stored ones: later stored rows are computed anew."""
+    panel = hourly_panel(spark, folder)
+    late = F.expr(LATE)
+    out = jobs.refresh_features(panel.where(~late), panel.where(late), hourly_spec(HOURLY))
+    return out.select("series_id", "ts", rounded("temp_lag24h"), rounded("precip_roll_mean_24h"))
