@@ -10,6 +10,7 @@ from loomcast.operators.metrics import average_metrics, forecast_metrics, winner
 from loomcast.operators.ranking import overlap
 from loomcast.operators.windows import add_lags, add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
+from loomcast.plans.forecast_job import JobConfig
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
     daily_splits, hourly_splits, pairs_sql, placed_sql, target_pairs,
@@ -39,7 +40,8 @@ def supervised(spark, folder, horizons=DAILY_HORIZONS):
 
 
 TARGETS = {h: f"y{h}" for h in DAILY_HORIZONS}
-SMALL = {h: models.ModelConfig("GradientBoosting", {"maxIter": 5, "maxDepth": 3}) for h in DAILY_HORIZONS}
+# The model that the forecast job falls back on.
+DEFAULTS = {h: JobConfig.default_model for h in DAILY_HORIZONS}
 
 
 @query(
@@ -81,14 +83,14 @@ def preprocess(spark, folder):
 @query("ml01_feature_ranking")
 def feature_ranking(spark, folder):
     train = supervised(spark, folder).where("split = 'train'")
-    ranked = selection.score_features(train, FEATURES, "y1", trees=20, folds=3)
+    ranked = selection.score_features(train, FEATURES, "y1")
     return ranked.select("feature", *selection.SCORES, "mean_rank")
 
 
 @query("ml02_feature_lists")
 def feature_lists(spark, folder):
     train = supervised(spark, folder).where("split = 'train'")
-    lists, _ = selection.select_lists(train, FEATURES, ["y1", "y5"], DAILY_HORIZONS, top_n=5, trees=10, folds=3)
+    lists, _ = selection.select_lists(train, FEATURES, ["y1", "y5"], DAILY_HORIZONS, top_n=5)
     return lists
 
 
@@ -106,7 +108,7 @@ def list_overlap(spark, folder):
 @query("ag17_forest_importance")
 def forest_importance(spark, folder):
     train = supervised(spark, folder).where("split = 'train'")
-    return selection.forest_importance(train.where("y1 IS NOT NULL"), FEATURES, "y1", trees=20)
+    return selection.forest_importance(train.where("y1 IS NOT NULL"), FEATURES, "y1")
 
 
 @query("ml09_lasso_weights")
@@ -146,14 +148,14 @@ _LIGHT = {"RandomForest": {"numTrees": ("int", 5, 10), "maxDepth": ("int", 3, 4)
 
 @query("ml06_train_horizons")
 def train_horizons(spark, folder):
-    _, metadata = models.train_horizons(supervised(spark, folder), FEATURES, TARGETS, SMALL)
+    _, metadata = models.train_horizons(supervised(spark, folder), FEATURES, TARGETS, DEFAULTS)
     return metadata
 
 
 @query("ml07_predict_latest")
 def predict_latest(spark, folder):
     rows = supervised(spark, folder)
-    model, _ = models.train_horizons(rows, FEATURES, TARGETS, SMALL)
+    model, _ = models.train_horizons(rows, FEATURES, TARGETS, DEFAULTS)
     return models.predict_latest(model, rows, ["series_id"], "ts", "DAY")
 
 
@@ -161,14 +163,14 @@ def predict_latest(spark, folder):
 def multi_horizon_model(spark, folder):
     """Every test row scored for every horizon."""
     rows = supervised(spark, folder)
-    model, _ = models.train_horizons(rows, FEATURES, TARGETS, SMALL)
+    model, _ = models.train_horizons(rows, FEATURES, TARGETS, DEFAULTS)
     return models.score_split(model, rows, "test", TARGETS, ["series_id", "ts"])
 
 
 @query("ml08_model_evaluation")
 def model_evaluation(spark, folder):
     rows = supervised(spark, folder)
-    model, _ = models.train_horizons(rows, FEATURES, TARGETS, SMALL)
+    model, _ = models.train_horizons(rows, FEATURES, TARGETS, DEFAULTS)
     return forecast_metrics(models.score_split(model, rows, "test", TARGETS, ["series_id", "ts"]))
 
 
