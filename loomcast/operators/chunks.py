@@ -3,8 +3,9 @@
 A window partitioned by the series key alone sends every row of a series to one task, and a
 window without a key sends the whole table to one. Here a series is cut in two steps:
 
-1. ``with_positions`` numbers the rows. Rows are counted per (series, time bucket), the few
-   counts are summed up per series, and the rank inside the bucket is added to that start.
+1. ``with_positions`` numbers the rows. Rows are ranked per (series, time bucket) in one shuffle
+   and stored with their bucket's size; the few sizes, read back as three columns, are summed
+   up per series, and the rank inside the bucket is added to that start.
 2. ``over_chunks`` cuts the numbered rows into chunks of ``chunk_rows``, copies the last
    ``back`` rows of a chunk into the next one and the first ``ahead`` rows into the one
    before, runs ordinary window functions per (series, chunk) and drops the copies.
@@ -20,6 +21,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from loomcast.session import settled
+
 POSITION = "pos"
 LENGTH = "series_rows"
 
@@ -64,23 +67,31 @@ def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], ho
 def with_positions(df: DataFrame, shape: SeriesShape) -> DataFrame:
     """Add ``pos`` (0-based row number in time order) and ``series_rows`` per series.
 
-    ``(key, ts)`` must be unique; deduplicate first where it is not.
+    ``(key, ts)`` must be unique; deduplicate first where it is not. The ranked rows are written
+    once, so what lies before is read and aggregated once; hand over the needed columns only.
     """
     key = list(shape.key)
     span = shape.step * shape.chunk_rows
     bucketed = df.withColumn("__bucket", F.floor(epoch_seconds(F.col(shape.ts)) / span))
-    sizes = bucketed.groupBy(*key, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    inside = Window.partitionBy(*key, "__bucket")
+    ranked = settled(
+        bucketed.withColumns(
+            {
+                "__rank": F.row_number().over(inside.orderBy(shape.ts)).cast("long"),
+                "__size": F.count(F.lit(1)).over(inside),
+            }
+        ),
+        "positions",
+    )
     # One row per bucket: a series of a billion rows is about 250,000 rows here.
     so_far = Window.partitionBy(*key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
+    starts = ranked.where(F.col("__rank") == 1).select(
         *key,
         "__bucket",
         F.coalesce(F.sum("__size").over(so_far), F.lit(0)).alias("__start"),
         F.sum("__size").over(Window.partitionBy(*key)).alias(LENGTH),
     )
-    inside = Window.partitionBy(*key, "__bucket").orderBy(shape.ts)
-    ranked = bucketed.withColumn("__rank", F.row_number().over(inside))
-    joined = null_safe_join(ranked, starts, [*key, "__bucket"])
+    joined = null_safe_join(ranked.drop("__size"), starts, [*key, "__bucket"])
     return joined.withColumn(POSITION, F.col("__start") + F.col("__rank") - 1).drop("__bucket", "__rank", "__start")
 
 

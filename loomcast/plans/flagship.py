@@ -36,7 +36,7 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
             F.lead("temp", 1).over(w).alias("y"),
         ]
 
-    rows = over_chunks(hourly_panel(spark, folder), HOURLY, build, back=6, ahead=1)
+    rows = over_chunks(hourly_panel(spark, folder).select("series_id", "ts", "temp"), HOURLY, build, back=6, ahead=1)
     forecasts = [
         F.struct(F.lit(name).alias("model"), F.col(c).alias("yhat"))
         for name, c in (("persistence", "temp"), ("previous", "lag1"), ("trailing mean", "mean6"))

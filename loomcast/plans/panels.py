@@ -23,9 +23,15 @@ def day_of(ts: str):
     return F.col(ts).cast("date").cast("timestamp_ntz")
 
 
-def hourly_panel(spark: SparkSession, folder: str) -> DataFrame:
-    """Events by type and hour."""
+def hourly_panel(spark: SparkSession, folder: str, first: str | None = None, before: str | None = None) -> DataFrame:
+    """Events by type and hour, of the hours from ``first`` on and before ``before``.
+
+    The bounds are full hours; they hold for the raw time, so they reach the scan.
+    """
     events = table(spark, folder, "events")
+    for bound, inside in ((first, F.col("ts").__ge__), (before, F.col("ts").__lt__)):
+        if bound is not None:
+            events = events.where(inside(F.lit(bound).cast("timestamp_ntz")))
     return events.groupBy(F.col("event_type").alias("series_id"), hour_of("ts").alias("ts")).agg(
         F.avg("value").alias("temp"),
         F.max("value").alias("tempmax"),
@@ -102,12 +108,18 @@ splits AS (
     ELSE 'test' END AS split FROM placed)"""
 
 
-def hourly_splits(spark: SparkSession, folder: str) -> DataFrame:
-    return chronological_split(hourly_panel(spark, folder), HOURLY)
+def _narrow(panel: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    return panel.select("series_id", "ts", *columns) if columns else panel
+
+
+def hourly_splits(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Hourly panel, or some of its columns, with its chronological split."""
+    return chronological_split(_narrow(hourly_panel(spark, folder), columns), HOURLY)
 
 
-def daily_splits(spark: SparkSession, folder: str) -> DataFrame:
-    return chronological_split(daily_panel(spark, folder), DAILY)
+def daily_splits(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Daily panel, or some of its columns, with its chronological split."""
+    return chronological_split(_narrow(daily_panel(spark, folder), columns), DAILY)
 
 
 def target_pairs(df: DataFrame, shape: SeriesShape, horizons: tuple[int, ...], yhat: str = "temp") -> DataFrame:

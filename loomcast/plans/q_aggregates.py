@@ -60,7 +60,7 @@ UNION ALL SELECT 'precip', {r('median(precip)')}, {r('avg(precip)')}, (SELECT ic
 )
 def centres(spark, folder):
     """Median, mean and most frequent value of the training rows."""
-    train = settled(daily_splits(spark, folder).where("split = 'train'").select("humidity", "precip", "icon"), "centres")
+    train = settled(daily_splits(spark, folder, "humidity", "precip", "icon").where("split = 'train'").select("humidity", "precip", "icon"), "centres")
     medians = quantiles.quantiles_wide(train, ["humidity", "precip"], (0.5,)).select("feature", rnd("q0", 6).alias("median_value"))
     means = train.agg(F.avg("humidity").alias("humidity"), F.avg("precip").alias("precip")).unpivot(
         [], ["humidity", "precip"], "feature", "mean_value"
@@ -77,7 +77,7 @@ UNION ALL SELECT 'fixed', {r('avg(fixed)')}, CASE WHEN stddev_pop(fixed) = 0 THE
 )
 def moments(spark, folder):
     """Mean and population deviation; a column without spread gets 1."""
-    train = daily_splits(spark, folder).where("split = 'train'").select("humidity", F.lit(1.0).alias("fixed"))
+    train = daily_splits(spark, folder, "humidity").where("split = 'train'").select("humidity", F.lit(1.0).alias("fixed"))
     wide = train.agg(*[f(c).alias(f"{c}_{n}") for c in ("humidity", "fixed") for n, f in (("m", F.avg), ("s", F.stddev_pop))])
     rows = [
         F.struct(
@@ -130,7 +130,7 @@ def variance_inflation(spark, folder):
 
 
 def _daily_metrics(spark, folder):
-    pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS)
+    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS)
     return metrics.forecast_metrics(pairs.where("split = 'test'"))
 
 

@@ -47,7 +47,7 @@ SELECT p.series_id, p.ts, p.horizon, {r('p.yhat')} AS yhat, {r('m.rmse')} AS rms
 FROM pairs p LEFT JOIN metrics m USING (horizon) WHERE p.split = 'test'""",
 )
 def predictions_with_metrics(spark, folder):
-    pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS).where("split = 'test'")
+    pairs = settled(target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS).where("split = 'test'"), "pairs")
     # One row per horizon on the right: small by construction.
     joined = pairs.join(F.broadcast(forecast_metrics(pairs).select("horizon", "rmse", "r2")), "horizon", "left")
     return joined.select("series_id", "ts", "horizon", rounded("yhat"), rounded("rmse"), rounded("r2"))
@@ -101,7 +101,7 @@ q AS (SELECT quantile_cont(humidity, 0.25) AS q1, quantile_cont(humidity, 0.75)
 )
 def apply_state(spark, folder):
     """State fitted on the training rows, applied to every split."""
-    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "split", "humidity"), "humidity")
+    rows = settled(daily_splits(spark, folder, "humidity").select("series_id", "ts", "split", "humidity"), "humidity")
     (fitted,) = state.fit_state(rows.where("split = 'train'"), ["humidity"])
     clipped = impute_and_clip(F.col("humidity"), F.lit(fitted.centre), F.lit(fitted.lower), F.lit(fitted.upper))
     return rows.withColumn("humidity", rnd(clipped, 6))
@@ -129,7 +129,7 @@ def season_to_rows(spark, folder):
 def only_new_rows(spark, folder):
     """The whole panel arrives again; what was stored before the 25th is not taken twice."""
     panel = hourly_panel(spark, folder).select("series_id", "ts", "temp")
-    stored = panel.where(F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz"))
+    stored = hourly_panel(spark, folder, before="2024-01-25").select("series_id", "ts")
     return dedup.only_new(panel, stored, ["series_id", "ts"]).select("series_id", "ts", rounded("temp"))
 
 

@@ -182,7 +182,7 @@ UNION ALL SELECT 'average', {', '.join(r(f'avg({c})') for c in ('mae', 'rmse', '
 )
 def persistence_evaluation(spark, folder):
     """The yardstick: the newest value as forecast, per horizon and on average."""
-    pairs = target_pairs(hourly_splits(spark, folder), HOURLY, HOURLY_HORIZONS).where("split = 'test'")
+    pairs = target_pairs(hourly_splits(spark, folder, "temp"), HOURLY, HOURLY_HORIZONS).where("split = 'test'")
     per_horizon = settled(forecast_metrics(pairs), "metrics")
     names = ("mae", "rmse", "mape", "r2")
     rows = per_horizon.select(F.col("horizon").cast("string").alias("horizon"), *[rounded(c) for c in names])
@@ -202,7 +202,7 @@ FROM training t LEFT JOIN best b USING (kind, horizon) LEFT JOIN m USING (kind,
 def model_inventory(spark, folder):
     """Tuning, training and metric tables on one row per horizon."""
     kind = F.lit("hourly").alias("kind")
-    splits = settled(hourly_splits(spark, folder), "hourly-splits")
+    splits = settled(hourly_splits(spark, folder, "temp"), "hourly-splits")
     best = winners(naive_trials(spark, folder, splits))
     pairs = target_pairs(splits, HOURLY, HOURLY_HORIZONS)
     training = pairs.where("split IN ('train', 'dev')").groupBy("horizon").agg(F.count("y").alias("n_samples"))
@@ -239,7 +239,7 @@ WHERE split = 'test' AND y IS NOT NULL""",
 )
 def evaluation_points(spark, folder):
     """All actual / predicted pairs of each series and horizon."""
-    pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS).where("split = 'test' AND y IS NOT NULL")
+    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS).where("split = 'test' AND y IS NOT NULL")
     return pairs.select(
         "series_id", "horizon", "ts", rounded("y"), rounded("yhat"), rnd(F.abs(F.col("y") - F.col("yhat")), 6).alias("error")
     )

@@ -37,7 +37,7 @@ def latest_rows_global(spark, folder):
     f"WITH {HOURLY_SQL} SELECT series_id, ts, {r('temp')} AS temp FROM h WHERE ts >= TIMESTAMP '2024-01-12' QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts) <= 25",
 )
 def rows_from(spark, folder):
-    panel = hourly_panel(spark, folder).select("series_id", "ts", "temp")
+    panel = hourly_panel(spark, folder, "2024-01-12").select("series_id", "ts", "temp")
     return topk.rows_from(panel, ["series_id"], "ts", "2024-01-12", 25).select("series_id", "ts", rounded("temp"))
 
 
@@ -70,7 +70,7 @@ def numeric_horizon_order(spark, folder):
     """Text labels placed by their number: t+10h follows t+9h."""
     from pyspark.sql import Window
 
-    pairs = target_pairs(daily_splits(spark, folder), DAILY, tuple(range(1, 13))).where("split = 'test'")
+    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, tuple(range(1, 13))).where("split = 'test'")
     labelled = forecast_metrics(pairs).select(F.concat(F.lit("t+"), "horizon", F.lit("h")).alias("target"), rounded("rmse"))
     # A handful of rows, one per horizon.
     return labelled.withColumn("place", F.row_number().over(Window.orderBy(horizon_number(F.col("target")))))
@@ -81,7 +81,7 @@ def numeric_horizon_order(spark, folder):
     f"WITH {DAILY_SQL}, {placed_sql('d')} SELECT series_id, ts, split, precip FROM splits WHERE split IN ('train', 'dev')",
 )
 def train_and_dev(spark, folder):
-    rows = daily_splits(spark, folder).select("series_id", "ts", "split", "precip")
+    rows = daily_splits(spark, folder, "precip").select("series_id", "ts", "split", "precip")
     return rows.where(F.col("split").isin("train", "dev"))
 
 

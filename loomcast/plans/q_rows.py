@@ -12,6 +12,8 @@ from loomcast.operators.dedup import merge_history_and_forecast
 from loomcast.operators.windows import add_lags, add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import DAILY_SQL, HOURLY_SQL, daily_panel, daily_splits, hourly_panel, placed_sql
+from loomcast.plans.serving import LEAST_HOURS
+from loomcast.session import settled
 from loomcast.sources.readers import table
 from loomcast.spec import LEAKAGE_COLUMNS, project_to_contract, hourly_spec, build_features
 
@@ -114,7 +116,7 @@ def canonical_record(spark, folder):
 SELECT series_id, ts, {r('temp_lag24h')} AS temp_lag24h, {r('y')} AS y FROM f WHERE temp_lag24h IS NOT NULL AND y IS NOT NULL""",
 )
 def drop_incomplete(spark, folder):
-    lagged = add_lags(hourly_panel(spark, folder), HOURLY, {"temp": (24,)}, "h")
+    lagged = add_lags(hourly_panel(spark, folder).select("series_id", "ts", "temp"), HOURLY, {"temp": (24,)}, "h")
     both = add_targets(lagged, HOURLY, "temp", (24,), "h").withColumnRenamed("target_temp_t+24h", "y")
     return both.dropna(subset=["temp_lag24h", "y"]).select("series_id", "ts", rounded("temp_lag24h"), rounded("y"))
 
@@ -128,7 +130,7 @@ def drop_any_null(spark, folder):
     """Only the columns the model needs count; an unused ``icon`` that is null drops nothing."""
     from loomcast.operators.chunks import DAILY
 
-    lagged = add_lags(daily_panel(spark, folder), DAILY, {"temp": (7,)})
+    lagged = add_lags(daily_panel(spark, folder).select("series_id", "ts", "temp"), DAILY, {"temp": (7,)})
     return lagged.select("series_id", "ts", rounded("temp_lag7")).dropna()
 
 
@@ -138,7 +140,7 @@ def drop_any_null(spark, folder):
 )
 def drop_empty_columns(spark, folder):
     """``snow`` has values in the test rows only, so it goes everywhere."""
-    rows = daily_splits(spark, folder).select(
+    rows = daily_splits(spark, folder, "precip").select(
         "series_id", "ts", "split", "precip", F.when(F.col("split") == "test", F.col("precip")).alias("snow")
     )
     return filters.drop_empty_columns(rows, ["precip", "snow"], F.col("split") == "train")
@@ -151,8 +153,10 @@ SELECT series_id, ts, {r('temp')} AS temp FROM cut
 WHERE series_id IN (SELECT series_id FROM cut GROUP BY 1 HAVING count(*) >= 168)""",
 )
 def as_of(spark, folder):
-    cut = filters.as_of(hourly_panel(spark, folder), "ts", "2024-01-20 12:00:00")
-    return filters.series_with_history(cut, ["series_id"], 168).select("series_id", "ts", rounded("temp"))
+    panel = hourly_panel(spark, folder, before="2024-01-20 13:00:00").select("series_id", "ts", "temp")
+    # Rows are counted and kept: read twice, so the panel is written once.
+    cut = settled(filters.as_of(panel, "ts", "2024-01-20 12:00:00"), "as-of")
+    return filters.series_with_history(cut, ["series_id"], LEAST_HOURS).select("series_id", "ts", rounded("temp"))
 
 
 @query(
@@ -173,7 +177,8 @@ SELECT series_id, 'first' AS pick, min(ts) AS ts, {r('min_by(temp, ts)')} AS tem
 UNION ALL SELECT series_id, 'last', max(ts), {r('max_by(temp, ts)')} FROM day GROUP BY 1""",
 )
 def date_lookup(spark, folder):
-    panel = hourly_panel(spark, folder)
+    day = hourly_panel(spark, folder, "2024-01-15", "2024-01-16").select("series_id", "ts", "temp")
+    panel = settled(day, "one-day")
     parts = [
         filters.first_of_date(panel, ["series_id"], "ts", "2024-01-15", last).withColumn("pick", F.lit(name))
         for name, last in (("first", False), ("last", True))

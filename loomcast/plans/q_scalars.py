@@ -131,7 +131,7 @@ s AS (SELECT avg(v) AS mean, stddev_pop(v) AS std FROM c WHERE split = 'train')
 SELECT series_id, ts, split, {r('(v - mean) / std')} AS humidity FROM c, s""",
 )
 def standardise(spark, folder):
-    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "split", "humidity"), "humidity")
+    rows = settled(daily_splits(spark, folder, "humidity").select("series_id", "ts", "split", "humidity"), "humidity")
     fitted = state.fit_state(rows.where("split = 'train'"), ["humidity"])
     return state.apply_state(rows, fitted).select("series_id", "ts", "split", rounded("humidity"))
 
@@ -143,7 +143,7 @@ def standardise(spark, folder):
   (coalesce(icon, 'none') = 'rain')::DOUBLE AS icon_rain FROM d""",
 )
 def one_hot(spark, folder):
-    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "split", "icon"), "icons")
+    rows = settled(daily_splits(spark, folder, "icon").select("series_id", "ts", "split", "icon"), "icons")
     categories = state.train_categories(rows.where("split = 'train'"), "icon")
     return state.one_hot(rows, "icon", categories).drop("split")
 
@@ -167,7 +167,7 @@ SELECT series_id, ts, horizon, round_even(yhat - 1.96 * rmse, 1) + 0.0 AS lower,
   round_even(yhat + 2.576 * rmse, 1) + 0.0 AS upper_99 FROM pairs JOIN metrics USING (horizon) WHERE split = 'test'""",
 )
 def confidence_interval(spark, folder):
-    pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS).where("split = 'test'")
+    pairs = settled(target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS).where("split = 'test'"), "pairs")
     rows = pairs.join(F.broadcast(forecast_metrics(pairs).select("horizon", "rmse")), "horizon")
     lower, upper = numeric.confidence_interval(F.col("yhat"), F.col("rmse"))
     _, wide = numeric.confidence_interval(F.col("yhat"), F.col("rmse"), 0.99)
@@ -289,7 +289,7 @@ LONG_SQL = f"""WITH {DAILY_SQL}, t AS (SELECT series_id, ts, horizon, lead(temp,
 @query("sf21_horizon_from_name", f"{LONG_SQL} SELECT horizon, count(y) AS n, {r('avg(y)')} AS mean FROM t GROUP BY 1")
 def horizon_from_name(spark, folder):
     """Target columns unpivoted; the horizon is read from the column name."""
-    wide = add_targets(daily_panel(spark, folder), DAILY, "temp", DAILY_HORIZONS)
+    wide = add_targets(daily_panel(spark, folder).select("series_id", "ts", "temp"), DAILY, "temp", DAILY_HORIZONS)
     names = [c for c in wide.columns if c.startswith("target_")]
     long = wide.select("series_id", "ts", *[F.col(f"`{c}`") for c in names]).unpivot(["series_id", "ts"], [F.col(f"`{c}`") for c in names], "name", "y")
     return long.groupBy(horizon_of("name")).agg(F.count("y").alias("n"), rnd(F.avg("y"), 6).alias("mean"))
@@ -305,7 +305,7 @@ def horizon_of(column: str):
 )
 def long_and_wide(spark, folder):
     """Wide targets to long rows and back by pivot."""
-    wide = add_targets(daily_panel(spark, folder), DAILY, "temp", DAILY_HORIZONS)
+    wide = add_targets(daily_panel(spark, folder).select("series_id", "ts", "temp"), DAILY, "temp", DAILY_HORIZONS)
     pairs = [F.struct(F.lit(h).alias("horizon"), F.col(f"`target_temp_t+{h}`").alias("y")) for h in DAILY_HORIZONS]
     long = wide.select("series_id", "ts", F.inline(F.array(*pairs)))
     back = long.groupBy("series_id", "ts").pivot("horizon", list(DAILY_HORIZONS)).agg(F.max("y"))

@@ -77,13 +77,13 @@ def split_horizon_scan(spark, folder):
 
 
 def _long_targets(spark, folder):
-    wide = add_targets(daily_splits(spark, folder), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
+    wide = add_targets(daily_splits(spark, folder, "temp", "precip"), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
     pairs = [F.struct(F.lit(h).alias("horizon"), F.col(f"`target_temp_t+{h}`").alias("y")) for h in DAILY_HORIZONS]
     return wide.select("series_id", "ts", "split", "precip", F.inline(F.array(*pairs))).where("y IS NOT NULL")
 
 
 def _hourly_metrics(spark, folder):
-    pairs = target_pairs(hourly_splits(spark, folder), HOURLY, HOURLY_HORIZONS)
+    pairs = target_pairs(hourly_splits(spark, folder, "temp"), HOURLY, HOURLY_HORIZONS)
     return forecast_metrics(pairs.where("split = 'test'"))
 
 
@@ -108,7 +108,7 @@ def nested_json_scan(spark, folder):
 )
 def metrics_csv_scan(spark, folder):
     path = scratch_path(spark, "metrics-csv")
-    pairs = target_pairs(daily_splits(spark, folder), DAILY, DAILY_HORIZONS)
+    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS)
     writers.write_metrics_csv(forecast_metrics(pairs.where("split = 'test'")), path)
     rows = readers.read_metrics_csv(spark, path)
     return rows.select("target", *[rnd(c, 6).alias(c.lower()) for c in ("MAE", "RMSE", "MAPE", "R2")], "n_samples")

@@ -25,7 +25,7 @@ NAIVE = (
 
 def naive_trials(spark: SparkSession, folder: str, splits: DataFrame | None = None) -> DataFrame:
     """Trial log ``(horizon, trial, model, params, rmse, mae)`` scored on the dev rows."""
-    rows = hourly_splits(spark, folder) if splits is None else splits
+    rows = hourly_splits(spark, folder, "temp") if splits is None else splits
     horizons = HOURLY_HORIZONS
 
     def build(w):
@@ -72,7 +72,7 @@ RANK_SCORES = ("correlation", "mutual_info", "long_correlation")
 def feature_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Three scores of daily columns on training rows; the last one leaves two features out."""
 
-    wide = add_targets(daily_splits(spark, folder), DAILY, "temp", (1, 5), bounded_by="split").where("split = 'train'")
+    wide = add_targets(daily_splits(spark, folder, "temp", *SCORED_FEATURES), DAILY, "temp", (1, 5), bounded_by="split").where("split = 'train'")
     labels = [F.col(f"`target_temp_t+{h}`").alias(f"y{h}") for h in (1, 5)]
     # Every score reads these rows again.
     train = settled(wide.select(*SCORED_FEATURES, *labels), "scored-rows")

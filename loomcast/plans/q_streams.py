@@ -68,6 +68,17 @@ def monitoring(spark, folder):
     return out.withColumns({"latency_mean": rnd("latency_mean", 6), "window_start": F.col("window_start").cast("timestamp_ntz")})
 
 
+@query(
+    "in04_latency_quantiles",
+    f"""SELECT date_trunc('day', ts) AS window_start, event_type, count(value) AS n,
+  {r('quantile_cont(value, 0.5)')} AS p50, {r('quantile_cont(value, 0.95)')} AS p95 FROM events GROUP BY 1, 2""",
+)
+def latency_quantiles(spark, folder):
+    out = jobs.latency_quantiles(table(spark, folder, "events").select("ts", "event_type", "value"))
+    start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return out.select(start, "event_type", "n", rounded("p50"), rounded("p95"))
+
+
 @query(
     "in05_refresh_features",
     f"""WITH {HOURLY_SQL}, f AS (SELECT series_id, ts, {r('lag(temp, 24) OVER (PARTITION BY series_id ORDER BY ts)')} AS temp_lag24h,

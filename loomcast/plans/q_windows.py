@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.temporal import direction_vector
 from loomcast.learning.state import one_hot, train_categories
 from loomcast.operators import dedup, split
-from loomcast.operators.chunks import DAILY, HOURLY
+from loomcast.operators.chunks import DAILY, HOURLY, over_chunks
 from loomcast.operators.decompose import decompose
 from loomcast.operators.grid import densify
 from loomcast.operators.ranking import add_mean_rank
@@ -43,7 +43,7 @@ def lag_sql(lags, suffix="", skip=()) -> str:
 
 @query("wn01_lag", f"WITH {HOURLY_SQL} SELECT series_id, ts, {lag_sql(HOURLY_LAGS, 'h')} FROM h")
 def lags(spark, folder):
-    out = add_lags(hourly_panel(spark, folder), HOURLY, HOURLY_LAGS, "h")
+    out = add_lags(hourly_panel(spark, folder).select("series_id", "ts", *HOURLY_LAGS), HOURLY, HOURLY_LAGS, "h")
     return out.select("series_id", "ts", *[rnd(c, 4).alias(c) for c in out.columns if "_lag" in c])
 
 
@@ -55,7 +55,7 @@ def daily_lags(spark, folder):
     """Nine columns, three lags each, wind as a vector."""
     sine, cosine = direction_vector(F.col("winddir"))
     panel = daily_panel(spark, folder).withColumns({"winddir_sin": sine, "winddir_cos": cosine})
-    out = add_lags(panel, DAILY, DAILY_LAGS)
+    out = add_lags(panel.select("series_id", "ts", *DAILY_LAGS), DAILY, DAILY_LAGS)
     return out.select("series_id", "ts", *[rnd(f"{c}_lag{k}", 4).alias(f"{c}_lag{k}") for c, ks in DAILY_LAGS.items() for k in ks])
 
 
@@ -77,7 +77,7 @@ SELECT series_id, ts, lag(a, 1) OVER w AS "icon_clear-day_lag1", lag(a, 3) OVER
   lag(b, 1) OVER w AS icon_none_lag1, lag(b, 3) OVER w AS icon_none_lag3 FROM e WINDOW w AS ({SERIES})""",
 )
 def one_hot_lags(spark, folder):
-    rows = settled(daily_splits(spark, folder).select("series_id", "ts", "pos", "series_rows", "split", "icon"), "icons")
+    rows = settled(daily_splits(spark, folder, "icon"), "icons")
     categories = train_categories(rows.where("split = 'train'"), "icon")
     encoded = one_hot(rows, "icon", categories)
     names = [f"icon_{c}" for c in categories]
@@ -94,7 +94,7 @@ ROLLED = (7, 14, 21, 28, 56, 84)
     f"WITH {DAILY_SQL} SELECT series_id, ts, {', '.join(trailing_sql(c, 'avg', n, f'{c}_roll_mean_{n}') for c in ('precip', 'humidity') for n in ROLLED)} FROM d",
 )
 def trailing_mean(spark, folder):
-    out = add_trailing(daily_panel(spark, folder), DAILY, ("precip", "humidity"), "mean", ROLLED)
+    out = add_trailing(daily_panel(spark, folder).select("series_id", "ts", "precip", "humidity"), DAILY, ("precip", "humidity"), "mean", ROLLED)
     return out.select("series_id", "ts", *[rounded(c) for c in out.columns if "_roll_" in c])
 
 
@@ -103,7 +103,7 @@ def trailing_mean(spark, folder):
     f"WITH {DAILY_SQL} SELECT series_id, ts, {', '.join(trailing_sql(c, 'stddev_samp', n, f'{c}_roll_std_{n}') for c in ('precip', 'humidity') for n in ROLLED)} FROM d",
 )
 def trailing_std(spark, folder):
-    out = add_trailing(daily_panel(spark, folder), DAILY, ("precip", "humidity"), "std", ROLLED)
+    out = add_trailing(daily_panel(spark, folder).select("series_id", "ts", "precip", "humidity"), DAILY, ("precip", "humidity"), "std", ROLLED)
     return out.select("series_id", "ts", *[rounded(c) for c in out.columns if "_roll_" in c])
 
 
@@ -112,7 +112,7 @@ def trailing_std(spark, folder):
     f"WITH {HOURLY_SQL} SELECT series_id, ts, {trailing_sql('windspeed', 'max', 3, 'windspeed_roll_max_3h')}, {trailing_sql('windspeed', 'max', 24, 'windspeed_roll_max_24h')} FROM h",
 )
 def trailing_max(spark, folder):
-    out = add_trailing(hourly_panel(spark, folder), HOURLY, ("windspeed",), "max", (3, 24), "h")
+    out = add_trailing(hourly_panel(spark, folder).select("series_id", "ts", "windspeed"), HOURLY, ("windspeed",), "max", (3, 24), "h")
     return out.select("series_id", "ts", rounded("windspeed_roll_max_3h"), rounded("windspeed_roll_max_24h"))
 
 
@@ -123,13 +123,11 @@ def trailing_max(spark, folder):
     + " FROM h",
 )
 def lead_targets(spark, folder):
-    from loomcast.operators.chunks import over_chunks
-
     def build(w):
         leads = [rnd(F.lead("temp", h).over(w), 6).alias(f"target_{h}") for h in HOURLY_HORIZONS]
         return [F.lead("ts", 24).over(w).alias("label_ts"), *leads]
 
-    out = over_chunks(hourly_panel(spark, folder), HOURLY, build, ahead=24)
+    out = over_chunks(hourly_panel(spark, folder).select("series_id", "ts", "temp"), HOURLY, build, ahead=24)
     return out.select("series_id", "ts", "label_ts", *[f"target_{h}" for h in HOURLY_HORIZONS])
 
 
@@ -140,13 +138,13 @@ def lead_targets(spark, folder):
     + " FROM splits",
 )
 def bounded_targets(spark, folder):
-    out = add_targets(daily_splits(spark, folder), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
+    out = add_targets(daily_splits(spark, folder, "temp"), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
     return out.select("series_id", "ts", "split", *[rnd(f"`target_temp_t+{h}`", 6).alias(f"target_{h}") for h in DAILY_HORIZONS])
 
 
 @query("wn08_chronological_split", f"WITH {HOURLY_SQL}, {placed_sql('h')} SELECT series_id, ts, pos, series_rows, split FROM splits")
 def chronological_split(spark, folder):
-    out = split.chronological_split(hourly_panel(spark, folder), HOURLY)
+    out = split.chronological_split(hourly_panel(spark, folder).select("series_id", "ts"), HOURLY)
     return out.select("series_id", "ts", "pos", "series_rows", "split")
 
 

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.functions.numeric import confidence_interval, display
-from loomcast.functions.temporal import iso_text
+from loomcast.functions.temporal import forecast_time, horizon_label, iso_text
 from loomcast.functions.text import canonical_record
-from loomcast.operators.filters import first_of_date
+from loomcast.operators.filters import as_of, first_of_date
 from loomcast.operators.topk import clamp_rows, latest_rows
 from loomcast.sources.writers import export_envelope, export_records
 
 # Error assumed for a horizon without metrics, and rows a forecast asks for.
 FALLBACK_RMSE = 1.6
 LEAST_DAYS = 84
+LEAST_HOURS = 168
 
 
 def history(df: DataFrame, key: Sequence[str], ts: str, rows: int | None, cap: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -70,6 +71,32 @@ def forecast_response(records: DataFrame, key: Sequence[str], least_rows: int) -
     )
 
 
+def forecast_as_of(
+    known: DataFrame,
+    metrics: DataFrame,
+    key: Sequence[str],
+    reference: str,
+    horizons: Sequence[int],
+    unit: str,
+    least_rows: int,
+    ts: str = "ts",
+    value: str = "temp",
+) -> DataFrame:
+    """Persistence reply of every series with ``least_rows`` rows up to a reference time.
+
+    One aggregate gives the count and the newest row of a series; ``unit`` is HOUR or DAY.
+    """
+    newest = as_of(known, ts, reference).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__have"), F.max(ts).alias("base_ts"), F.max_by(value, ts).alias("yhat")
+    ).where(F.col("__have") >= least_rows)
+    steps = newest.select(*key, "base_ts", "yhat", F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon"))
+    named = {
+        "target": horizon_label(F.col("horizon"), "h" if unit == "HOUR" else ""),
+        "forecast_ts": forecast_time(F.col("base_ts"), F.col("horizon"), unit),
+    }
+    return forecast_response(forecast_records(steps.withColumns(named), metrics), key, least_rows)
+
+
 def details(df: DataFrame, key: Sequence[str], ts: str, day: str, keys: Sequence[str]) -> DataFrame:
     """First record of a date with fixed keys and without temperatures; no row where there is none."""
     row = first_of_date(df, key, ts, day)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomcast.operators.chunks import null_safe_join
 from loomcast.operators.dedup import keep_first, keep_last, only_new
+from loomcast.operators.quantiles import quantiles_wide
 from loomcast.operators.topk import latest_rows
 from loomcast.spec import FeatureSpec, build_features
 
@@ -70,6 +71,14 @@ def monitoring(events: DataFrame, length: str = "1 day") -> DataFrame:
     ).select(F.col("w.start").alias("window_start"), "event_type", "requests", "errors", "latency_mean", "latency_max")
 
 
+def latency_quantiles(events: DataFrame, probabilities: Sequence[float] = (0.5, 0.95), length: str = "1 day") -> DataFrame:
+    """Exact latency quantiles per window and event type, as one column ``p50``, ``p95`` each."""
+    windowed = events.select(F.window("ts", length)["start"].alias("window_start"), "event_type", F.col("value").alias("latency"))
+    wide = quantiles_wide(windowed, ["latency"], probabilities, ["window_start", "event_type"])
+    named = [F.col(f"q{i}").alias(f"p{round(p * 100)}") for i, p in enumerate(probabilities)]
+    return wide.select("window_start", "event_type", "n", *named)
+
+
 def halo_rows(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Stored rows that features of later rows look back on: the newest ones per series."""
     return latest_rows(stored, list(spec.shape.key), spec.shape.ts, spec.history_rows)

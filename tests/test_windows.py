@@ -158,3 +158,24 @@ def test_decomposition_of_trend_and_week(spark):
     assert [r[1] for r in rows] == pytest.approx([week[i % 7] for i in range(21)])
     assert all(r[2] == pytest.approx(0, abs=1e-9) for r in rows[3:18])
     assert decompose(hours(spark, [1.0] * 13), HOURLY).count() == 0
+
+
+def test_input_of_windows_is_read_once(spark, sf):
+    """What is left to run reads the ranked rows and their bucket sizes, never the input again."""
+    from loomcast.plans.queries import QUERIES
+
+    plan = QUERIES["wn01_lag"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan
+    assert plan.count("FileScan parquet") == 2
+    assert "HashAggregate" not in plan
+
+
+def test_time_range_of_an_hourly_panel_reaches_the_scan(spark, sf):
+    from loomcast.plans.panels import hourly_panel
+
+    panel = hourly_panel(spark, sf, "2024-01-15", "2024-01-16").select("series_id", "ts", "temp")
+    plan = panel._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].splitlines()[0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+    whole = hourly_panel(spark, sf).select("series_id", "ts", "temp").where("ts >= '2024-01-15' AND ts < '2024-01-16'")
+    assert ordered(panel, "series_id", "ts", "temp") == ordered(whole, "series_id", "ts", "temp")
