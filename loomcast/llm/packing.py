@@ -56,6 +56,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(packing.tokenizer))
         self.most = packing.cached_words
+        top = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, packing.end_id)
+        self.width = 2 if top < 1 << 16 else 4  # bytes of a stored id
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -105,7 +107,7 @@ def _tokenised(packing: Packing):
                 lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
                 before = total + np.cumsum(lengths) - lengths
                 total += int(lengths.sum())
-                small = [np.frombuffer(x, dtype="<u4").astype("<u2").tobytes() for x in ids]
+                small = [np.frombuffer(x, dtype="<u4").astype(f"<u{encoder.width}").tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [parts.slice(at, 64), rows.column("doc_id"), pa.array(small, pa.binary()), pa.array(lengths), pa.array(before)],
                     names=["part", "doc_id", "ids", "doc_tokens", "before"],
@@ -125,7 +127,8 @@ def _pieces(packing: Packing):
             begins = batch.column("begin").to_numpy()
             totals = batch.column("doc_tokens").to_numpy()
             for row, (begin, total, ids) in enumerate(zip(begins, totals, batch.column("ids"), strict=True)):
-                wide = memoryview(np.frombuffer(ids.as_buffer(), dtype="<u2").astype("<u4")).cast("B")
+                stored = ids.as_buffer()  # a document has at least its end id
+                wide = memoryview(np.frombuffer(stored, dtype=f"<u{stored.size // int(total)}").astype("<u4")).cast("B")
                 at = 0
                 while at < total:
                     n = min(int(total) - at, window - (int(begin) + at) % window)
@@ -154,7 +157,8 @@ def _pieces(packing: Packing):
 def token_table(docs: DataFrame, packing: Packing = Packing()) -> DataFrame:
     """Ids of every document with the number of ids before it in its partition, as a stored table.
 
-    ``ids`` holds little-endian unsigned 16-bit numbers (the vocabulary has 49,408 ids).
+    ``ids`` holds little-endian unsigned numbers: of 16 bits where the vocabulary has at most
+    65,536 ids, as that of the default tokenizer, else of 32 bits.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = docs.select(F.spark_partition_id().alias("part"), "doc_id", whole().alias("text"))

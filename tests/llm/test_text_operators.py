@@ -350,6 +350,23 @@ def test_packing_matches_the_tokenizer(spark, table, texts):
     assert len(fill) == -(-total // 2048) and sorted(fill.values())[1:] == [2048] * (len(fill) - 1)
 
 
+def test_packing_keeps_ids_beyond_16_bits(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = "abcdefghij"
+    words = ["".join(letters[int(d)] for d in f"{k:05d}") for k in range(70_000)]
+    tokenizer = Tokenizer(models.WordLevel({w: k for k, w in enumerate(words)}, unk_token=words[0]))
+    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = str(tmp_path / "words.json")
+    tokenizer.save(path)
+    docs = spark.createDataFrame([(1, f"{words[69_999]} {words[5]} {words[65_536]}"), (2, None)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in packing.pack(docs, packing.Packing(tokenizer=path)).collect()}
+    assert found[1].ids_crc32 == zlib.crc32(np.array([69_999, 5, 65_536, 1], "<u4").tobytes())
+    assert found[2].ids_crc32 == zlib.crc32(np.array([1], "<u4").tobytes())
+    stored = packing.token_table(docs, packing.Packing(tokenizer=path)).where("doc_id = 1").first()
+    assert len(stored.ids) == 16 and stored.doc_tokens == 4
+
+
 def test_odd_texts_encode_like_the_tokenizer():
     encoder = packing.WordEncoder(packing.Packing(cached_words=4))
     odd = ["Hello_.x, it's A.B. <|endoftext|> <|ENDOFTEXT|> é. É, ²., 'S don'T !!., foo,. K.", "Å. Σ, ΑΣ. x\ty.\n", "", "  ", " a", "İ. ß,", "á. क़."]
