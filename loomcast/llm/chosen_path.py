@@ -310,10 +310,14 @@ def embed(docs: DataFrame, params: PathJoin) -> DataFrame:
 
 
 def distinct_sets(embedded: DataFrame) -> DataFrame:
-    """One row per distinct set: sid, the document that stands for it, and its copies."""
+    """One row per distinct set: sid, the row whose text stands for it, its least id and its copies.
+
+    The row may have no id although others of its set have one, so ``least_id`` is kept beside it.
+    """
     grouped = embedded.groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("doc_id", "text_hash")).alias("rep"),
+        F.min("doc_id").alias("least_id"),
         F.first("size").alias("size"),
         F.first("tokens").alias("tokens"),
         F.first("paths").alias("paths"),
@@ -405,12 +409,12 @@ def near_duplicates(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFrame
     counted = links.groupBy("sid").agg(F.sum("links").alias("links"))
     tied = connected_components(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
     classes = (
-        sets.select("sid", "key", "copies", F.col("rep.doc_id").alias("rep_id"))
+        sets.select("sid", "key", "copies", "least_id")
         .join(tied, F.col("sid") == F.col("node"), "left")
         .withColumn("class", F.coalesce("root", "sid"))
         .join(counted, "sid", "left")
     )
-    names = classes.groupBy("class").agg(F.min("rep_id").alias("class_id"))
+    names = classes.groupBy("class").agg(F.min("least_id").alias("class_id"))
     named = classes.join(names, "class").select(
         "key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )

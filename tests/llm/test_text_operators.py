@@ -159,6 +159,24 @@ def test_near_duplicates_in_large_groups_and_blocks(spark):
     assert stay == {0, *range(1000, 1020)}
 
 
+def near_texts(first, n):
+    """``n`` copies of one text, each with another word changed."""
+    return [" ".join(f"{first}{k}" if k != 7 * i else f"edit{i}" for k in range(200)) for i in range(n)]
+
+
+def test_class_of_copies_with_a_null_id_is_named_by_an_id(spark):
+    a, b, _ = near_texts("n", 3)
+    rows = [(None, a), (5, a), (9, a), (3, b), (None, b), (None, "only nulls here " * 5), (None, "only nulls here " * 5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = chosen_path.near_duplicates(df).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in found) == Counter(
+        [(None, 3, 4), (5, 3, 4), (9, 3, 4), (3, 3, 4), (None, 3, 4), (None, None, 1), (None, None, 1)]
+    )
+    copies = spark.createDataFrame([(None, a), *[(i, a) for i in range(20, 60)]], "doc_id bigint, text string")
+    assert {r.doc_id for r in chosen_path.keep_one_of_each(copies).collect()} >= {20}
+    assert not {r.doc_id for r in chosen_path.keep_one_of_each(copies).collect()} & set(range(21, 60))
+
+
 def test_recall_of_runs():
     params = chosen_path.PathJoin()
     alive = 1.0
