@@ -391,17 +391,8 @@ def verified_links(docs: DataFrame, sets: DataFrame, components: DataFrame, para
     )
 
 
-def near_duplicates(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFrame:
-    """Class and links of every document: doc_id, class_id, n_links; one row per input row.
-
-    Documents whose sets of ``words``-word shingles have a Jaccard similarity of ``similarity``
-    or more are linked; a class is what links tie together, named by its smallest doc_id.
-    ``n_links`` counts the other documents linked to this one; copies (equal sets, equal texts
-    among them) are linked to each other. A text of fewer words than a shingle is one shingle; empty and
-    null texts are copies of each other and like nothing else. Repeated rows count as documents;
-    null ids have a class, which null names only if it has no other id; an empty table gives no
-    rows. Columns besides doc_id and text are not read.
-    """
+def _members(docs: DataFrame, params: PathJoin) -> DataFrame:
+    """Per input row: doc_id, text_hash, class (a number), class_id and n_links."""
     embedded = embed(docs, params)
     sets = distinct_sets(embedded)
     components = settled(connected_components(likely_pairs(sets, params)), "path-components")
@@ -416,29 +407,44 @@ def near_duplicates(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFrame
     )
     names = classes.groupBy("class").agg(F.min("least_id").alias("class_id"))
     named = classes.join(names, "class").select(
-        "key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "key", "class", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    return embedded.select("doc_id", "key").join(settled(named, "path-classes"), "key").select("doc_id", "class_id", "n_links")
+    rows = embedded.select("doc_id", "text_hash", "key").join(settled(named, "path-classes"), "key")
+    return rows.select("doc_id", "text_hash", "class", "class_id", "n_links")
+
+
+def near_duplicates(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFrame:
+    """Class and links of every document: doc_id, class_id, n_links; one row per input row.
+
+    Documents whose sets of ``words``-word shingles have a Jaccard similarity of ``similarity``
+    or more are linked; a class is what links tie together, named by its smallest doc_id.
+    ``n_links`` counts the other documents linked to this one; copies (equal sets, equal texts
+    among them) are linked to each other. A text of fewer words than a shingle is one shingle; empty and
+    null texts are copies of each other and like nothing else. Repeated rows count as documents;
+    null ids have a class, which null names only if it has no other id; an empty table gives no
+    rows. Columns besides doc_id and text are not read.
+    """
+    return _members(docs, params).select("doc_id", "class_id", "n_links")
 
 
 def keep_one_of_each(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFrame:
     """One document of each class, with all its columns: the one whose doc_id names the class.
 
-    Of rows that share that doc_id one stays, the smallest by its columns; of documents without
-    an id, all of whose class lack one, all stay.
+    Rows are judged one by one, by doc_id and text, so a null or repeated doc_id does not tie its
+    rows together. Of rows of a class that share the doc_id that names it one stays, the smallest
+    by its columns; of documents without an id, all of whose class lack one, all stay.
     """
-    classes = near_duplicates(docs, params)
-    leave = (
-        classes.where(F.col("class_id").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") != F.col("class_id"))))
-        .select(F.col("doc_id").alias("__leave"))
-        .distinct()
-    )
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    ids = settled(repeated.select(F.col("doc_id").alias("__twice")), "path-repeated")
-    twice = F.col("doc_id") == F.col("__twice")
-    # Ids that leave grow with the documents: a merge join at every size.
-    gone = F.col("doc_id").eqNullSafe(F.col("__leave"))
-    stay = docs.join(ids, twice, "left_anti").join(leave.hint("merge"), gone, "left_anti")
-    several = docs.join(ids, twice, "left_semi").join(leave, gone, "left_anti")
-    one = several.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
+    names = F.col("doc_id") == F.col("class_id")
+    rows = _members(docs, params).where(F.col("class_id").isNotNull())
+    of_row = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    leave = rows.where(~F.coalesce(names, F.lit(False))).select(*of_row).distinct()
+    naming = rows.where(names)
+    repeated = naming.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
+    several_rows = settled(naming.join(repeated, "class").select(*of_row, F.col("class").alias("__class")).distinct(), "path-repeated")
+    hashed = docs.withColumn("__text", F.xxhash64(whole()))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    # Rows that leave grow with the documents: a merge join at every size.
+    stay = hashed.join(several_rows, same, "left_anti").join(leave.hint("merge"), same, "left_anti").select(*docs.columns)
+    several = hashed.join(several_rows, same).groupBy("__class")
+    one = several.agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
     return stay.unionByName(one)

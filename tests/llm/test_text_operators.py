@@ -177,6 +177,22 @@ def test_class_of_copies_with_a_null_id_is_named_by_an_id(spark):
     assert not {r.doc_id for r in chosen_path.keep_one_of_each(copies).collect()} & set(range(21, 60))
 
 
+def test_one_of_each_judges_rows_and_not_ids(spark):
+    a, b, _ = near_texts("n", 3)
+    alone = [" ".join(f"alone{i}_{k}" for k in range(60)) for i in range(6)]
+    rows = [
+        (3, a), (5, b), (None, b),  # one class, named 3
+        (None, alone[0]), (None, alone[1]),  # unique texts without an id
+        (5, alone[2]), (7, alone[3]), (7, alone[4]),  # repeated ids with other texts
+        (8, alone[5]), (8, alone[5]),  # a repeated row
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    stay = chosen_path.keep_one_of_each(df)
+    assert stay.columns == df.columns
+    want = [(3, a), (None, alone[0]), (None, alone[1]), (5, alone[2]), (7, alone[3]), (7, alone[4]), (8, alone[5])]
+    assert Counter(map(tuple, stay.collect())) == Counter(want)
+
+
 def test_recall_of_runs():
     params = chosen_path.PathJoin()
     alive = 1.0
