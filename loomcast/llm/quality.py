@@ -307,11 +307,17 @@ def judge_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
 
 
 def keep_sound(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """Documents that pass, with all their columns; ``doc_id`` must identify a row's text.
+    """Documents that pass, with all their columns.
 
-    Rows with a null doc_id are kept or dropped by their own verdict only if it is shared by
-    all rows with a null id; they are dropped when any of them fails.
+    Every row is kept or dropped by its own verdict, which depends on its text, language and
+    source only: rows that share a doc_id, or have none, are judged apart.
     """
-    failed = judge_quality(docs, rules).where(~F.col("kept")).select(F.col("doc_id").alias("__failed")).distinct()
-    # Failed ids grow with the documents: a merge join at every size.
-    return docs.join(failed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__failed")), "left_anti")
+    row = [F.col("doc_id"), F.xxhash64(whole()), F.col("lang").cast("string"), F.col("source").cast("string")]
+    names = ["__id", "__text", "__lang", "__source"]
+    marked = docs.withColumn("doc_id", F.struct(*[x.alias(n) for x, n in zip(row, names, strict=True)]))
+    failed = judge_quality(marked, rules).where(~F.col("kept")).select("doc_id.*").distinct()
+    same = F.lit(True)
+    for x, n in zip(row, names, strict=True):
+        same = same & x.eqNullSafe(F.col(n))
+    # Failed rows grow with the documents: a merge join at every size.
+    return docs.join(failed.hint("merge"), same, "left_anti")

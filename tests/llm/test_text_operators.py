@@ -110,6 +110,15 @@ def test_quality_rejects_junk_and_keeps_prose(spark):
     assert {r.doc_id for r in quality.keep_sound(df).collect()} == kept
 
 
+def test_quality_keeps_sound_rows_beside_failed_ones(spark):
+    rng = np.random.default_rng(4)
+    prose = [" ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(150)) for _ in range(60)]
+    rows = [(None if i % 3 == 0 else i, t, "en", "a") for i, t in enumerate(prose)]
+    rows += [(None, "too short", "en", "a"), (4, "too short", "en", "a"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    assert Counter(map(tuple, quality.keep_sound(df).collect())) == Counter(rows[:60])
+
+
 def test_quality_is_native(table):
     plan = quality.judge_quality(table)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
