@@ -32,9 +32,9 @@ class PathJoin:
     A node is split while it has more than ``bucket`` sets and is less than ``depth`` tokens
     deep; a node that is still larger then (copies that share nearly all tokens) is compared in
     blocks of ``block`` sets. A component is verified in blocks of about ``block_sets`` sets and
-    ``block_shingles`` shingles at most. A pair at the threshold survives d levels of one run with the
-    probability that a branching process of mean one does; ``runs`` repeats lift the recall of a
-    pair to ``recall`` at every depth.
+    ``block_shingles`` shingles at most. All runs share the minimum hashes of a pair, so its number
+    of equal ones is drawn once: ``runs`` repeats lift the recall of a pair at the threshold,
+    averaged over that number, to ``recall`` at the greatest depth and so at every other.
     """
 
     words: int = 5
@@ -42,16 +42,26 @@ class PathJoin:
     coordinates: int = 64
     bucket: int = 256
     depth: int = 3
-    recall: float = 0.985
+    recall: float = 0.999
     block: int = 4096
     block_shingles: int = 1_000_000
     block_sets: int = 1000
 
+    def expected_recall(self, runs: int, depth: int) -> float:
+        """Chance that a pair at the threshold shares a path of ``depth`` tokens in some of ``runs``."""
+        n, p, total = self.coordinates, self.similarity, 0.0
+        for equal in range(n + 1):
+            alive = 1.0
+            for _ in range(depth):
+                alive = 1.0 - (1.0 - alive / (n * p)) ** equal
+            total += math.comb(n, equal) * p**equal * (1 - p) ** (n - equal) * (1.0 - (1.0 - alive) ** runs)
+        return total
+
     def runs(self) -> int:
-        alive = 1.0
-        for _ in range(self.depth):
-            alive = 1.0 - math.exp(-alive)
-        return math.ceil(math.log(1.0 - self.recall) / math.log(1.0 - alive))
+        runs = 1
+        while self.expected_recall(runs, self.depth) < self.recall:
+            runs += 1
+        return runs
 
     def least_equal(self) -> int:
         """Equal coordinates that a pair at the threshold misses once in 30,000 times at most."""

@@ -210,6 +210,30 @@ def test_recall_of_runs():
     assert 1 - (1 - alive) ** params.runs() >= params.recall
 
 
+def test_measured_recall_in_split_nodes():
+    """Pairs at 0.8 to 0.82, as if every node were larger than the bucket."""
+    params, rng, n = chosen_path.PathJoin(), np.random.default_rng(12), 12_000
+    tokens = [[], []]
+    for _ in range(n):
+        common = int(np.ceil(200 * 0.8 + rng.integers(0, 5)))
+        pool = rng.integers(0, 2**63, 200, np.uint64)
+        left = (200 - common) // 2
+        for side, own in zip(tokens, (pool[: common + left], np.append(pool[:common], pool[common + left :])), strict=True):
+            side.append(chosen_path.minimum_hashes(own, params.coordinates))
+    met = np.zeros(n, bool)
+    for root in chosen_path._mix(np.arange(1, params.runs() + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)):
+        sides = []
+        for matrix in map(np.array, tokens):
+            rows, paths = np.arange(n), np.full(n, root)
+            for _ in range(params.depth):
+                at, paths = chosen_path._children(paths, matrix[rows], params)
+                rows = rows[at]
+            sides.append(set(zip(rows.tolist(), paths.tolist(), strict=True)))
+        met[[r for r, _ in sides[0] & sides[1]]] = True
+    assert met.mean() >= 0.999
+    assert params.expected_recall(params.runs(), params.depth) >= params.recall >= 0.999
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p><p>no";</script></head>
 <body><header class="site-header">Site name</header><nav><ul><li><a href="/a">Home</a><li><a>News</a></ul></nav>
 <div id="cookie-notice"><p>We use cookies to make this site better for all of our readers and friends.</p></div>
