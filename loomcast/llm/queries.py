@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.llm.chosen_path import near_duplicates
+from loomcast.llm.chunk_memo import fill_in_middle, restored
 from loomcast.llm.html_text import extract_pages
 from loomcast.llm.lang_tags import identify_languages
 from loomcast.llm.licenses import scan_licenses
@@ -16,6 +17,7 @@ from loomcast.llm.packing import pack
 from loomcast.llm.quality import judge_quality
 from loomcast.llm.secret_tags import scan_secrets
 from loomcast.llm.sketch import fingerprint_documents
+from loomcast.llm.term_audit import audit_sources
 from loomcast.llm.warc import archive_pages
 from loomcast.session import prepare
 
@@ -143,3 +145,73 @@ def op9(docs: DataFrame) -> DataFrame:
 )
 def op10(docs: DataFrame) -> DataFrame:
     return systematic_copies(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_over(
+    "op11_fill_in_middle",
+    "documents",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    l AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines FROM d),
+    c AS (SELECT *, len(lines)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(lines) + 1) AS a,
+                 ('0x' || substr(h, 9, 8))::BIGINT % (len(lines) + 1) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                           OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+                      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+    p AS (SELECT doc_id, n, form, t, coalesce(array_to_string(lines[1:least(a, b)], ''), '') AS prefix,
+                 coalesce(array_to_string(lines[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+                 coalesce(array_to_string(lines[greatest(a, b) + 1:n], ''), '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p
+    """,
+)
+def op11(docs: DataFrame) -> DataFrame:
+    return fill_in_middle(docs).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(), 256).alias("restored_sha256"),
+    )
+
+
+@_over(
+    "op13_source_divergence",
+    "documents",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+    k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+    v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+    s AS (SELECT lang, source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+    p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+                 (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (s.n + 2 * v.v))::BIGINT AS p,
+                 (1 + (1000000000::HUGEINT * (k.n + 2)) // (v.n + 2 * v.v))::BIGINT AS q
+          FROM s JOIN k USING (lang) JOIN v USING (lang)
+               LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+    f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    parts AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+             LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank FROM parts)
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
+)
+def op13(docs: DataFrame) -> DataFrame:
+    return audit_sources(docs)
