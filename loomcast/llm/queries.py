@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcast.llm.banded import near_copies
 from loomcast.llm.chosen_path import near_duplicates
 from loomcast.llm.chunk_memo import fill_in_middle, restored
 from loomcast.llm.html_text import extract_pages
@@ -122,7 +123,7 @@ def op9(docs: DataFrame) -> DataFrame:
     r"""
     WITH d AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-               md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS salt
+               CASE WHEN doc_id IS NULL THEN md5('mix:text:' || coalesce(text, '')) ELSE md5('mix:' || doc_id) END AS salt
         FROM documents),
     s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
     w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3)::INT + 1] AS weight,
@@ -181,6 +182,29 @@ def op11(docs: DataFrame) -> DataFrame:
     )
 
 
+@_over(
+    "op12_minhash_near_dedup",
+    "documents",
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS words FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+                     range(1, greatest(len(words) - 3, 1) + 1), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles FROM w),
+    n AS (SELECT doc_id, len(shingles)::BIGINT AS n FROM s),
+    x AS (SELECT doc_id, hash(unnest(shingles)) AS shingle FROM s),
+    c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM c JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * common >= 80 * (m.n + o.n - common)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+    k AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+    SELECT n.doc_id, n.n AS n_shingles, k.component_id, n.doc_id = k.component_id AS kept FROM n JOIN k ON k.node = n.doc_id
+    """,
+)
+def op12(docs: DataFrame) -> DataFrame:
+    return near_copies(docs)
+
+
 @_over(
     "op13_source_divergence",
     "documents",
