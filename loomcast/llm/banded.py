@@ -7,8 +7,11 @@ exactly on the full shingle sets.
 
 Pairs of a bucket are looked at in two rounds, so that a bucket of many copies costs no square.
 First every member meets the hub of its bucket; verified links make components. Then only members
-of the same bucket that are still in different components meet, in blocks. A pair that is skipped
-lies in one component already, so the components are those of all links.
+of the same bucket that are still in different components meet, in blocks. Of the pairs that
+survive there, a block returns only a tree that ties their sets together; sets that are tied are a
+cluster, and inside clusters pairs are compared exactly, again in blocks, until all of a block are
+one component or no pair is left. A pair that is skipped lies in one component already, so the
+components are those of all links, and rows grow with the sets, not with their pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +39,8 @@ class BandedSearch:
 
     ``bands`` of ``rows`` hashes propose pairs; ``batch`` hashes are compared between two looks,
     and ``miss`` is the posterior chance below which a look drops a pair. Buckets are compared in
-    blocks of ``block`` sets and hubs verified with ``partners`` sets in a task's group.
+    blocks of ``block`` sets, hubs verified with ``partners`` sets in a task's group, and clusters
+    in blocks of about ``cluster_sets`` sets and ``cluster_shingles`` shingles.
     """
 
     words: int = 4
@@ -48,6 +52,8 @@ class BandedSearch:
     miss: float = 1e-5
     block: int = 2048
     partners: int = 256
+    cluster_sets: int = 1000
+    cluster_shingles: int = 1_000_000
 
     def _at_most(self, equal: int, n: int, similarity: float) -> float:
         return sum(math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k) for k in range(equal + 1))
@@ -204,33 +210,86 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Ite
         yield pa.Table.from_batches(held)
 
 
+def _surviving_pairs(table: pa.Table, params: BandedSearch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of surviving pairs of a block (side 0) or between two blocks (sides 1 and 2), of sets
+    that are in different components, a few rows of the block at a time."""
+    sid, size, component, side = (table.column(c).to_numpy() for c in ("sid", "size", "component", "side"))
+    signatures = _read_signatures(table.column("signature").combine_chunks(), params)
+    columns = np.ascontiguousarray(signatures[:, : params.batch].T)
+    one = np.flatnonzero(side != 2)
+    two = np.flatnonzero(side != 1)
+    for at in range(0, len(one), 64):
+        rows = one[at : at + 64]
+        meet = _fits(size[rows, None], size[None, two], params) & (component[rows, None] != component[None, two])
+        meet &= (sid[rows, None] < sid[None, two]) | (side[rows, None] == 1)
+        if not meet.any():
+            continue
+        equal = np.zeros(meet.shape, np.uint8)
+        for c in columns:
+            equal += c[rows, None] == c[None, two]
+        r, t = np.nonzero(meet & (equal >= params.least_equal[0]))
+        left, right = rows[r], two[t]
+        alive = _survives(
+            signatures[left], signatures[right], params, range(1, len(params.least_equal)), equal[r, t].astype(np.int64)
+        )
+        if len(alive):
+            yield left[alive], right[alive]
+
+
+def _joined_labels(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Labels after the rows of each pair got the lesser label of both, and all that shared it."""
+    while True:
+        a, b = labels[left], labels[right]
+        if (a == b).all():
+            return labels
+        low = np.arange(len(labels))
+        np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+        while (low != low[low]).any():
+            low = low[low]
+        labels = low[labels]
+
+
 def _crossing(params: BandedSearch):
-    """Surviving pairs of a block (side 0) or between two blocks (sides 1 and 2) of a bucket
-    whose members are in different components."""
+    """Edges of trees that tie together the sets of surviving pairs of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["band", "i", "j"]):
-            sid, size, component, side = (table.column(c).to_numpy() for c in ("sid", "size", "component", "side"))
-            signatures = _read_signatures(table.column("signature").combine_chunks(), params)
-            columns = np.ascontiguousarray(signatures[:, : params.batch].T)
-            one = np.flatnonzero(side != 2)
-            two = np.flatnonzero(side != 1)
-            for at in range(0, len(one), 64):
-                rows = one[at : at + 64]
-                meet = _fits(size[rows, None], size[None, two], params) & (component[rows, None] != component[None, two])
-                meet &= (sid[rows, None] < sid[None, two]) | (side[rows, None] == 1)
-                if not meet.any():
-                    continue
-                equal = np.zeros(meet.shape, np.uint8)
-                for c in columns:
-                    equal += c[rows, None] == c[None, two]
-                r, t = np.nonzero(meet & (equal >= params.least_equal[0]))
-                left, right = rows[r], two[t]
-                alive = _survives(
-                    signatures[left], signatures[right], params, range(1, len(params.least_equal)), equal[r, t].astype(np.int64)
-                )
-                if len(alive):
-                    yield pa.RecordBatch.from_arrays([pa.array(sid[left[alive]]), pa.array(sid[right[alive]])], names=["a", "b"])
+            labels = np.arange(len(table))
+            for left, right in _surviving_pairs(table, params):
+                labels = _joined_labels(labels, left, right)
+            tied = np.flatnonzero(labels != np.arange(len(table)))
+            if len(tied):
+                sid = table.column("sid").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(sid[tied]), pa.array(sid[labels[tied]])], names=["a", "b"])
+
+    return run
+
+
+def _alike(a: np.ndarray, b: np.ndarray, params: BandedSearch) -> bool:
+    """Whether two full sets are a link."""
+    small, large = sorted((a, b), key=len)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int((large[at] == small).sum())
+    return 100 * common >= params.percent * (len(a) + len(b) - common)
+
+
+def _in_clusters(params: BandedSearch):
+    """Links that join components of a block of a cluster; pairs inside one are skipped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["cluster", "i", "j"]):
+            sid = table.column("sid").to_numpy()
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles").combine_chunks()]
+            _, labels = np.unique(table.column("component").to_numpy(), return_inverse=True)
+            found: list[tuple[int, int]] = []
+            for left, right in _surviving_pairs(table, params):
+                for x, y in zip(left.tolist(), right.tolist(), strict=True):
+                    if labels[x] != labels[y] and _alike(sets[x], sets[y], params):
+                        labels[labels == max(labels[x], labels[y])] = min(labels[x], labels[y])
+                        found.append((sid[x], sid[y]))
+            if found:
+                a, b = (np.array(x, np.int64) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
@@ -250,10 +309,7 @@ def _linked(params: BandedSearch):
                     continue
                 if hub_id != of:
                     raise ValueError("a hub must stand before its partners")
-                small, large = sorted((hub, shingles), key=len)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                common = int((large[at] == small).sum())
-                if 100 * common >= params.percent * (len(hub) + len(shingles) - common):
+                if _alike(hub, shingles, params):
                     a.append(of)
                     b.append(sid)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -302,8 +358,27 @@ def surviving(pairs: DataFrame, sets: DataFrame, params: BandedSearch) -> DataFr
     return both.select("a", "b", "a_size", "b_size", "a_signature", "b_signature").mapInArrow(_pruned(params), "a bigint, b bigint")
 
 
-def crossing_pairs(members: DataFrame, components: DataFrame, sets: DataFrame, params: BandedSearch) -> DataFrame:
-    """Surviving pairs of members of one bucket in different components; hubs met all others before."""
+def _in_blocks(df: DataFrame, blocks: str) -> DataFrame:
+    """Each row once per pair of blocks that its own block belongs to: columns i <= j and side."""
+    own = F.pmod(F.xxhash64("sid"), F.col(blocks)).cast("int")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col(blocks) - 1),
+        lambda other: F.struct(
+            F.least(own, other).alias("i"),
+            F.greatest(own, other).alias("j"),
+            F.when(other == own, 0).when(own < other, 1).otherwise(2).alias("side"),
+        ),
+    )
+    return df.withColumn("meets", F.explode(meets)).select("*", "meets.i", "meets.j", "meets.side").drop("meets", blocks)
+
+
+def _by_blocks(df: DataFrame, *key: str) -> DataFrame:
+    return df.repartition(parallel(df), *key).sortWithinPartitions(*key)
+
+
+def crossing_trees(members: DataFrame, components: DataFrame, sets: DataFrame, params: BandedSearch) -> DataFrame:
+    """Trees (a, b) over the sets of surviving pairs in one bucket but different components; hubs
+    met all others before."""
     rest = members.where("sid != hub").select("band", "sid")
     placed = rest.join(components.hint("merge"), F.col("sid") == F.col("node"), "left").select(
         "band", "sid", F.coalesce("root", "sid").alias("component")
@@ -316,33 +391,17 @@ def crossing_pairs(members: DataFrame, components: DataFrame, sets: DataFrame, p
     rows = settled(placed.join(open_.hint("merge"), "band"), "banded-open").join(
         sets.select("sid", "size", "signature").hint("merge"), "sid"
     )
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(
-            F.least(own, other).alias("i"),
-            F.greatest(own, other).alias("j"),
-            F.when(other == own, 0).when(own < other, 1).otherwise(2).alias("side"),
-        ),
-    )
-    spread = rows.select("band", "sid", "component", "size", "signature", F.explode(meets).alias("x"))
-    spread = spread.select("band", "x.i", "x.j", "x.side", "sid", "component", "size", "signature")
-    key = ["band", "i", "j"]
-    found = spread.repartition(parallel(spread), *key).sortWithinPartitions(*key)
-    return found.mapInArrow(_crossing(params), "a bigint, b bigint").distinct()
-
+    spread = _in_blocks(rows.select("band", "sid", "component", "size", "signature", "blocks"), "blocks")
+    return _by_blocks(spread, "band", "i", "j").mapInArrow(_crossing(params), "a bigint, b bigint").distinct()
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, params: BandedSearch) -> DataFrame:
-    """The pairs whose full sets are alike enough; a stored table (a, b).
 
-    Sets are made from the texts of the pairs only. A set with many partners is copied to groups
-    of about ``partners`` of them.
-    """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "row"), "sid")
-    wanted = settled(wanted.select("sid", F.col("row.doc_id").alias("row_id"), F.col("row.text_hash").alias("row_hash")), "banded-wanted")
+def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, params: BandedSearch) -> DataFrame:
+    """``sid`` and ``shingles`` of the wanted sets, made from their texts; a stored table."""
+    found = wanted.join(sets.select("sid", "row"), "sid")
+    found = settled(found.select("sid", F.col("row.doc_id").alias("row_id"), F.col("row.text_hash").alias("row_hash")), "banded-wanted")
     # What is wanted grows with the documents: a merge join at every size.
     same = F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("text_hash") == F.col("row_hash"))
-    texts = _texts(docs).join(wanted.hint("merge"), same).select("sid", "data")
+    texts = _texts(docs).join(found.hint("merge"), same).select("sid", "data")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,7 +409,16 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, params: BandedS
             yield batch.set_column(1, "shingles", pa.array(made, pa.binary()))
 
     # A row that is repeated brings its text more than once.
-    full = settled(texts.mapInArrow(shingled, "sid bigint, shingles binary").dropDuplicates(["sid"]), "banded-shingles")
+    return settled(texts.mapInArrow(shingled, "sid bigint, shingles binary").dropDuplicates(["sid"]), "banded-shingles")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, params: BandedSearch) -> DataFrame:
+    """The pairs whose full sets are alike enough; a stored table (a, b).
+
+    A set with many partners is copied to groups of about ``partners`` of them.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    full = full_sets(docs, sets, wanted, params)
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / params.partners).cast("int").alias("groups"))
     hubs = groups.select(F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
     hubs = hubs.join(full.hint("merge"), F.col("hub") == F.col("sid")).select("hub", "part", F.lit(0).alias("role"), "sid", "shingles")
@@ -363,16 +431,35 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, params: BandedS
     return settled(placed.mapInArrow(_linked(params), "a bigint, b bigint"), "banded-links")
 
 
+def verified_in_clusters(
+    clusters: DataFrame, components: DataFrame, docs: DataFrame, sets: DataFrame, params: BandedSearch
+) -> DataFrame:
+    """Links (a, b) between different components of a cluster, enough to join all that are linked."""
+    placed = clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()).select(
+        F.col("node").alias("sid"), F.col("root").alias("cluster")
+    )
+    full = full_sets(docs, sets, placed.select("sid"), params)
+    sized = placed.join(sets.select("sid", "size", "signature").hint("merge"), "sid")
+    weight = sized.groupBy("cluster").agg(F.sum("size").alias("shingles"), F.count(F.lit(1)).alias("n"))
+    blocks = F.greatest(F.col("n") / params.cluster_sets, F.col("shingles") / params.cluster_shingles)
+    weight = weight.select("cluster", F.ceil(blocks).cast("int").alias("blocks"))
+    labelled = sized.join(components.hint("merge"), F.col("sid") == F.col("node"), "left").withColumn("component", F.coalesce("root", "sid"))
+    rows = labelled.join(weight.hint("merge"), "cluster").join(full.hint("merge"), "sid")
+    spread = _in_blocks(rows.select("cluster", "sid", "component", "size", "signature", "shingles", "blocks"), "blocks")
+    return _by_blocks(spread, "cluster", "i", "j").mapInArrow(_in_clusters(params), "a bigint, b bigint")
+
+
 def similar_sets(docs: DataFrame, sets: DataFrame, params: BandedSearch) -> DataFrame:
     """``node`` and ``root`` of every set that is linked to others and is not the least of them."""
     members = bucket_members(sets)
     met = members.where("sid != hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct()
     links = verified(settled(surviving(met, sets, params), "banded-likely"), docs, sets, params)
     components = settled(connected_components(links), "banded-components")
-    more = settled(crossing_pairs(members, components, sets, params), "banded-crossing")
-    if more.isEmpty():
+    trees = settled(crossing_trees(members, components, sets, params), "banded-trees")
+    if trees.isEmpty():
         return components
-    return connected_components(links.unionByName(verified(more, docs, sets, params)))
+    clusters = settled(connected_components(trees), "banded-clusters")
+    return connected_components(links.unionByName(verified_in_clusters(clusters, components, docs, sets, params)))
 
 
 def near_copies(docs: DataFrame, params: BandedSearch = BandedSearch()) -> DataFrame:

@@ -74,7 +74,7 @@ def test_components_match_brute_force(spark):
     assert found(frame(spark, given)) == brute(given)
 
 
-@pytest.mark.parametrize("change", [{"block": 7, "partners": 3}, {"batch": 16}, {"bands": 32, "rows": 4}])
+@pytest.mark.parametrize("change", [{"block": 7, "partners": 3, "cluster_sets": 9}, {"batch": 16}, {"bands": 32, "rows": 4}])
 def test_blocks_and_looks_change_nothing(spark, change):
     """Buckets cut into many blocks, hubs into many groups."""
     rng = np.random.default_rng(3)
@@ -162,5 +162,38 @@ def test_a_bucket_of_copies_costs_no_square(spark):
     met = members.where("sid != hub").select("hub", "sid").distinct().count()
     assert met < 400 * params.bands
     one = sets.select(F.col("sid").alias("node"), F.lit(sets.agg(F.min("sid")).first()[0]).alias("root"))
-    assert banded.crossing_pairs(members, one, sets, params).count() == 0
+    assert banded.crossing_trees(members, one, sets, params).count() == 0
     assert {r.component_id for r in banded.near_copies(df).collect()} == {0}
+
+
+def test_rows_grow_with_the_sets_of_a_bucket(spark):
+    """Sets at the threshold to each other: the second round returns trees, not pairs."""
+    rng = np.random.default_rng(9)
+    base = texts(rng, 5000, 300)
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for at in rng.choice(300, 8, replace=False):
+            own[at] = f"e{rng.integers(0, 10**6)}"
+        rows.append((i, " ".join(own)))
+    params = banded.BandedSearch()
+    df = frame(spark, rows)
+    sets = banded.distinct_sets(banded.embed(df, params))
+    members = banded.bucket_members(sets)
+    apart = spark.createDataFrame([], "node bigint, root bigint")
+    trees = banded.crossing_trees(members, apart, sets, params)
+    assert 0 < trees.count() < 300 * params.bands
+    assert found(df) == brute(rows)
+
+
+def test_labels_of_joined_pairs():
+    rng = np.random.default_rng(10)
+    for n in (1, 2, 30):
+        for edges in (0, 1, 5, 40):
+            left, right = rng.integers(0, n, edges), rng.integers(0, n, edges)
+            labels = banded._joined_labels(np.arange(n), left, right)
+            root = list(range(n))
+            for a, b in zip(left, right, strict=True):
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+            assert labels.tolist() == root
