@@ -22,16 +22,33 @@ PHRASES = {
 # Short notices in normal form (lower case, one space between words) and labels.
 NOTICES = {
     "all rights reserved": "reserved",
+    "artistic license 2 0": "artistic-2.0",
+    "boost software license version 1 0": "bsl-1.0",
+    "cc0 1 0 universal public domain dedication": "cc0",
+    "common development and distribution license": "cddl",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
     "gnu affero general public license": "agpl",
+    "gnu free documentation license": "gfdl",
     "gnu general public license": "gpl",
     "gnu lesser general public license": "lgpl",
+    "gnu library general public license": "lgpl",
     "licensed under cc by nc": "cc-by-nc",
+    "licensed under cc by nc sa": "cc-by-nc-sa",
+    "licensed under cc by nd": "cc-by-nd",
     "licensed under cc by sa": "cc-by-sa",
     "licensed under the apache license version 2 0": "apache-2.0",
+    "microsoft public license": "ms-pl",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause",
+    "of the license or at your option any later version": "or-later",
+    "open data commons open database license": "odbl",
     "permission is hereby granted free of charge to any person obtaining a copy": "mit",
     "permission to use copy modify and or distribute this software for any purpose": "isc",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "python software foundation license": "psf",
     "released under the mit license": "mit",
+    "sil open font license": "ofl",
+    "spdx license identifier": "spdx",
     "subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "under a creative commons attribution": "cc-by",
@@ -74,6 +91,17 @@ def normal_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
+def _matches(pattern: regex.Pattern, text: str, start: int, end: int) -> Iterator[regex.Match]:
+    """All matches in a stretch of text that do not overlap: the best one, then those on both sides of it."""
+    stretches = [(start, end)]
+    while stretches:
+        a, b = stretches.pop()
+        m = pattern.search(text, a, b)
+        if m and m.end() > m.start():
+            yield m
+            stretches += [(a, m.start()), (m.end(), b)]
+
+
 def fuzzy_hits(joined: bytes, fuzzy: Fuzzy) -> list[tuple[str, int, int, float]]:
     """(label, start, end, score) of notices in a normal text, in characters of its decoded form.
 
@@ -100,7 +128,7 @@ def fuzzy_hits(joined: bytes, fuzzy: Fuzzy) -> list[tuple[str, int, int, float]]
                 merged.append([a, b])
                 reach = b
         for a, b in merged:
-            for m in pattern.finditer(text, a, b):
+            for m in _matches(pattern, text, a, b):
                 hits.append((label, m.start(), m.end(), 1.0 - sum(m.fuzzy_counts) / len(notice)))
         found += hits
     return sorted(found, key=lambda h: (h[1], h[2], h[0]))
