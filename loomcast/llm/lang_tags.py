@@ -31,25 +31,26 @@ class Tagging:
     train_words: int = 60_000
     features: int = 1 << 16
     chain: int = 128
+    lap: int = 8
     epochs: int = 40
     cached_words: int = 300_000
     batch_words: int = 200_000
 
 
 def letters(text: str) -> list[str]:
-    """Runs of letters in lower case."""
-    return _WORD.findall(text.lower())
-
-
-def _fit_width(word: str) -> str:
-    return word if len(word) <= WIDTH else word[: WIDTH // 2] + word[-WIDTH // 2 :]
+    """Runs of letters in lower case. A run over 24 letters, as in scripts without spaces, is cut
+    into pieces of that length, each a word of its own, so every letter is read."""
+    runs = _WORD.findall(text.lower())
+    if not any(len(w) > WIDTH for w in runs):
+        return runs
+    return [w[k : k + WIDTH] for w in runs for k in range(0, len(w), WIDTH)]
 
 
 def word_features(words: list[str], lexicon: dict[str, int], size: int) -> np.ndarray:
     """Feature ids of words: affixes of 1-3 letters, all 2- and 3-grams with word ends, the
-    class of the word in the lexicon, and its length. Words over 24 letters keep 12 at each end."""
+    class of the word in the lexicon, and its length. A word has 24 letters at most."""
     n = len(words)
-    chars = np.array([f"^{_fit_width(w)}$" for w in words], dtype=f"U{WIDTH + 2}").view(np.uint32).reshape(n, WIDTH + 2)
+    chars = np.array([f"^{w}$" for w in words], dtype=f"U{WIDTH + 2}").view(np.uint32).reshape(n, WIDTH + 2)
     chars = chars.astype(np.uint64)
     length = (chars != 0).sum(axis=1)
     mixed = lambda x, kind: ((x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind * 0x85EBCA6B)) >> np.uint64(23)) % np.uint64(size - 1) + np.uint64(1)
@@ -159,17 +160,27 @@ class Predictor:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def word_probabilities(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Per text, the probability of each language at each word. A text is cut into chains of
-        ``chain`` words."""
-        chain = self.tagger.params.chain
-        lengths: list[int] = []
-        for words in texts:
-            full, rest = divmod(len(words), chain)
-            lengths += [chain] * full + [rest] * (rest > 0)
+        """Per text, the probability of each language at each word. A text is cut into stretches of
+        ``chain`` words; the chain of a stretch has ``lap`` more words on both sides, so that words
+        at a cut know their neighbours too."""
+        chain, lap = self.tagger.params.chain, self.tagger.params.lap
         numbers = np.concatenate([self._numbers_of(texts), np.zeros(0, np.int64)])
-        found = self.field.marginals(self.scores[numbers].astype(np.float64), np.array(lengths, np.int64))
-        ends = np.cumsum([len(words) for words in texts])
-        return np.split(found, ends[:-1]) if len(texts) else []
+        sizes = np.array([len(words) for words in texts], np.int64)
+        ends = np.cumsum(sizes)
+        count = -(-sizes // chain)
+        text = np.repeat(np.arange(len(sizes)), count)
+        inside = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+        first, last = (ends - sizes)[text], ends[text]
+        start = first + inside * chain
+        stop = np.minimum(start + chain, last)
+        low, high = np.maximum(start - lap, first), np.minimum(stop + lap, last)
+        lengths = high - low
+        begins = np.cumsum(lengths) - lengths
+        within = np.arange(int(lengths.sum())) - np.repeat(begins, lengths)
+        place = np.repeat(low, lengths) + within
+        found = self.field.marginals(self.scores[numbers[place]].astype(np.float64), lengths)
+        own = (place >= np.repeat(start, lengths)) & (place < np.repeat(stop, lengths))
+        return np.split(found[own], ends[:-1]) if len(texts) else []
 
     def _numbers_of(self, texts: list[list[str]]) -> np.ndarray:
         return self._numbers([w for words in texts for w in words])
@@ -196,12 +207,15 @@ def labelled_sample(docs: DataFrame, params: Tagging, held_out: Column) -> list[
     """(text, lang) of the documents that the field may learn from: a bounded number."""
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("place", place).where(F.col("place") <= params.sample_per_language)
-    ids = sorted({r.doc_id for r in chosen.select("doc_id").collect() if r.doc_id is not None})
-    if not ids:
-        return []
-    texts = rows.where(F.col("doc_id").isin(ids)).select("doc_id", "text", "lang").collect()
-    return [(r.text, r.lang) for r in sorted(texts, key=lambda r: (r.doc_id, r.lang, r.text))]
+    hashed = rows.select("doc_id", "lang", F.xxhash64("text").alias("hash"))
+    chosen = hashed.withColumn("place", place).where((F.col("place") <= params.sample_per_language) & F.col("doc_id").isNotNull())
+    wanted = chosen.select("doc_id", "lang", "hash").distinct()
+    keys = docs.sparkSession.createDataFrame(wanted.collect(), wanted.schema)
+    # The keys are as few as the sample. A repeated row brings its text once, and other texts of a
+    # repeated id none.
+    texts = rows.select("doc_id", "lang", F.xxhash64("text").alias("hash"), "text").join(F.broadcast(keys), ["doc_id", "lang", "hash"])
+    found = texts.groupBy("doc_id", "lang", "hash").agg(F.first("text").alias("text")).collect()
+    return [(r.text, r.lang) for r in sorted(found, key=lambda r: (r.doc_id, r.lang, r.text))]
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
