@@ -13,7 +13,7 @@ from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.session import scratch_path, settled
@@ -52,8 +52,18 @@ def base32_sha1(data: bytes) -> str:
 
 
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI; a plain path is one that this machine can open."""
-    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+    """File system and path of a URI with a scheme."""
+    if ":/" not in path:
+        raise ValueError(f"{path} names no file system; qualify it with qualified_path")
+    return fs.FileSystem.from_uri(path)
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Spark itself would open it by."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    qualified = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    # Hadoop writes a local path with one slash.
+    return "file://" + qualified.removeprefix("file:") if qualified.startswith("file:/") and not qualified.startswith("file://") else qualified
 
 
 def _head(first: str, fields: dict[str, str | int | None]) -> bytes:
@@ -112,10 +122,23 @@ def members(stream: BinaryIO, chunk: int) -> Iterator[Iterator[bytes]]:
             pass
 
 
+def _verified(named: str | None, found: bytes, what: str) -> None:
+    """Compare a digest with the one that a header names; only SHA-1 is known."""
+    if named is None or not named.lower().startswith("sha1:"):
+        return
+    value = named[5:]
+    own = found.hex() if len(value) == 40 else base64.b32encode(found).decode()
+    if value.upper() != own.upper():
+        raise DamagedArchive(what)
+
+
 def read_record(pieces: Iterator[bytes]) -> Record:
     """Read one member: header, then a block of exactly Content-Length bytes, then two line ends.
 
-    The block is digested piece by piece and never held; digests are verified.
+    The block is digested piece by piece and never held; digests that the header names are
+    verified. A response has an HTTP head before its payload, unless it is not of HTTP; of any
+    other type but revisit the payload is the block. A revisit without a length of its payload
+    counts what it has.
     """
     held = b""
     while b"\r\n\r\n" not in held:
@@ -127,9 +150,13 @@ def read_record(pieces: Iterator[bytes]) -> Record:
     if not head.startswith(b"WARC/"):
         raise DamagedArchive("not a record")
     fields = _fields(head)
-    length = int(fields["content-length"])
+    if not fields.get("content-length", "").isdigit():
+        raise DamagedArchive("no Content-Length")
+    length, kind = int(fields["content-length"]), fields.get("warc-type", "")
+    media = fields.get("content-type", "").replace(" ", "").lower()
+    of_http = kind in ("response", "revisit") and (media.startswith("application/http") or not media)
     block, payload, seen, size = hashlib.sha1(), hashlib.sha1(), 0, 0
-    http: dict[str, str] | None = None
+    http: dict[str, str] | None = None if of_http else {}
     before = b""  # the HTTP head as far as it came
     while True:
         part, held = held[: length - seen], held[length - seen :]
@@ -152,14 +179,15 @@ def read_record(pieces: Iterator[bytes]) -> Record:
         held += piece
     if held != END + END:
         raise DamagedArchive("the block is longer than its Content-Length")
-    if fields["warc-block-digest"] != "sha1:" + base64.b32encode(block.digest()).decode():
-        raise DamagedArchive("block digest")
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    if fields["warc-type"] == "response":
-        if digest != base64.b32encode(payload.digest()).decode():
-            raise DamagedArchive("payload digest")
+    _verified(fields.get("warc-block-digest"), block.digest(), "block digest")
+    digest = base64.b32encode(payload.digest()).decode()
+    if kind != "revisit":
+        _verified(fields.get("warc-payload-digest"), payload.digest(), "payload digest")
     else:  # the payload is that of the record it refers to
-        size = int((http or {})["content-length"])
+        named = (http or {}).get("content-length", "")
+        size = int(named) if named.isdigit() else size
+        value = fields.get("warc-payload-digest", "")
+        digest = value[5:] if value.lower().startswith("sha1:") else digest
     return Record(fields, http or {}, length, size, digest)
 
 
@@ -214,13 +242,17 @@ def write_archives(pages: DataFrame, archives: Archives = Archives()) -> DataFra
     marked = rows.join(shared, rows.digest == shared.shared_digest, "left").select(
         "page_id", "url", "payload", "newest", F.col("newest").isNotNull().alias("shared")
     )
-    folder = scratch_path(pages.sparkSession, "warc-archives")
+    folder = qualified_path(pages.sparkSession, scratch_path(pages.sparkSession, "warc-archives"))
     return settled(marked.mapInArrow(_writer(folder, archives), "archive string, records bigint, bytes bigint"), "warc-list")
 
 
 def read_archives(listed: DataFrame, archives: Archives = Archives(), page_id_type: str = "bigint") -> DataFrame:
     """Records of the listed archives: page_id, payload_bytes, payload_digest, record_type,
-    refers_to, url, block_bytes. A damaged record stops the job."""
+    refers_to, url, block_bytes.
+
+    Archives of other writers are read too: their records have no page_id, and all types of
+    record come back with theirs. A damaged record stops the job. ``archive`` is a URI.
+    """
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "block_bytes"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
@@ -238,7 +270,7 @@ def read_archives(listed: DataFrame, archives: Archives = Archives(), page_id_ty
                                 number(r.fields.get("x-page-id")),
                                 r.payload_bytes,
                                 r.payload_digest,
-                                r.fields["warc-type"],
+                                r.fields.get("warc-type"),
                                 number(r.fields.get("x-refers-to-page-id")),
                                 r.fields.get("warc-target-uri"),
                                 r.block_bytes,
@@ -250,7 +282,8 @@ def read_archives(listed: DataFrame, archives: Archives = Archives(), page_id_ty
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=names)
 
-    return listed.select("archive").repartition(max(1, listed.count())).mapInArrow(
+    # An archive is one task's work: they are dealt by name, not gathered.
+    return listed.select("archive").repartition("archive").mapInArrow(
         run,
         f"page_id {page_id_type}, payload_bytes bigint, payload_digest string, record_type string, "
         f"refers_to {page_id_type}, url string, block_bytes bigint",
