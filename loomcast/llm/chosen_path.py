@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import parallel, whole
+from loomcast.llm.common import packed, parallel, whole
 from loomcast.llm.components import connected_components
 from loomcast.llm.sketch import shingle_hashes, word_hashes
 from loomcast.session import settled
@@ -441,20 +441,23 @@ def keep_one_of_each(docs: DataFrame, params: PathJoin = PathJoin()) -> DataFram
     """One document of each class, with all its columns: the one whose doc_id names the class.
 
     Rows are judged one by one, by doc_id and text, so a null or repeated doc_id does not tie its
-    rows together. Of rows of a class that share the doc_id that names it one stays, the smallest
-    by its columns; of documents without an id, all of whose class lack one, all stay.
+    rows together. Of rows of a class that share the doc_id that names it one stays, the first by
+    its columns written as text; of documents without an id, all of whose class lack one, all
+    stay. Empty and null texts are one class. An empty table stays empty; columns may have any
+    name and type.
     """
     names = F.col("doc_id") == F.col("class_id")
-    rows = _members(docs, params).where(F.col("class_id").isNotNull())
-    of_row = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    whole_rows = packed(docs)
+    rows = _members(whole_rows.select("row.doc_id", "row.text"), params).where(F.col("class_id").isNotNull())
+    of_row = [F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")]
     leave = rows.where(~F.coalesce(names, F.lit(False))).select(*of_row).distinct()
     naming = rows.where(names)
     repeated = naming.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
-    several_rows = settled(naming.join(repeated, "class").select(*of_row, F.col("class").alias("__class")).distinct(), "path-repeated")
-    hashed = docs.withColumn("__text", F.xxhash64(whole()))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    several_rows = settled(naming.join(repeated, "class").select(*of_row, "class").distinct(), "path-repeated")
+    hashed = whole_rows.withColumn("text_hash", F.xxhash64(whole("row.text")))
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
     # Rows that leave grow with the documents: a merge join at every size.
-    stay = hashed.join(several_rows, same, "left_anti").join(leave.hint("merge"), same, "left_anti").select(*docs.columns)
-    several = hashed.join(several_rows, same).groupBy("__class")
-    one = several.agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
-    return stay.unionByName(one)
+    stay = hashed.join(several_rows, same, "left_anti").join(leave.hint("merge"), same, "left_anti").select("row")
+    several = hashed.join(several_rows, same).groupBy("class")
+    one = several.agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return stay.unionByName(one.select("row")).select("row.*")

@@ -27,6 +27,11 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \\t-\\r]+"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The rows as one struct column ``row``, so that no name of theirs can meet one of ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def parallel(df: DataFrame) -> int:
     """Partitions of a shuffle in this session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomcast.llm.common import let, whole, words_of
+from loomcast.llm.common import let, packed, whole, words_of
 from loomcast.session import settled
 
 FEATURES = ("f_word_length", "f_symbols", "f_dup_lines", "f_repeats")
+# Parts that the rows of a group are dealt to.
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -190,6 +192,19 @@ def _added() -> list[Column]:
     return [F.sum(x).alias(x) for x in names]
 
 
+def _salted(stats: DataFrame) -> DataFrame:
+    """Rows with a number that deals those of one group to ``SALTS`` parts."""
+    return stats.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+
+
+def _joined(rows: DataFrame, shapes: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with the shape of their key. A key may hold all rows, as that of all documents does:
+    shapes are copied to every salt, so that neither the join nor what follows it by key meets
+    the rows of a key in one task."""
+    copies = shapes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(copies, ["key", "salt"], how)
+
+
 SHAPE = ("key", "start", *[f"m_{i}" for i in range(4)], *[f"v_{i}{j}" for i, j in _pairs()], "logdet", "n")
 
 
@@ -239,7 +254,7 @@ def _concentrate(keyed: DataFrame, shapes: DataFrame, rules: QualityRules) -> Da
     Rows are counted and summed per bin of the logarithmic distance in one aggregation, so the
     nearer half is whole bins and no group is ever gathered in one task.
     """
-    near = keyed.join(shapes.drop("n"), "key")
+    near = _joined(keyed, shapes.drop("n"))
     binned = near.withColumn("bin", F.floor(F.log(F.greatest(_distance(), F.lit(1e-6))) * rules.bins_per_factor))
     cells = binned.groupBy("key", "start", "bin").agg(*_moments())
     by = Window.partitionBy("key", "start")
@@ -259,15 +274,15 @@ def fit_shapes(stats: DataFrame, rules: QualityRules = QualityRules()) -> DataFr
     level2 = _group_key(F.col("lang"), F.col("source"))
     level1 = _group_key(F.col("lang"))
     level0 = F.lit("0")
-    sound = stats.where(~F.col("base_failed"))
-    keyed = sound.select(F.explode(F.array(level2, level1, level0)).alias("key"), *FEATURES)
+    sound = (stats if "salt" in stats.columns else _salted(stats)).where(~F.col("base_failed"))
+    keyed = sound.select(F.explode(F.array(level2, level1, level0)).alias("key"), "salt", *FEATURES)
     sizes = settled(sound.groupBy(level2.alias("key")).agg(F.count(F.lit(1)).alias("rows"), F.first(level1).alias("key1")), "quality-sizes")
     shapes = settled(_starts(keyed, rules), "quality-shapes")
     for _ in range(rules.steps):
         shapes = settled(_concentrate(keyed, shapes, rules), "quality-shapes")
     best = shapes.groupBy("key").agg(F.min_by(F.struct(*SHAPE[1:]), F.struct("logdet", "start")).alias("x"))
     best = best.select("key", *[f"x.{c}" for c in SHAPE[1:]])
-    inner = keyed.join(best.drop("n"), "key").where(_distance() <= rules.reweight).groupBy("key").agg(*_moments())
+    inner = _joined(keyed, best.drop("n")).where(_distance() <= rules.reweight).groupBy("key").agg(*_moments())
     final = settled(_inverted(inner, 1.0, rules).withColumn("start", F.lit(2)).select(*SHAPE), "quality-shapes")
     language = sizes.groupBy("key1").agg(F.sum("rows").alias("rows1"))
     chosen = sizes.join(language, "key1").select(
@@ -289,10 +304,10 @@ def judge_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     source is a group of its own; a null text is an empty one and fails the base rules. Columns
     other than doc_id, text, lang and source are not read.
     """
-    stats = settled(_with_features(document_statistics(docs, rules)), "quality-statistics")
+    stats = settled(_salted(_with_features(document_statistics(docs, rules))), "quality-statistics")
     shapes = fit_shapes(stats, rules)
     keyed = stats.withColumn("key", F.when(~F.col("base_failed"), _group_key(F.col("lang"), F.col("source"))))
-    judged = keyed.join(shapes, "key", "left").withColumn("distance", _distance())
+    judged = _joined(keyed, shapes, "left").withColumn("distance", _distance())
     return judged.select(
         "doc_id",
         "n_words",
@@ -310,14 +325,16 @@ def keep_sound(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFra
     """Documents that pass, with all their columns.
 
     Every row is kept or dropped by its own verdict, which depends on its text, language and
-    source only: rows that share a doc_id, or have none, are judged apart.
+    source only: rows that share a doc_id, or have none, are judged apart. Null and empty texts
+    fail the base rules; an empty table stays empty; columns may have any name and type.
     """
-    row = [F.col("doc_id"), F.xxhash64(whole()), F.col("lang").cast("string"), F.col("source").cast("string")]
-    names = ["__id", "__text", "__lang", "__source"]
-    marked = docs.withColumn("doc_id", F.struct(*[x.alias(n) for x, n in zip(row, names, strict=True)]))
+    row = [F.col("row.doc_id"), F.xxhash64(whole("row.text")), F.col("row.lang").cast("string"), F.col("row.source").cast("string")]
+    names = ["id", "text_hash", "lang", "source"]
+    whole_rows = packed(docs)
+    marked = whole_rows.select(F.struct(*[x.alias(n) for x, n in zip(row, names, strict=True)]).alias("doc_id"), "row.text", "row.lang", "row.source")
     failed = judge_quality(marked, rules).where(~F.col("kept")).select("doc_id.*").distinct()
     same = F.lit(True)
     for x, n in zip(row, names, strict=True):
         same = same & x.eqNullSafe(F.col(n))
     # Failed rows grow with the documents: a merge join at every size.
-    return docs.join(failed.hint("merge"), same, "left_anti")
+    return whole_rows.join(failed.hint("merge"), same, "left_anti").select("row.*")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import whole
+from loomcast.llm.common import packed, whole
 from loomcast.llm.crf import ChainField
 
 # Fixed patterns: kind, pattern, and the characters that group must have (0: the whole match).
@@ -310,16 +310,24 @@ def scan_secrets(docs: DataFrame, tagger: SecretTagger | None = None) -> DataFra
 
 
 def redact_secrets(docs: DataFrame, tagger: SecretTagger | None = None) -> DataFrame:
-    """``docs`` with its secrets replaced and n_chars, if there, counted anew; null texts stay null."""
+    """``docs`` with its secrets replaced and n_chars, if there, counted anew; null texts stay null.
+
+    One row per input row, repeated rows included; an empty table stays empty; columns may have
+    any name and type.
+    """
     fitted = tagger or SecretTagger.fitted()
     at = docs.columns.index("text")
+    rows = packed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if x is None else fitted.redacted(x) for x in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            fields = list(batch.schema.field(0).type)
+            columns = batch.column(0).flatten()
+            texts = [None if x is None else fitted.redacted(x) for x in columns[at].to_pylist()]
+            columns[at] = pa.array(texts, fields[at].type)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=fields)], names=["row"])
 
-    clean = docs.mapInArrow(run, docs.schema)
+    clean = rows.mapInArrow(run, rows.schema).select("row.*")
     if "n_chars" not in docs.columns:
         return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
