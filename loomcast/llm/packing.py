@@ -6,7 +6,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,9 +19,29 @@ from loomcast.llm.common import whole
 from loomcast.session import settled
 
 TOKENIZER = "word_bpe_49k.json"
-# A full stop or comma that ends a word is a piece of its own after a letter or digit. Only letters
-# that no normal form takes apart are listed; other words simply stay whole.
-_ENDING = re.compile(r"(?<=[a-zA-Z0-9\u00df-\u00f6\u00f8-\u00ff])([.,])(?=[ \n]|\Z)")
+# Marks that end a word are a piece of their own after a letter or digit, as the tokenizer splits
+# them too. Only letters that no normal form takes apart are listed; other words simply stay whole.
+_ENDING = re.compile(r"(?<=[a-zA-Z0-9\u00df-\u00f6\u00f8-\u00ff])([.,;:!?$#%*&)]+)(?=[ \n]|\Z)")
+# Words whose normal form is their lower case, letter by letter.
+_PLAIN = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+# The steps of a tokenizer that treats words one by one, as the library names them.
+WORD_STEPS = (
+    'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\\s+"), content=" "), Lowercase()])',
+    'Sequence(pretokenizers=[Split(pattern=Regex("\'s|\'t|\'re|\'ve|\'m|\'ll|\'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"), '
+    "behavior=Removed, invert=True), ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])",
+    "BPE",
+)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for a byte: itself if it can be printed, else the next one from 256 on."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in printed]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 @dataclass(frozen=True)
@@ -31,7 +51,7 @@ class Packing:
     tokenizer: str = TOKENIZER
     window: int = 2048
     end_id: int = 1
-    cached_words: int = 500_000
+    cached_words: int = 1_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,8 +66,10 @@ def tokenizer_path(name: str) -> str:
 class WordEncoder:
     """Ids of texts through a bounded cache of words.
 
-    The tokenizer drops white space and never merges across it, so the ids of a text are those
-    of its words one after another; only words that are not in the cache reach the tokenizer.
+    A tokenizer with ``WORD_STEPS`` drops white space and never merges across it, so the ids of a
+    text are those of its words one after another; only words that are not in the cache reach it.
+    The cache has two halves: when the newer is full it becomes the older one, and words that are
+    met again move to the newer. Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, packing: Packing):
@@ -55,10 +77,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(packing.tokenizer))
-        self.most = packing.cached_words
+        steps = (repr(self.tokenizer.normalizer), repr(self.tokenizer.pre_tokenizer), type(self.tokenizer.model).__name__)
+        marked = all("<|" in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.by_words = steps == WORD_STEPS and marked
+        self.half = max(1, packing.cached_words // 2)
         top = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, packing.end_id)
         self.width = 2 if top < 1 << 16 else 4  # bytes of a stored id
+        self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -69,11 +96,13 @@ class WordEncoder:
         return _ENDING.sub(r" \1", text).replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        """Ids of each text, then ``end_id``, as little-endian unsigned 32-bit numbers."""
-        get, end, out = self.known.get, array("I", [end_id]).tobytes(), []
+        """Ids of each text, then ``end_id``, as little-endian unsigned numbers of ``width`` bytes."""
+        end, out = self._bytes([end_id]), []
+        if not self.by_words:
+            return [self._bytes(x.ids) + end for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         for text in texts:
             pieces = self.pieces(text)
-            ids = list(map(get, pieces))
+            ids = list(map(self.known.get, pieces))
             if None in ids:
                 own = self.learn({p for p, known in zip(pieces, ids, strict=True) if known is None})
                 ids = [own[p] if known is None else known for p, known in zip(pieces, ids, strict=True)]
@@ -81,35 +110,54 @@ class WordEncoder:
             out.append(b"".join(ids))
         return out
 
+    def _bytes(self, ids: Iterable[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
     def learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not in the cache; they are added to it. A word of small ASCII
-        letters passes normal form and splitting unchanged, so it goes to the model directly."""
-        tokenize = self.tokenizer.model.tokenize
-        plain = [p for p in new if p.isascii() and p.isalpha() and p.islower()]
-        own = {p: array("I", [t.id for t in tokenize(p)]).tobytes() for p in plain}
-        rest = [p for p in new if p not in own]
+        """Ids of pieces that are not in the newer half; they are added to it. A word of plain
+        letters passes to the model directly, its bytes written as the tokenizer writes them."""
+        own = {p: self.older[p] for p in new if p in self.older}
+        tokenize, rest = self.tokenizer.model.tokenize, []
+        for p in new:
+            if p in own:
+                continue
+            if _PLAIN.fullmatch(p):
+                letters = p if p.isascii() else p.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+                own[p] = self._bytes([t.id for t in tokenize(letters.lower() if p.isascii() else letters)])
+            else:
+                rest.append(p)
         for piece, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            own[piece] = array("I", got.ids).tobytes()
-        if len(self.known) + len(own) > self.most:
-            self.known.clear()
+            own[piece] = self._bytes(got.ids)
+        if len(self.known) + len(own) > self.half:
+            self.older, self.known = self.known, {}
         self.known.update(own)
         return own
 
 
+_encoders: dict[Packing, WordEncoder] = {}
+
+
+def encoder_of(packing: Packing) -> WordEncoder:
+    """The encoder of this process: tasks that run in it one after the other share its cache."""
+    if packing not in _encoders:
+        _encoders.clear()
+        _encoders[packing] = WordEncoder(packing)
+    return _encoders[packing]
+
+
 def _tokenised(packing: Packing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = WordEncoder(packing), 0
+        encoder, total = encoder_of(packing), 0
         for batch in batches:
             parts = batch.column("part")
             for at in range(0, batch.num_rows, 64):
                 rows = batch.slice(at, 64)
                 ids = encoder.encode(rows.column("text").to_pylist(), packing.end_id)
-                lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+                lengths = np.array([len(x) // encoder.width for x in ids], dtype=np.int64)
                 before = total + np.cumsum(lengths) - lengths
                 total += int(lengths.sum())
-                small = [np.frombuffer(x, dtype="<u4").astype(f"<u{encoder.width}").tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays(
-                    [parts.slice(at, 64), rows.column("doc_id"), pa.array(small, pa.binary()), pa.array(lengths), pa.array(before)],
+                    [parts.slice(at, 64), rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array(lengths), pa.array(before)],
                     names=["part", "doc_id", "ids", "doc_tokens", "before"],
                 )
 
