@@ -27,6 +27,7 @@ HEADLINE = (
     "wn13_decomposition",
     "wn14_calendar_grid",
     "ud03_hourly_features",
+    "ud03_daily_features",
     "ag02_exact_quantiles",
     "ag03_iqr_fences",
     "ag07_correlation_matrix",
@@ -38,6 +39,8 @@ HEADLINE = (
     "jn05_predictions_with_actuals",
     "jn09_enough_history",
     "ml03_preprocess",
+    "ml06_linear_horizons",
+    "ml09_lasso_one_feature",
     "ml11_model_inventory",
     "sf01_cyclical",
     "sf03_calendar_parts",

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcast.learning.linear import cross_validated_lasso, gather_moments
 from loomcast.learning.models import FEATURES, SEED, assemble
 from loomcast.operators.chunks import LENGTH, POSITION
 from loomcast.operators.correlate import correlation_with, mutual_information
-from loomcast.operators.metrics import forecast_metrics
 from loomcast.operators.ranking import add_mean_rank, align_scores, assign_lists, overlap, top_features
 
 SCORES = ("correlation", "mutual_info", "lasso_coef", "rf_importance")
@@ -25,30 +25,16 @@ def blocked_folds(train: DataFrame, folds: int, share: float = 0.7) -> DataFrame
 
 
 def lasso_weights(
-    train: DataFrame, features: Sequence[str], target: str, penalties: Sequence[float] = (0.001, 0.01, 0.1), folds: int = 5
+    train: DataFrame, features: Sequence[str], target: str, folds: int = 5, length: int = 100, ratio: float = 1e-3
 ) -> DataFrame:
-    """Absolute weights of an L1 model; the penalty is chosen on blocks of time."""
-    rows = assemble(blocked_folds(train, folds), features).select("fold", target, FEATURES).persist()
-
-    def fit(data: DataFrame, penalty: float):
-        model = LinearRegression(
-            featuresCol=FEATURES, labelCol=target, predictionCol="yhat",
-            elasticNetParam=1.0, regParam=penalty, standardization=False, solver="auto",
-        )
-        return model.fit(data)
-
-    try:
-        errors = {}
-        for penalty in penalties:
-            scored = [
-                forecast_metrics(fit(rows.where(F.col("fold") != k), penalty).transform(rows.where(F.col("fold") == k)), (), target).first()["rmse"]
-                for k in range(folds)
-            ]
-            errors[penalty] = sum(scored) / folds
-        weights = fit(rows, min(errors, key=errors.get)).coefficients
-    finally:
-        rows.unpersist()
-    pairs = [(c, abs(float(w))) for c, w in zip(features, weights)]
+    """Absolute weights of an L1 model; the penalty is chosen on blocks of time.
+
+    One pass over the rows gives the moments of all folds, and the whole path of ``length``
+    penalties is solved from them: for every fold without it, and for all rows.
+    """
+    moments = gather_moments(blocked_folds(train, folds), features, [target], "fold")
+    weights = cross_validated_lasso(moments[target], length, ratio).weights if target in moments else [0.0] * len(features)
+    pairs = [(c, abs(float(w))) for c, w in zip(features, weights, strict=True)]
     return train.sparkSession.createDataFrame(pairs, SCORE_SCHEMA.format("lasso_coef"))
 
 

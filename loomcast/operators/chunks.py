@@ -1,16 +1,18 @@
 """Row positions and row windows that never put a whole series into one task.
 
 A window partitioned by the series key alone sends every row of a series to one task, and a
-window without a key sends the whole table to one. Here a series is cut in two steps:
-
-1. ``with_positions`` numbers the rows. Rows are ranked per (series, time bucket) in one shuffle
-   and stored with their bucket's size; the few sizes, read back as three columns, are summed
-   up per series, and the rank inside the bucket is added to that start.
-2. ``over_chunks`` cuts the numbered rows into chunks of ``chunk_rows``, copies the last
-   ``back`` rows of a chunk into the next one and the first ``ahead`` rows into the one
-   before, runs ordinary window functions per (series, chunk) and drops the copies.
-
-Both are exact for rows at irregular times: distances are counted in rows.
+window without a key sends the whole table to one. Here the rows of a series are cut into time
+buckets of about ``chunk_rows`` rows, and all steps read the same shuffle by (series, bucket):
+
+1. Buckets are counted, and the counts, one row per bucket, are summed up per series to the
+   position that each bucket starts at.
+2. Rows that are far enough from both ends of their bucket find all rows that their windows
+   reach inside it; their windows are final.
+3. Rows near an end, a few per bucket, get their positions from the starts. They are cut into
+   chunks by position, with the rows before and after copied from the neighbours, and windowed.
+
+All is exact for rows at irregular times: distances are counted in rows, however many buckets
+they cross. Rows are shuffled once and not stored.
 """
 
 from __future__ import annotations
@@ -21,8 +23,6 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from loomcast.session import settled
-
 POSITION = "pos"
 LENGTH = "series_rows"
 
@@ -64,35 +64,59 @@ def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], ho
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__right_{c}" for c in columns])
 
 
-def with_positions(df: DataFrame, shape: SeriesShape) -> DataFrame:
-    """Add ``pos`` (0-based row number in time order) and ``series_rows`` per series.
+def _bucketed(df: DataFrame, shape: SeriesShape, least: int = 1) -> tuple[DataFrame, list[str]]:
+    """Rows shuffled by series and time bucket, and the columns that name a bucket.
 
-    ``(key, ts)`` must be unique; deduplicate first where it is not. The ranked rows are written
-    once, so what lies before is read and aggregated once; hand over the needed columns only.
+    The columns are never null, so that joins on them keep the partitioning: a missing key is a
+    series, and rows without time form the first bucket of theirs.
     """
-    key = list(shape.key)
-    span = shape.step * shape.chunk_rows
-    bucketed = df.withColumn("__bucket", F.floor(epoch_seconds(F.col(shape.ts)) / span))
-    inside = Window.partitionBy(*key, "__bucket")
-    ranked = settled(
-        bucketed.withColumns(
-            {
-                "__rank": F.row_number().over(inside.orderBy(shape.ts)).cast("long"),
-                "__size": F.count(F.lit(1)).over(inside),
-            }
-        ),
-        "positions",
-    )
+    names: dict[str, Column] = {}
+    for i, k in enumerate(shape.key):
+        names[f"__key{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        names[f"__null{i}"] = F.col(k).isNull()
+    span = shape.step * max(shape.chunk_rows, least)
+    names["__bucket"] = F.coalesce(F.floor(epoch_seconds(F.col(shape.ts)) / span), F.lit(-(1 << 62)))
+    return df.withColumns(names).repartition(*names), list(names)
+
+
+def _starts(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Position of the first row of every bucket, and the rows of its series."""
+    # The count is what counts(1) gives. It mentions all columns because a shuffle of fewer columns
+    # would be another shuffle, for which the input is evaluated again.
+    rows_in = F.count(F.lit(1))
+    others = [f for f in rows.schema.fields if f.name not in names]
+    seen = [F.count(f.name) if f.nullable else F.least(rows_in, F.max(F.hash(f.name)).cast("long")) for f in others]
+    sizes = rows.groupBy(*names).agg((F.greatest(rows_in, *seen) if seen else rows_in).alias("__size"))
     # One row per bucket: a series of a billion rows is about 250,000 rows here.
-    so_far = Window.partitionBy(*key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranked.where(F.col("__rank") == 1).select(
-        *key,
-        "__bucket",
+    series = Window.partitionBy(*names[:-1])
+    so_far = series.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        *names,
         F.coalesce(F.sum("__size").over(so_far), F.lit(0)).alias("__start"),
-        F.sum("__size").over(Window.partitionBy(*key)).alias(LENGTH),
+        F.sum("__size").over(series).alias(LENGTH),
     )
-    joined = null_safe_join(ranked.drop("__size"), starts, [*key, "__bucket"])
-    return joined.withColumn(POSITION, F.col("__start") + F.col("__rank") - 1).drop("__bucket", "__rank", "__start")
+
+
+def _ranked(rows: DataFrame, shape: SeriesShape, names: list[str]) -> tuple[DataFrame, WindowSpec]:
+    inside = Window.partitionBy(*names)
+    ordered = inside.orderBy(shape.ts)
+    added = {"__rank": F.row_number().over(ordered).cast("long"), "__size": F.count(F.lit(1)).over(inside)}
+    return rows.withColumns(added), ordered
+
+
+def _numbered(ranked: DataFrame, starts: DataFrame, names: list[str]) -> DataFrame:
+    return ranked.join(starts, names).withColumn(POSITION, F.col("__start") + F.col("__rank") - 1)
+
+
+def with_positions(df: DataFrame, shape: SeriesShape) -> DataFrame:
+    """Add ``pos`` (0-based row number in time order) and ``series_rows`` per series.
+
+    ``(key, ts)`` must be unique; deduplicate first where it is not. Rows are shuffled once, by
+    series and bucket; hand over the needed columns only.
+    """
+    rows, names = _bucketed(df, shape)
+    ranked, _ = _ranked(rows, shape, names)
+    return _numbered(ranked, _starts(rows, names), names).select(*df.columns, POSITION, LENGTH)
 
 
 def over_chunks(
@@ -101,9 +125,47 @@ def over_chunks(
     build: Callable[[WindowSpec], Sequence[Column]],
     back: int = 0,
     ahead: int = 0,
+    numbered: bool = False,
 ) -> DataFrame:
-    """Append the window columns ``build(window)``; they may reach ``back`` / ``ahead`` rows."""
-    placed = df if POSITION in df.columns else with_positions(df, shape)
+    """Append the window columns ``build(window)``; they may reach ``back`` / ``ahead`` rows.
+
+    With ``numbered`` the rows have ``pos`` and ``series_rows`` too. ``(key, ts)`` must be unique.
+    """
+    if POSITION in df.columns:
+        return _over_positions(df, shape, build, back, ahead)
+    reach = back + ahead
+    rows, names = _bucketed(df, shape, reach)
+    ranked, ordered = _ranked(rows, shape, names)
+    kept = [*df.columns, POSITION, LENGTH] if numbered else df.columns
+    windowed = ranked.select("*", *build(ordered))
+    made = [c for c in windowed.columns if c not in ranked.columns]
+    if not reach and not numbered:
+        return windowed.select(*kept, *[_named(c) for c in made])
+    starts = _starts(rows, names)
+    inner = (F.col("__rank") > back) & (F.col("__size") - F.col("__rank") >= ahead)
+    inside = windowed.where(inner)
+    if numbered:
+        inside = _numbered(inside, starts, names)
+    # All that rows near an end reach lies this near to an end itself, or in a bucket of fewer rows.
+    edges = ranked.where((F.col("__rank") <= reach) | (F.col("__size") - F.col("__rank") < reach))
+    placed = _numbered(edges, starts, names).withColumn("__inner", inner)
+    outside = _over_positions(placed, shape, build, back, ahead).where("NOT __inner")
+    columns = [*kept, *[_named(c) for c in made]]
+    return inside.select(*columns).unionByName(outside.select(*columns))
+
+
+def _named(column: str) -> str:
+    return f"`{column}`"
+
+
+def _over_positions(
+    placed: DataFrame, shape: SeriesShape, build: Callable[[WindowSpec], Sequence[Column]], back: int, ahead: int
+) -> DataFrame:
+    """Windows over numbered rows: one shuffle by series and chunk of positions.
+
+    The last ``back`` rows of a chunk are copied into the next one and the first ``ahead`` rows
+    into the one before; copies are dropped after the windows.
+    """
     size = max(shape.chunk_rows, back, ahead)
     home = F.floor(F.col(POSITION) / size)
     offset = F.col(POSITION) % size

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.operators.chunks import LENGTH, POSITION, SeriesShape, null_safe_join, over_chunks, with_positions
+from loomcast.operators.chunks import LENGTH, POSITION, SeriesShape, null_safe_join, over_chunks
 from loomcast.operators.windows import centred_mean
 from loomcast.session import settled
 
@@ -13,11 +13,12 @@ from loomcast.session import settled
 def decompose(df: DataFrame, shape: SeriesShape, column: str = "temp", period: int = 7) -> DataFrame:
     """Add ``trend``, ``seasonal`` and ``resid``; series shorter than two periods are left out."""
     key = list(shape.key)
-    placed = with_positions(df.where(F.col(column).isNotNull()), shape).where(F.col(LENGTH) >= 2 * period)
     half = period // 2
-    windowed = over_chunks(
-        placed, shape, lambda w: [centred_mean(w, column, period).alias("trend")], back=half, ahead=half
-    ).withColumn("phase", (F.col(POSITION) % period).cast("int"))
+    known = df.where(F.col(column).isNotNull())
+    placed = over_chunks(
+        known, shape, lambda w: [centred_mean(w, column, period).alias("trend")], back=half, ahead=half, numbered=True
+    )
+    windowed = placed.where(F.col(LENGTH) >= 2 * period).withColumn("phase", (F.col(POSITION) % period).cast("int"))
     # Read twice, for the phase means and for the rows: written once instead of windowed twice.
     trended = settled(windowed, "trend")
     seasonal = phase_means(trended, key, column, period)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,6 +24,43 @@ def forecast_metrics(pairs: DataFrame, by: Sequence[str] = ("horizon",), y: str
     )
 
 
+@dataclass(frozen=True)
+class Pairing:
+    """An actual and a forecast column of a wide row; rows where either is null do not count."""
+
+    labels: Mapping[str, object]
+    y: Column
+    yhat: Column
+
+
+MEASURES = ("mae", "rmse", "mape", "r2", "n_samples")
+
+
+def paired_metrics(df: DataFrame, pairings: Sequence[Pairing], measures: Sequence[str] = MEASURES) -> DataFrame:
+    """``forecast_metrics`` of every pairing from one aggregate: labels, then the measures.
+
+    Each row is read once and never repeated per horizon or candidate; the sums, one row in all,
+    are unfolded to one row per pairing. A pairing without rows has n_samples 0 and null errors.
+    """
+    sums: list[Column] = []
+    rows = []
+    for i, pairing in enumerate(pairings):
+        error = pairing.y - pairing.yhat
+        known = F.when(error.isNotNull(), pairing.y)
+        squares = F.sum(error * error)
+        of = {
+            "mae": F.avg(F.abs(error)),
+            "rmse": F.sqrt(F.avg(error * error)),
+            "mape": 100 * F.avg(F.abs(F.try_divide(error, pairing.y))),
+            "r2": 1 - F.try_divide(squares, F.count(error) * F.var_pop(known)),
+            "n_samples": F.count(error),
+        }
+        sums += [of[m].alias(f"{m}_{i}") for m in measures]
+        labels = [F.lit(v).alias(k) for k, v in pairing.labels.items()]
+        rows.append(F.struct(*labels, *[F.col(f"{m}_{i}").alias(m) for m in measures]))
+    return df.agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def average_metrics(metrics: DataFrame) -> DataFrame:
     """Plain mean over horizons; the mean R2 to 3 digits serves as average confidence."""
     return metrics.agg(

@@ -38,8 +38,12 @@ def centred_mean(window: WindowSpec, column: str, period: int) -> Column:
     )
 
 
+def target_name(column: str, horizon: int, unit: str = "") -> str:
+    return f"target_{column}_t+{horizon}{unit}"
+
+
 def lead_columns(window: WindowSpec, column: str, horizons: Sequence[int], unit: str = "") -> list[Column]:
-    return [F.lead(column, h).over(window).alias(f"target_{column}_t+{h}{unit}") for h in horizons]
+    return [F.lead(column, h).over(window).alias(target_name(column, h, unit)) for h in horizons]
 
 
 def later_rows(window: WindowSpec, column: str, horizons: Sequence[int], split: str = "split") -> list[Column]:
@@ -52,7 +56,7 @@ def bounded_targets(df: DataFrame, column: str, horizons: Sequence[int], unit: s
     """``later_rows`` to targets: a label in another split than its row is null."""
     kept = [c for c in df.columns if not c.startswith("__later_")]
     targets = [
-        F.when(F.col(f"__later_{h}.split") == F.col(split), F.col(f"__later_{h}.value")).alias(f"target_{column}_t+{h}{unit}")
+        F.when(F.col(f"__later_{h}.split") == F.col(split), F.col(f"__later_{h}.value")).alias(target_name(column, h, unit))
         for h in horizons
     ]
     return df.select(*kept, *targets)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 from loomcast.learning import models, selection, state
 from loomcast.operators.filters import filled_columns
 from loomcast.operators.metrics import average_metrics, forecast_metrics
-from loomcast.operators.split import chronological_split
-from loomcast.operators.windows import add_targets
+from loomcast.operators.split import bounded_labels, chronological_split
 from loomcast.sources.writers import append_rows, write_metrics, write_split_tables, write_table
 from loomcast.spec import FeatureSpec, build_features, feature_columns
 
@@ -27,12 +27,17 @@ STAGES = ("features", "select", "preprocess", "tune", "train", "evaluate", "pred
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Choices of one forecast job."""
+    """Choices of one forecast job.
+
+    ``first_trials`` choose the model family on the middle horizon before ``trials`` search its
+    parameters on every horizon; without them every horizon searches all families.
+    """
 
     spec: FeatureSpec
     step_unit: str = "DAY"
     top_n: int = 30
-    trials: int = 3
+    first_trials: int = 9
+    trials: int = 6
     trees: int = 100
     folds: int = 5
     imputation: str = "median"
@@ -53,16 +58,13 @@ def labelled_features(observations: DataFrame, config: JobConfig) -> DataFrame:
     without all labels go, and the split follows, so that labels reach into the next split.
     """
     spec = config.spec
-    featured = build_features(observations, spec)
+    wide = build_features(observations, spec, targets=True)
     if config.labels_cross_splits:
-        wide = add_targets(featured, spec.shape, spec.target, spec.horizons, spec.unit)
         # The last label of a row is the one that ends first.
         complete = wide.where(F.col(f"`{spec.target_names()[-1]}`").isNotNull()).drop("pos", "series_rows")
         split = chronological_split(complete, spec.shape)
     else:
-        split = add_targets(
-            chronological_split(featured, spec.shape), spec.shape, spec.target, spec.horizons, spec.unit, "split"
-        )
+        split = bounded_labels(wide, spec.target, spec.horizons, spec.unit)
     renames = dict(zip(spec.target_names(), config.targets().values()))
     return split.withColumnsRenamed(renames)
 
@@ -86,7 +88,7 @@ def run_forecast_job(
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     spec, targets = config.spec, config.targets()
     paths = {n: f"{folder}/{n}" for n in (
-        "features", "lists", "overlap", "state", "categories", "prepared", "trials", "models", "metadata", "metrics", "metrics_json",
+        "features", "lists", "overlap", "state", "categories", "prepared", "first_stage", "trials", "models", "metadata", "metrics", "metrics_json",
         "average", "forecasts",
     )}
     key = list(spec.shape.key)
@@ -119,28 +121,34 @@ def run_forecast_job(
     if "preprocess" not in skip:
         train = ready.where("split = 'train'")
         write_table(state.state_table(spark, state.fit_state(train, chosen, config.imputation)), paths["state"])
-        seen = [(c, v) for c in categories for v in state.train_categories(train, c)]
-        write_table(spark.createDataFrame(seen, "feature string, category string"), paths["categories"])
+        codes = [
+            state.category_codes(train, F.coalesce(F.col(c).cast("string"), F.lit("none"))).withColumn("feature", F.lit(c)) for c in categories
+        ]
+        empty = spark.createDataFrame([], "category string, code int, feature string")
+        write_table(reduce(DataFrame.unionByName, codes, empty), paths["categories"])
+        coded = spark.read.parquet(paths["categories"])
         outside = [c for c in (spec.target,) if c not in chosen]
         kept = usable.select(*key, spec.shape.ts, "split", *outside, *chosen, *categories, *labels)
         prepared = state.apply_state(kept, state.load_state(spark.read.parquet(paths["state"])))
         for c in categories:
-            prepared = state.one_hot(prepared, c, [v for f, v in seen if f == c])
+            prepared = state.category_vector(prepared, c, coded.where(F.col("feature") == c))
         write_split_tables(prepared, paths["prepared"])
     prepared = spark.read.parquet(paths["prepared"])
-    encoded = [c for c in prepared.columns if any(c.startswith(f"{k}_") for k in categories)]
+    encoded = [f"{k}_categories" for k in categories]
     features = {h: list(dict.fromkeys([*names, *encoded])) for h, names in own.items()}
 
     if "tune" not in skip:
-        write_table(
-            models.tune_horizons(
-                prepared, features, targets, config.trials, parallelism=config.parallelism, space=config.search_space
-            ),
-            paths["trials"],
-        )
-    trials = stored_table(spark, paths["trials"])
-    tuned = models.best_configs(trials) if trials is not None else {}
-    configs = {h: tuned[h][0] if h in tuned else config.default_model for h in targets}
+        options = dict(parallelism=config.parallelism, space=config.search_space)
+        if config.first_trials:
+            first, trials = models.tune_two_stage(prepared, features, targets, config.first_trials, config.trials, **options)
+            write_table(first, paths["first_stage"])
+        else:
+            trials = models.tune_horizons(prepared, features, targets, config.trials, **options)
+        write_table(trials, paths["trials"])
+    tuned = models.resolved_configs(
+        list(targets), stored_table(spark, paths["first_stage"]), stored_table(spark, paths["trials"]), config.default_model
+    )
+    configs = {h: own for h, (own, _) in tuned.items()}
 
     if "train" not in skip:
         model, metadata = models.train_horizons(

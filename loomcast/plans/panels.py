@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.operators.chunks import DAILY, HOURLY, SeriesShape
-from loomcast.operators.split import chronological_split
+from loomcast.operators.chunks import DAILY, HOURLY, POSITION, SeriesShape
+from loomcast.operators.split import chronological_split, split_targets
 from loomcast.operators.windows import add_targets
 from loomcast.sources.readers import table
 
@@ -123,12 +123,28 @@ def daily_splits(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def target_pairs(df: DataFrame, shape: SeriesShape, horizons: tuple[int, ...], yhat: str = "temp") -> DataFrame:
-    """Persistence forecast against later actuals, long by horizon; no label crosses a split."""
-    wide = add_targets(df, shape, "temp", horizons, bounded_by="split")
+    """Persistence forecast against later actuals, long by horizon; no label crosses a split.
+
+    A panel without positions gets them, its split and its labels from one pass.
+    """
+    if POSITION in df.columns:
+        wide = add_targets(df, shape, "temp", horizons, bounded_by="split")
+    else:
+        wide = split_targets(df, shape, "temp", horizons)
     pairs = [F.struct(F.lit(h).alias("horizon"), F.col(f"`target_temp_t+{h}`").alias("y")) for h in horizons]
     return wide.select("series_id", "ts", "split", F.col(yhat).alias("yhat"), F.inline(F.array(*pairs)))
 
 
+def hourly_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of the hourly panel over 24 hours."""
+    return target_pairs(_narrow(hourly_panel(spark, folder), ("temp",)), HOURLY, HOURLY_HORIZONS)
+
+
+def daily_pairs(spark: SparkSession, folder: str, horizons: tuple[int, ...] = DAILY_HORIZONS) -> DataFrame:
+    """Pairs of the daily panel."""
+    return target_pairs(_narrow(daily_panel(spark, folder), ("temp",)), DAILY, horizons)
+
+
 def pairs_sql(horizons: tuple[int, ...]) -> str:
     """SQL twin of ``target_pairs`` over ``splits``."""
     return f"""pairs AS (

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomcast.operators import correlate, filters, metrics, quantiles
-from loomcast.operators.chunks import DAILY
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL,
-    daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs,
+    daily_pairs, daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql,
 )
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import TRIALS_SQL, naive_trials
@@ -130,7 +129,7 @@ def variance_inflation(spark, folder):
 
 
 def _daily_metrics(spark, folder):
-    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS)
+    pairs = daily_pairs(spark, folder)
     return metrics.forecast_metrics(pairs.where("split = 'test'"))
 
 

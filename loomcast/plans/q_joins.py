@@ -14,7 +14,7 @@ from loomcast.operators.windows import add_lags, add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL,
-    daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs,
+    daily_pairs, daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql,
 )
 from loomcast.plans.q_scores import RANK_SCORES, SCORES_SQL, TRIALS_SQL, feature_scores, naive_trials
 from loomcast.session import settled
@@ -47,7 +47,7 @@ SELECT p.series_id, p.ts, p.horizon, {r('p.yhat')} AS yhat, {r('m.rmse')} AS rms
 FROM pairs p LEFT JOIN metrics m USING (horizon) WHERE p.split = 'test'""",
 )
 def predictions_with_metrics(spark, folder):
-    pairs = settled(target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS).where("split = 'test'"), "pairs")
+    pairs = settled(daily_pairs(spark, folder).where("split = 'test'"), "pairs")
     # One row per horizon on the right: small by construction.
     joined = pairs.join(F.broadcast(forecast_metrics(pairs).select("horizon", "rmse", "r2")), "horizon", "left")
     return joined.select("series_id", "ts", "horizon", rounded("yhat"), rounded("rmse"), rounded("r2"))
@@ -56,19 +56,17 @@ def predictions_with_metrics(spark, folder):
 @query(
     "jn04_tuned_configuration",
     f"""{TRIALS_SQL}, best AS (
-  SELECT horizon, model, params FROM trials WHERE horizon <= 12
-  QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY rmse, model, params) = 1),
+  SELECT horizon, model, params FROM trials QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY rmse, model, params) = 1),
 stage AS (SELECT model, params FROM trials WHERE horizon = 12 QUALIFY row_number() OVER (ORDER BY rmse, model, params) = 1)
 SELECT g.horizon, coalesce(b.model, s.model) AS model, coalesce(b.params, s.params) AS params,
   CASE WHEN b.model IS NOT NULL THEN 'horizon' ELSE 'first stage' END AS source
-FROM (SELECT DISTINCT horizon FROM trials) g LEFT JOIN best b USING (horizon) CROSS JOIN stage s""",
+FROM (SELECT unnest(range(1, 31))::INT AS horizon) g LEFT JOIN best b USING (horizon) CROSS JOIN stage s""",
 )
 def tuned_configuration(spark, folder):
-    """Horizons above 12 have no result of their own and take the one of the middle horizon."""
+    """Thirty horizons are asked for; the trials end at 24, and those beyond take the middle one's."""
     trials = settled(naive_trials(spark, folder), "trials")
-    own = winners(trials.where("horizon <= 12"))
-    first = winners(trials.where("horizon = 12"))
-    return registry.resolve_configs(trials.select("horizon").distinct(), own, first, "Persistence")
+    horizons = spark.range(1, 31).select(F.col("id").cast("int").alias("horizon"))
+    return registry.resolve_configs(horizons, winners(trials), winners(trials.where("horizon = 12")), "Persistence")
 
 
 @query(

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.temporal import horizon_number
 from loomcast.operators import ranking, topk
-from loomcast.operators.chunks import DAILY
 from loomcast.plans.catalog import query, r, rounded
-from loomcast.plans.panels import DAILY_SQL, HOURLY_SQL, METRICS_SQL, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs
+from loomcast.plans.panels import (
+    DAILY_SQL, HOURLY_SQL, METRICS_SQL,
+    daily_pairs, daily_splits, hourly_panel, pairs_sql, placed_sql,
+)
 from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import SCORES_SQL, feature_scores
 from loomcast.operators.metrics import forecast_metrics
@@ -70,7 +72,7 @@ def numeric_horizon_order(spark, folder):
     """Text labels placed by their number: t+10h follows t+9h."""
     from pyspark.sql import Window
 
-    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, tuple(range(1, 13))).where("split = 'test'")
+    pairs = daily_pairs(spark, folder, tuple(range(1, 13))).where("split = 'test'")
     labelled = forecast_metrics(pairs).select(F.concat(F.lit("t+"), "horizon", F.lit("h")).alias("target"), rounded("rmse"))
     # A handful of rows, one per horizon.
     return labelled.withColumn("place", F.row_number().over(Window.orderBy(horizon_number(F.col("target")))))

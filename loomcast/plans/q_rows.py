@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from loomcast.functions import text
 from loomcast.functions.numeric import finite_frame
 from loomcast.operators import filters, split
-from loomcast.operators.chunks import HOURLY
+from loomcast.operators.chunks import HOURLY, over_chunks
 from loomcast.operators.dedup import merge_history_and_forecast
-from loomcast.operators.windows import add_lags, add_targets
+from loomcast.operators.windows import add_lags, lag_columns
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import DAILY_SQL, HOURLY_SQL, daily_panel, daily_splits, hourly_panel, placed_sql
 from loomcast.plans.serving import LEAST_HOURS
@@ -116,8 +116,10 @@ def canonical_record(spark, folder):
 SELECT series_id, ts, {r('temp_lag24h')} AS temp_lag24h, {r('y')} AS y FROM f WHERE temp_lag24h IS NOT NULL AND y IS NOT NULL""",
 )
 def drop_incomplete(spark, folder):
-    lagged = add_lags(hourly_panel(spark, folder).select("series_id", "ts", "temp"), HOURLY, {"temp": (24,)}, "h")
-    both = add_targets(lagged, HOURLY, "temp", (24,), "h").withColumnRenamed("target_temp_t+24h", "y")
+    def build(w):
+        return [*lag_columns(w, {"temp": (24,)}, "h"), F.lead("temp", 24).over(w).alias("y")]
+
+    both = over_chunks(hourly_panel(spark, folder).select("series_id", "ts", "temp"), HOURLY, build, back=24, ahead=24)
     return both.dropna(subset=["temp_lag24h", "y"]).select("series_id", "ts", rounded("temp_lag24h"), rounded("y"))
 
 
@@ -150,7 +152,7 @@ def drop_empty_columns(spark, folder):
     "fl04_as_of",
     f"""WITH {HOURLY_SQL}, cut AS (SELECT * FROM h WHERE ts <= TIMESTAMP '2024-01-20 12:00:00')
 SELECT series_id, ts, {r('temp')} AS temp FROM cut
-WHERE series_id IN (SELECT series_id FROM cut GROUP BY 1 HAVING count(*) >= 168)""",
+WHERE series_id IN (SELECT series_id FROM cut GROUP BY 1 HAVING count(*) >= {LEAST_HOURS})""",
 )
 def as_of(spark, folder):
     panel = hourly_panel(spark, folder, before="2024-01-20 13:00:00").select("series_id", "ts", "temp")

@@ -12,7 +12,7 @@ from loomcast.operators.windows import add_targets
 from loomcast.plans.catalog import query, r, rnd, rounded
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_SQL, METRICS_SQL,
-    daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql, target_pairs,
+    daily_pairs, daily_panel, daily_splits, hourly_panel, pairs_sql, placed_sql,
 )
 from loomcast.operators.metrics import forecast_metrics
 from loomcast.plans.q_joins import STATE_SQL
@@ -167,7 +167,7 @@ SELECT series_id, ts, horizon, round_even(yhat - 1.96 * rmse, 1) + 0.0 AS lower,
   round_even(yhat + 2.576 * rmse, 1) + 0.0 AS upper_99 FROM pairs JOIN metrics USING (horizon) WHERE split = 'test'""",
 )
 def confidence_interval(spark, folder):
-    pairs = settled(target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS).where("split = 'test'"), "pairs")
+    pairs = settled(daily_pairs(spark, folder).where("split = 'test'"), "pairs")
     rows = pairs.join(F.broadcast(forecast_metrics(pairs).select("horizon", "rmse")), "horizon")
     lower, upper = numeric.confidence_interval(F.col("yhat"), F.col("rmse"))
     _, wide = numeric.confidence_interval(F.col("yhat"), F.col("rmse"), 0.99)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomcast.operators.chunks import DAILY, HOURLY
+from loomcast.operators.chunks import DAILY
 from loomcast.operators.metrics import forecast_metrics
-from loomcast.operators.windows import add_targets
+from loomcast.operators.split import split_targets
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
-    daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
+    daily_pairs, daily_panel, hourly_pairs, hourly_panel, pairs_sql, placed_sql,
 )
 from loomcast.plans.q_scores import RANKING_SQL, TRIALS_SQL, naive_trials, panel_ranking
 from loomcast.session import scratch_path
@@ -77,13 +77,13 @@ def split_horizon_scan(spark, folder):
 
 
 def _long_targets(spark, folder):
-    wide = add_targets(daily_splits(spark, folder, "temp", "precip"), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
+    wide = split_targets(daily_panel(spark, folder).select("series_id", "ts", "temp", "precip"), DAILY, "temp", DAILY_HORIZONS)
     pairs = [F.struct(F.lit(h).alias("horizon"), F.col(f"`target_temp_t+{h}`").alias("y")) for h in DAILY_HORIZONS]
     return wide.select("series_id", "ts", "split", "precip", F.inline(F.array(*pairs))).where("y IS NOT NULL")
 
 
 def _hourly_metrics(spark, folder):
-    pairs = target_pairs(hourly_splits(spark, folder, "temp"), HOURLY, HOURLY_HORIZONS)
+    pairs = hourly_pairs(spark, folder)
     return forecast_metrics(pairs.where("split = 'test'"))
 
 
@@ -108,7 +108,7 @@ def nested_json_scan(spark, folder):
 )
 def metrics_csv_scan(spark, folder):
     path = scratch_path(spark, "metrics-csv")
-    pairs = target_pairs(daily_splits(spark, folder, "temp"), DAILY, DAILY_HORIZONS)
+    pairs = daily_pairs(spark, folder)
     writers.write_metrics_csv(forecast_metrics(pairs.where("split = 'test'")), path)
     rows = readers.read_metrics_csv(spark, path)
     return rows.select("target", *[rnd(c, 6).alias(c.lower()) for c in ("MAE", "RMSE", "MAPE", "R2")], "n_samples")

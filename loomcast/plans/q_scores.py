@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.operators.chunks import DAILY, HOURLY, over_chunks
+from loomcast.operators.chunks import DAILY, HOURLY
 from loomcast.operators.correlate import correlation_with, mutual_information
-from loomcast.operators.metrics import forecast_metrics
+from loomcast.operators.metrics import Pairing, paired_metrics
 from loomcast.operators.ranking import add_mean_rank, align_scores, top_features
-from loomcast.operators.windows import add_targets, bounded_targets, later_rows, trailing
-from loomcast.plans.panels import DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, daily_splits, hourly_splits, placed_sql
+from loomcast.operators.split import split_targets
+from loomcast.operators.windows import target_name, trailing
+from loomcast.plans.panels import DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, daily_panel, hourly_panel, placed_sql
 from loomcast.session import settled
 
 # Naive forecasts that serve as trials: (model, parameter text, column).
@@ -23,26 +24,50 @@ NAIVE = (
 )
 
 
-def naive_trials(spark: SparkSession, folder: str, splits: DataFrame | None = None) -> DataFrame:
-    """Trial log ``(horizon, trial, model, params, rmse, mae)`` scored on the dev rows."""
-    rows = hourly_splits(spark, folder, "temp") if splits is None else splits
-    horizons = HOURLY_HORIZONS
+def _label(horizon: int) -> str:
+    return f"`{target_name('temp', horizon)}`"
+
+
+def naive_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly rows with their split, naive forecasts and labels that stay inside the split."""
 
     def build(w):
         lags = [F.lag("temp", 1).over(w).alias("l1"), F.lag("temp", 23).over(w).alias("l23")]
-        means = [trailing(w, "temp", "mean", n).alias(f"m{n}") for n in (6, 24)]
-        return lags + means + later_rows(w, "temp", horizons)
+        return lags + [trailing(w, "temp", "mean", n).alias(f"m{n}") for n in (6, 24)]
+
+    panel = hourly_panel(spark, folder).select("series_id", "ts", "temp")
+    return split_targets(panel, HOURLY, "temp", HOURLY_HORIZONS, build=build, back=24)
+
 
-    windowed = over_chunks(rows, HOURLY, build, back=24, ahead=24).where("split = 'dev'")
-    wide = bounded_targets(windowed, "temp", horizons)
-    candidates = [
-        F.struct(F.lit(i).alias("trial"), F.lit(m).alias("model"), F.lit(p).alias("params"), F.col(c).alias("yhat"))
+def trial_pairings(**labels: str) -> list[Pairing]:
+    """Every horizon with every naive forecast, on the dev rows."""
+    of_dev = lambda c: F.when(F.col("split") == "dev", F.col(c))
+    return [
+        Pairing({**labels, "horizon": h, "trial": i, "model": m, "params": p}, of_dev(_label(h)), of_dev(c))
+        for h in HOURLY_HORIZONS
         for i, (m, p, c) in enumerate(NAIVE)
     ]
-    labels = [F.struct(F.lit(h).alias("horizon"), F.col(f"`target_temp_t+{h}`").alias("y")) for h in horizons]
-    long = wide.select(F.array(*candidates).alias("cs"), F.inline(F.array(*labels))).select("horizon", "y", F.inline("cs"))
-    scored = forecast_metrics(long, ("horizon", "trial", "model", "params"))
-    return scored.select("horizon", "trial", "model", "params", "rmse", "mae")
+
+
+def naive_trials(spark: SparkSession, folder: str) -> DataFrame:
+    """Trial log ``(horizon, trial, model, params, rmse, mae)`` scored on the dev rows."""
+    rows = naive_rows(spark, folder).where("split = 'dev'")
+    return paired_metrics(rows, trial_pairings(), ("rmse", "mae")).where("rmse IS NOT NULL")
+
+
+def naive_summary(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Trials, labelled rows to train on and test errors of persistence, from one pass over the rows."""
+    nothing = {"trial": -1, "model": "", "params": ""}
+    counted, tested = [], []
+    for h in HOURLY_HORIZONS:
+        fitted = F.when(F.col("split").isin("train", "dev"), F.col(_label(h)))
+        counted.append(Pairing({"part": "training", "horizon": h, **nothing}, fitted, fitted))
+        scored = F.when(F.col("split") == "test", F.col(_label(h)))
+        tested.append(Pairing({"part": "test", "horizon": h, **nothing}, scored, F.col("temp")))
+    all_ = paired_metrics(naive_rows(spark, folder), [*trial_pairings(part="trial"), *counted, *tested])
+    # One row per pairing, read three times.
+    all_ = settled(all_, "naive-summary")
+    return tuple(all_.where(F.col("part") == p) for p in ("trial", "training", "test"))
 
 
 TRIALS_SQL = f"""WITH {HOURLY_SQL}, {placed_sql('h')}, cand AS (
@@ -72,7 +97,7 @@ RANK_SCORES = ("correlation", "mutual_info", "long_correlation")
 def feature_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Three scores of daily columns on training rows; the last one leaves two features out."""
 
-    wide = add_targets(daily_splits(spark, folder, "temp", *SCORED_FEATURES), DAILY, "temp", (1, 5), bounded_by="split").where("split = 'train'")
+    wide = split_targets(daily_panel(spark, folder).select("series_id", "ts", "temp", *SCORED_FEATURES), DAILY, "temp", (1, 5)).where("split = 'train'")
     labels = [F.col(f"`target_temp_t+{h}`").alias(f"y{h}") for h in (1, 5)]
     # Every score reads these rows again.
     train = settled(wide.select(*SCORED_FEATURES, *labels), "scored-rows")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.text import HOURLY_RECORD_KEYS
 from loomcast.functions.temporal import forecast_time, horizon_label
-from loomcast.operators.chunks import DAILY, HOURLY
+from loomcast.operators.chunks import DAILY
 from loomcast.operators.dedup import last_rows
 from loomcast.operators.filters import series_with_history
 from loomcast.operators.metrics import forecast_metrics
@@ -14,7 +14,7 @@ from loomcast.plans import serving
 from loomcast.plans.catalog import query
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, METRICS_SQL,
-    daily_splits, hourly_panel, hourly_splits, pairs_sql, placed_sql, target_pairs,
+    daily_splits, hourly_pairs, hourly_panel, pairs_sql, placed_sql, target_pairs,
 )
 from loomcast.session import settled
 
@@ -36,7 +36,7 @@ n AS (SELECT series_id, max(ts) AS ts, max_by(temp, ts) AS temp, any_value(serie
 SELECT series_id, horizon, 't+' || horizon AS target, strftime(ts + to_days(horizon), '%Y-%m-%dT%H:%M:%S') AS forecast_ts,
   round_even(temp, 1) + 0.0 AS temperature, round_even(round_even(temp, 1) - 1.96 * rmse, 1) + 0.0 AS lower,
   round_even(round_even(temp, 1) + 1.96 * rmse, 1) + 0.0 AS upper, round_even(rmse, 2) + 0.0 AS test_rmse, 5 AS total_predictions
-FROM n, metrics WHERE series_rows >= 84""",
+FROM n, metrics WHERE series_rows >= {serving.LEAST_DAYS}""",
 )
 def daily_forecast(spark, folder):
     """Persistence forecast of each series as the nested response, unpacked again."""
@@ -65,11 +65,11 @@ SELECT series_id, horizon, 't+' || horizon || 'h' AS target, strftime(ts + to_ho
   round_even(temp, 1) + 0.0 AS temperature, round_even(round_even(temp, 1) - 1.96 * rmse, 1) + 0.0 AS lower,
   round_even(round_even(temp, 1) + 1.96 * rmse, 1) + 0.0 AS upper, round_even(rmse, 2) + 0.0 AS test_rmse, 24 AS total_predictions,
   strftime(ts, '%Y-%m-%dT%H:%M:%S') AS latest_data
-FROM n, metrics WHERE have >= 168""",
+FROM n, metrics WHERE have >= {serving.LEAST_HOURS}""",
 )
 def hourly_forecast(spark, folder):
     """The next 24 hours of each series as known at a reference time, with intervals."""
-    metrics = forecast_metrics(target_pairs(hourly_splits(spark, folder, "temp"), HOURLY, HOURLY_HORIZONS).where("split = 'test'"))
+    metrics = forecast_metrics(hourly_pairs(spark, folder).where("split = 'test'"))
     known = hourly_panel(spark, folder, before="2024-01-20 13:00:00").select("series_id", "ts", "temp")
     response = serving.forecast_as_of(known, metrics, ["series_id"], REFERENCE, HOURLY_HORIZONS, "HOUR", serving.LEAST_HOURS)
     rows = response.select(

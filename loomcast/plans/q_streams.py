@@ -13,6 +13,7 @@ from loomcast.sources import schemas
 from loomcast.sources.readers import table
 from loomcast.spec import hourly_spec
 from loomcast.streaming import jobs
+from loomcast.streaming.store import refresh_features as refreshed
 
 
 def _event_stream(spark, folder):
@@ -36,6 +37,93 @@ def batch_ingest(spark, folder):
     return jobs.ingest_batch(events.unionAll(events), stored, ["event_type", "ts"], ["event_id"])
 
 
+# Arrival of rows in three files: by time, but one hour of the first days comes with the second
+# file, and one hour of every day comes again with the next file.
+PARTS = ("2024-01-11", "2024-01-21")
+DELAY = "2 days"
+
+
+def _arrivals(spark, folder):
+    """The rows of each file in the order of arrival."""
+    events = table(spark, folder, "events").select("event_type", "ts", "event_id", "value")
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    part = F.when(F.col("ts") < day(PARTS[0]), 0).when(F.col("ts") < day(PARTS[1]), 1).otherwise(2)
+    late = (part == 0) & (F.hour("ts") == 5)
+    again = F.when((F.hour("ts") == 7) & (part < 2), part + 1)
+    numbers = F.array_compact(F.array(F.when(late, 1).otherwise(part), again))
+    placed = events.select("*", F.explode(numbers).alias("arrival"))
+    return [placed.where(F.col("arrival") == n).drop("arrival") for n in range(3)]
+
+
+ARRIVALS_SQL = f"""p AS (SELECT event_type, ts, event_id, value,
+  CASE WHEN ts < TIMESTAMP '{PARTS[0]}' THEN 0 WHEN ts < TIMESTAMP '{PARTS[1]}' THEN 1 ELSE 2 END AS part FROM events),
+a AS (SELECT * EXCLUDE (part), CASE WHEN part = 0 AND hour(ts) = 5 THEN 1 ELSE part END AS arrival FROM p
+  UNION ALL SELECT * EXCLUDE (part), part + 1 FROM p WHERE hour(ts) = 7 AND part < 2),
+marks AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {DELAY} AS mark
+  FROM a GROUP BY arrival)"""
+
+
+def _in_turn(spark, folder, base, *runs):
+    """Put one file after the other and let every stream take it; state lives in the checkpoints."""
+    for rows in _arrivals(spark, folder):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = jobs.file_stream(spark, f"{base}/in", rows.schema)
+        for run in runs:
+            run(stream)
+
+
+@query(
+    "in01_stream_late_rows",
+    f"""WITH {ARRIVALS_SQL}, s AS (SELECT a.*, coalesce(ts <= mark, false) AS late FROM a JOIN marks USING (arrival)),
+k AS (SELECT event_type, ts, min(event_id) AS event_id, count(*) AS copies FROM s WHERE NOT late GROUP BY ALL)
+SELECT 'kept' AS part, event_type, ts, event_id FROM k
+UNION ALL SELECT 'repeated', event_type, ts, event_id FROM k WHERE copies > 1
+UNION ALL SELECT 'late', event_type, ts, event_id FROM s WHERE late""",
+)
+def stream_late_rows(spark, folder):
+    """Three files, taken in one after the other: rows kept, rows that came again, rows too late."""
+    base = scratch_path(spark, "late-rows")
+
+    def ingest(stream):
+        rows = stream.select("event_type", "ts", "event_id")
+        jobs.ingest_stream(rows, ["event_type"], "ts", ["event_id"], DELAY, f"{base}/kept", f"{base}/kept-checkpoint")
+        jobs.late_stream(rows, "ts", DELAY, f"{base}/beyond", f"{base}/late-checkpoint")
+
+    _in_turn(spark, folder, base, ingest)
+    kept = jobs.ingested(spark, f"{base}/kept", ["event_type"], "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    of = lambda part, rows: rows.select(F.lit(part).alias("part"), "event_type", "ts", "event_id")
+    late = jobs.late_rows(spark, f"{base}/beyond")
+    return of("kept", kept).unionByName(of("repeated", kept.where("copies > 1"))).unionByName(of("late", late))
+
+
+@query(
+    "in02_late_rollup",
+    f"""WITH {ARRIVALS_SQL}, s AS (SELECT a.*, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= mark, false) AS late FROM a JOIN marks USING (arrival)),
+final AS (SELECT max(ts) - INTERVAL {DELAY} AS mark FROM a)
+SELECT 'window' AS part, event_type, date_trunc('day', ts) AS ts, count(*) AS n, {r('avg(value)')} AS temp FROM s, final
+WHERE NOT late AND date_trunc('day', ts) + INTERVAL 1 DAY <= final.mark GROUP BY ALL
+UNION ALL SELECT 'late', event_type, date_trunc('day', ts), count(*), {r('avg(value)')} FROM s WHERE late GROUP BY ALL""",
+)
+def late_rollup(spark, folder):
+    """Closed days over three files; rows of a day that was closed before are counted apart."""
+    base = scratch_path(spark, "late-rollup")
+    measures = [F.count(F.lit(1)).alias("n"), F.avg("value").alias("temp")]
+
+    def roll(stream):
+        days = jobs.rollup(stream, ["event_type"], "ts", "1 day", DELAY, measures)
+        jobs.run_available(days, f"{base}/days", f"{base}/days-checkpoint")
+        end = lambda ts: F.date_trunc("day", ts).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+        jobs.late_stream(stream, "ts", DELAY, f"{base}/beyond", f"{base}/late-checkpoint", end)
+
+    _in_turn(spark, folder, base, roll)
+    days = spark.read.parquet(f"{base}/days").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    late = jobs.late_rows(spark, f"{base}/beyond").withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    columns = ("event_type", "ts", "n", rounded("temp"))
+    return days.select(F.lit("window").alias("part"), *columns).unionByName(
+        late.groupBy("event_type", "ts").agg(*measures).select(F.lit("late").alias("part"), *columns)
+    )
+
+
 @query(
     "in02_live_rollup",
     f"""WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
@@ -79,6 +167,34 @@ def latency_quantiles(spark, folder):
     return out.select(start, "event_type", "n", rounded("p50"), rounded("p95"))
 
 
+LATENCY_ACCURACY = 100
+
+
+@query(
+    "in04_stream_latency",
+    """WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
+SELECT date_trunc('day', ts) AS window_start, event_type, count(value) AS n, true AS p50_within, true AS p95_within
+FROM events, m WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark GROUP BY 1, 2""",
+)
+def stream_latency(spark, folder):
+    """Sketched quantiles of closed days, and whether their exact ranks are as near as stated."""
+    base = scratch_path(spark, "latency")
+    stream = jobs.latency_stream(_event_stream(spark, folder), "1 hour", accuracy=LATENCY_ACCURACY)
+    jobs.run_available(stream, f"{base}/table", f"{base}/checkpoint")
+    found = spark.read.parquet(f"{base}/table").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    events = table(spark, folder, "events").select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type", "value")
+    ranks = []
+    for name in ("p50", "p95"):
+        ranks += [F.count_if(F.col("value") < F.col(name)).alias(f"{name}_under"), F.count_if(F.col("value") <= F.col(name)).alias(f"{name}_upto")]
+    counted = events.join(found, ["window_start", "event_type"]).groupBy("window_start", "event_type", "n").agg(*ranks)
+    checks = []
+    for name, p in (("p50", 0.5), ("p95", 0.95)):
+        slack = F.col("n") / LATENCY_ACCURACY + 1
+        wanted = F.col("n") * p
+        checks.append(((F.col(f"{name}_under") <= wanted + slack) & (F.col(f"{name}_upto") >= wanted - slack)).alias(f"{name}_within"))
+    return counted.select("window_start", "event_type", "n", *checks)
+
+
 @query(
     "in05_refresh_features",
     f"""WITH {HOURLY_SQL}, f AS (SELECT series_id, ts, {r('lag(temp, 24) OVER (PARTITION BY series_id ORDER BY ts)')} AS temp_lag24h,
@@ -89,7 +205,7 @@ def refresh_features(spark, folder):
     """Features of the last days from those days and the 24 rows before them."""
     panel = hourly_panel(spark, folder)
     cut = F.lit("2024-01-25").cast("timestamp_ntz")
-    out = jobs.refresh_features(panel.where(F.col("ts") < cut), panel.where(F.col("ts") >= cut), hourly_spec(HOURLY))
+    out = refreshed(panel.where(F.col("ts") < cut), panel.where(F.col("ts") >= cut), hourly_spec(HOURLY))
     return out.select("series_id", "ts", rounded("temp_lag24h"), rounded("precip_roll_mean_24h"))
 
 
@@ -108,5 +224,5 @@ def late_rows(spark, folder):
     """Features after rows that lie between stored ones: later stored rows are computed anew."""
     panel = hourly_panel(spark, folder)
     late = F.expr(LATE)
-    out = jobs.refresh_features(panel.where(~late), panel.where(late), hourly_spec(HOURLY))
+    out = refreshed(panel.where(~late), panel.where(late), hourly_spec(HOURLY))
     return out.select("series_id", "ts", rounded("temp_lag24h"), rounded("precip_roll_mean_24h"))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomcast.functions.temporal import direction_vector
+from loomcast.functions.temporal import DAILY_SEASONS, direction_vector
 from loomcast.learning.state import one_hot, train_categories
 from loomcast.operators import dedup, split
 from loomcast.operators.chunks import DAILY, HOURLY, over_chunks
 from loomcast.operators.decompose import decompose
 from loomcast.operators.grid import densify
 from loomcast.operators.ranking import add_mean_rank
-from loomcast.operators.windows import add_lags, add_targets, add_trailing
+from loomcast.operators.windows import add_lags, add_trailing
 from loomcast.plans.catalog import query, r, rnd, rounded, rr
 from loomcast.plans.panels import (
     DAILY_HORIZONS, DAILY_SQL, HOURLY_HORIZONS, HOURLY_SQL, SINGLE, SINGLE_SQL,
@@ -21,7 +21,7 @@ from loomcast.plans.q_rows import FORECAST_SQL, history_and_forecast
 from loomcast.plans.q_scores import RANK_SCORES, RANKING_SQL, feature_scores, panel_ranking
 from loomcast.session import settled
 from loomcast.sources.readers import table
-from loomcast.spec import DAILY_LAGS, HOURLY_LAGS, build_features, feature_columns, hourly_spec
+from loomcast.spec import DAILY_LAGS, DAILY_ROLLS, HOURLY_LAGS, build_features, daily_spec, feature_columns, hourly_spec
 
 SERIES = "PARTITION BY series_id ORDER BY ts"
 
@@ -138,7 +138,7 @@ def lead_targets(spark, folder):
     + " FROM splits",
 )
 def bounded_targets(spark, folder):
-    out = add_targets(daily_splits(spark, folder, "temp"), DAILY, "temp", DAILY_HORIZONS, bounded_by="split")
+    out = split.split_targets(daily_panel(spark, folder).select("series_id", "ts", "temp"), DAILY, "temp", DAILY_HORIZONS)
     return out.select("series_id", "ts", "split", *[rnd(f"`target_temp_t+{h}`", 6).alias(f"target_{h}") for h in DAILY_HORIZONS])
 
 
@@ -255,6 +255,43 @@ def hourly_feature_sql() -> str:
     return ", ".join(parts)
 
 
+def daily_feature_sql() -> str:
+    """The daily feature table, from a panel ``w`` that has the wind vector and the day length."""
+    pi = "2 * pi()"
+    seasons = [f"(month(ts) IN ({', '.join(map(str, months))}))::INT AS is_{name}" for name, months in DAILY_SEASONS.items()]
+    rolls = [
+        trailing_sql(c, {"mean": "avg", "std": "stddev_samp"}[statistic], n, f"{c}_roll_{statistic}_{n}", 4)
+        for columns, statistic, sizes in DAILY_ROLLS for c in columns for n in sizes
+    ]
+    return ", ".join([
+        "year(ts)::INT AS year", "(isodow(ts) IN (6, 7))::INT AS is_weekend",
+        *[f"{r(f'{f}({pi} * {part}(ts) / {period})')} AS {name}_{f}" for name, part, period in
+          (("month", "month", 12), ("day", "dayofyear", 365), ("week", "week", 52)) for f in ("sin", "cos")],
+        *seasons, lag_sql(DAILY_LAGS), *rolls,
+        f"{r('windspeed * windspeed', 4)} AS windspeed_sq", f"{r('sealevelpressure * humidity', 4)} AS pressure_humidity",
+        f"{r('day_length_h * uvindex', 4)} AS daylength_uv", rr("temp day_length_h", 4), "uvindex", "winddir", "icon",
+    ])
+
+
+@query(
+    "ud03_daily_features",
+    f"""WITH {DAILY_SQL}, w AS (SELECT *, sin(radians(winddir)) AS winddir_sin, cos(radians(winddir)) AS winddir_cos,
+  12 + (precip % 60 - winddir % 60) / 60 AS day_length_h FROM d) SELECT series_id, ts, {daily_feature_sql()} FROM w""",
+)
+def daily_features(spark, folder):
+    """The whole daily feature table: 27 lags, 60 rolls, wind vector, day length from clock texts."""
+    spec = daily_spec(DAILY)
+    clock = lambda hour, minute: F.concat(F.lit(f"{hour}:"), F.lpad((F.col(minute) % 60).cast("int").cast("string"), 2, "0"))
+    panel = daily_panel(spark, folder).withColumns({"sunrise": clock("06", "winddir"), "sunset": clock("18", "precip")})
+    out = build_features(panel, spec)
+    whole = {"year", "is_weekend", "uvindex", "winddir", *[f"is_{s}" for s in DAILY_SEASONS]}
+    names = ["temp", *[c for c in feature_columns(out, spec) if c != "temp"]]
+    return out.select(
+        "series_id", "ts", "icon",
+        *[F.col(c) if c in whole else rnd(c, 6 if c in ENCODED else 4).alias(c) for c in names],
+    )
+
+
 ENCODED = ("month_sin", "month_cos", "day_sin", "day_cos", "week_sin", "week_cos", "hour_sin", "hour_cos")
 
 

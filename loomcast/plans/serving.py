@@ -13,11 +13,13 @@ from loomcast.functions.text import canonical_record
 from loomcast.operators.filters import as_of, first_of_date
 from loomcast.operators.topk import clamp_rows, latest_rows
 from loomcast.sources.writers import export_envelope, export_records
+from loomcast.spec import daily_spec, hourly_spec
 
-# Error assumed for a horizon without metrics, and rows a forecast asks for.
+# Fixed value: error assumed for a horizon without metrics.
 FALLBACK_RMSE = 1.6
-LEAST_DAYS = 84
-LEAST_HOURS = 168
+# Rows a forecast asks for: those behind its first complete feature row.
+LEAST_DAYS = daily_spec().history_rows
+LEAST_HOURS = hourly_spec().history_rows
 
 
 def history(df: DataFrame, key: Sequence[str], ts: str, rows: int | None, cap: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions import numeric, temporal
 from loomcast.operators.chunks import DAILY, HOURLY, SeriesShape, over_chunks
-from loomcast.operators.windows import STATISTICS, lag_columns, trailing
+from loomcast.operators.windows import STATISTICS, lag_columns, lead_columns, target_name, trailing
 
 # Columns that leak the target or carry no information.
 LEAKAGE_COLUMNS = (
@@ -113,7 +113,7 @@ class FeatureSpec:
         return out
 
     def target_names(self) -> list[str]:
-        return [f"target_{self.target}_t+{h}{self.unit}" for h in self.horizons]
+        return [target_name(self.target, h, self.unit) for h in self.horizons]
 
 
 def daily_spec(shape: SeriesShape = DAILY, **changes: object) -> FeatureSpec:
@@ -144,8 +144,11 @@ def hourly_spec(shape: SeriesShape = HOURLY, **changes: object) -> FeatureSpec:
     return FeatureSpec(**{**values, **changes})
 
 
-def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Observations to features: one window pass and one projection, bases dropped last."""
+def build_features(df: DataFrame, spec: FeatureSpec, targets: bool = False) -> DataFrame:
+    """Observations to features: one window pass and one projection, bases dropped last.
+
+    With ``targets`` the same pass adds positions and lead targets, which may cross splits.
+    """
     prepared = df.drop(*spec.leakage)
     if {"sunrise", "sunset"} <= set(prepared.columns):
         length = temporal.day_length_hours(F.col("sunrise"), F.col("sunset"))
@@ -154,7 +157,13 @@ def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
         sine, cosine = temporal.direction_vector(F.col("winddir"))
         prepared = prepared.withColumns({"winddir_sin": sine, "winddir_cos": cosine})
     columns = prepared.columns
-    windowed = over_chunks(prepared, spec.shape, lambda w: spec.window_columns(w, columns), back=spec.history_rows)
+
+    def build(window: WindowSpec) -> list[Column]:
+        leads = lead_columns(window, spec.target, spec.horizons, spec.unit) if targets else []
+        return spec.window_columns(window, columns) + leads
+
+    ahead = max(spec.horizons) if targets else 0
+    windowed = over_chunks(prepared, spec.shape, build, back=spec.history_rows, ahead=ahead, numbered=targets)
     featured = windowed.withColumns({**spec.calendar_columns(), **numeric.interactions(columns)})
     if spec.keep_bases:
         return featured

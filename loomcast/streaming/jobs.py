@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loomcast.operators.chunks import null_safe_join
 from loomcast.operators.dedup import keep_first, keep_last, only_new
 from loomcast.operators.quantiles import quantiles_wide
-from loomcast.operators.topk import latest_rows
-from loomcast.spec import FeatureSpec, build_features
+from loomcast.spec import FeatureSpec
+from loomcast.streaming.store import FeatureStore
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet", **options: str) -> DataFrame:
@@ -43,6 +42,66 @@ def deduplicated(stream: DataFrame, key: Sequence[str], ts: str, delay: str) ->
     return timed(stream, ts, delay).dropDuplicatesWithinWatermark([*key, ts])
 
 
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Hand what is there to ``handle`` batch by batch, then stop."""
+    query = (
+        stream.writeStream.foreachBatch(handle)
+        .outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def ingest_stream(stream: DataFrame, key: Sequence[str], ts: str, order: Sequence[str], delay: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Rows once per ``(key, ts)``, the first by ``order`` of all that came in time, with ``copies``.
+
+    The state of a key is kept until the watermark passes its time, so repeats are recognised
+    over batches and restarts; a row at or before the watermark is too late and changes nothing.
+    Every batch writes the keys it changed to a folder of its own: ``ingested`` takes the newest.
+    """
+    rest = [c for c in stream.columns if c not in (*key, ts)]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("r")
+    kept = timed(stream, ts, delay).groupBy(*key, ts).agg(first, F.count(F.lit(1)).alias("copies"))
+
+    def handle(batch: DataFrame, number: int) -> None:
+        batch.select(*key, ts, "r.*", "copies").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return run_batches(kept, handle, checkpoint, "update")
+
+
+def ingested(spark: SparkSession, path: str, key: Sequence[str], ts: str) -> DataFrame:
+    """The rows that ``ingest_stream`` keeps, with the number of times each came."""
+    return keep_last(spark.read.parquet(path), [*key, ts], ["batch"]).drop("batch")
+
+
+def late_stream(
+    stream: DataFrame, ts: str, delay: str, path: str, checkpoint: str, closing: Callable[[Column], Column] = lambda c: c
+) -> StreamingQuery:
+    """Rows that come when the watermark has reached ``closing(ts)``: what stateful queries drop.
+
+    The watermark of a batch is the newest time of the batches before, less the delay; it is
+    written with every batch, as are the late rows, so a repeated batch gives the same.
+    """
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        seen = None if number == 0 else spark.read.parquet(f"{path}/seen/batch={number - 1}").first()["newest"]
+        mark = F.lit(seen).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+        batch.where(closing(F.col(ts)) <= mark).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+        newest = F.greatest(F.max(ts), F.lit(seen).cast("timestamp_ntz")).alias("newest")
+        batch.agg(newest).write.mode("overwrite").parquet(f"{path}/seen/batch={number}")
+
+    return run_batches(stream, handle, checkpoint)
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that ``late_stream`` found, with the batch that brought them."""
+    return spark.read.parquet(f"{path}/late")
+
+
 def ingest_batch(incoming: DataFrame, stored: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Batch twin of the ingest: rows not stored yet, each key once."""
     return only_new(keep_first(incoming, key, order), stored, key)
@@ -71,6 +130,21 @@ def monitoring(events: DataFrame, length: str = "1 day") -> DataFrame:
     ).select(F.col("w.start").alias("window_start"), "event_type", "requests", "errors", "latency_mean", "latency_max")
 
 
+def latency_stream(
+    stream: DataFrame, delay: str, probabilities: Sequence[float] = (0.5, 0.95), accuracy: int = 10_000, length: str = "1 day"
+) -> DataFrame:
+    """Latency quantiles of closed windows per event type from a stream.
+
+    The state of a window and type is a mergeable sketch whose size depends on ``accuracy`` only.
+    The rank of a quantile is off by n / accuracy at most; ``latency_quantiles`` is the exact batch form.
+    """
+    sketch = F.percentile_approx("value", list(probabilities), accuracy).alias("q")
+    grouped = timed(stream, "ts", delay).groupBy(F.window("ts", length).alias("w"), "event_type")
+    found = grouped.agg(F.count("value").alias("n"), sketch)
+    named = [F.col("q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probabilities)]
+    return found.select(F.col("w.start").alias("window_start"), "event_type", "n", *named)
+
+
 def latency_quantiles(events: DataFrame, probabilities: Sequence[float] = (0.5, 0.95), length: str = "1 day") -> DataFrame:
     """Exact latency quantiles per window and event type, as one column ``p50``, ``p95`` each."""
     windowed = events.select(F.window("ts", length)["start"].alias("window_start"), "event_type", F.col("value").alias("latency"))
@@ -79,31 +153,11 @@ def latency_quantiles(events: DataFrame, probabilities: Sequence[float] = (0.5,
     return wide.select("window_start", "event_type", "n", *named)
 
 
-def halo_rows(stored: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Stored rows that features of later rows look back on: the newest ones per series."""
-    return latest_rows(stored, list(spec.shape.key), spec.shape.ts, spec.history_rows)
-
-
-def refresh_features(stored: DataFrame, fresh: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Features of every row from the earliest fresh one of its series on.
-
-    Fresh rows may lie between stored ones: stored rows after them are computed anew, on the
-    rows that the specification looks back on before the earliest fresh row. Equal to the full
-    computation for these rows; series without fresh rows are left out.
-    """
-    key, ts = list(spec.shape.key), spec.shape.ts
-    since = fresh.groupBy(*key).agg(F.min(ts).alias("__since"))
-    touched = null_safe_join(stored, since, key)
-    before = halo_rows(touched.where(F.col(ts) < F.col("__since")), spec)
-    after = touched.where(F.col(ts) >= F.col("__since"))
-    both = before.unionByName(after).unionByName(null_safe_join(fresh, since, key))
-    return build_features(both, spec).where(F.col(ts) >= F.col("__since")).drop("__since", "pos", "series_rows")
-
-
-def current_features(spark: SparkSession, path: str, spec: FeatureSpec) -> DataFrame:
+def current_features(spark: SparkSession, path: str, spec: FeatureSpec, schema: T.StructType) -> DataFrame:
     """Features that ``feature_stream`` wrote under ``path``: of each time the newest version."""
-    written = spark.read.parquet(f"{path}/features")
-    return keep_last(written, [*spec.shape.key, spec.shape.ts], ["batch"]).drop("batch")
+    store = FeatureStore(path, spec, schema)
+    index = store.newest(spark)
+    return store.features(spark, index, sorted(index))
 
 
 def feature_stream(
@@ -112,63 +166,23 @@ def feature_stream(
     path: str,
     checkpoint: str,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    **cut: object,
 ) -> StreamingQuery:
-    """Append new observations and their features batch by batch.
-
-    Under ``path`` each batch writes its own folder of ``observations``, ``features`` and
-    ``tail`` (the newest rows per series, all that later features look back on), so a batch
-    repeated after a failure replaces what it wrote. A batch reads the tail of the batch
-    before and, against repeats, only stored rows from its own earliest time on. Series with
-    rows that come late read their stored rows, and features of stored rows after a late one are
-    written anew: ``current_features`` takes the newest version.
+    """Take new observations into a ``FeatureStore`` batch by batch, with their features.
+
+    A batch reads and writes the buckets of its own series only. Features of stored rows after a
+    late one are written anew: ``current_features`` takes the newest version. ``cut`` sets
+    ``buckets``, ``period`` and ``versions`` of the store.
     """
-    schema = stream.schema
-    key = [*spec.shape.key, spec.shape.ts]
-    rest = [c for c in schema.names if c not in key]
+    store = FeatureStore(path, spec, stream.schema, **cut)
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
-            earliest = batch.agg(F.min(spec.shape.ts)).first()[0]
-            stored = _batches_before(spark, f"{path}/observations", schema, number)
-            near = stored.where(F.col(spec.shape.ts) >= F.lit(earliest))
-            fresh = only_new(keep_first(batch, key, rest), near, key)
-            fresh.write.mode("overwrite").parquet(f"{path}/observations/batch={number}")
-            added = spark.read.schema(schema).parquet(f"{path}/observations/batch={number}")
-            tail = _tail_before(spark, f"{path}/tail", schema, number)
-            near_enough = _with_late_series(tail, stored, added, spec)
-            refresh_features(near_enough, added, spec).write.mode("overwrite").parquet(f"{path}/features/batch={number}")
-            halo_rows(tail.unionByName(added), spec).write.mode("overwrite").parquet(f"{path}/tail/batch={number}")
+            added = store.absorb(batch, number)
             if on_batch:
                 on_batch(added, number)
         finally:
             batch.unpersist()
 
-    query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
-
-
-def _with_late_series(tail: DataFrame, stored: DataFrame, added: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """The tail, but all stored rows (of earlier batches) for series with rows not after the tail."""
-    key, ts = list(spec.shape.key), spec.shape.ts
-    newest = tail.groupBy(*key).agg(F.max(ts).alias("__newest"))
-    late = null_safe_join(added, newest, key).where(F.col(ts) <= F.col("__newest")).select(*key).distinct()
-    if late.isEmpty():
-        return tail
-    return null_safe_join(tail, late, key, "left_anti").unionByName(null_safe_join(stored, late, key, "left_semi"))
-
-
-def _batches_before(spark: SparkSession, path: str, schema: T.StructType, number: int) -> DataFrame:
-    """Observations of earlier batches; the first batch has none."""
-    if number == 0:
-        return spark.createDataFrame([], schema)
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(with_batch).parquet(path).where(F.col("batch") < number).drop("batch")
-
-
-def _tail_before(spark: SparkSession, path: str, schema: T.StructType, number: int) -> DataFrame:
-    if number == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/batch={number - 1}")
+    return run_batches(stream, handle, checkpoint)

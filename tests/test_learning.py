@@ -1,11 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from frames import hours
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from loomcast.learning import models, registry, selection, state
+from loomcast.learning import linear, models, registry, search, selection, state
 from loomcast.operators.chunks import DAILY
 from loomcast.operators.metrics import forecast_metrics
 from loomcast.plans.forecast_job import JobConfig, labelled_features, run_forecast_job
@@ -119,7 +121,7 @@ def test_own_features_per_horizon_and_no_lost_rows(spark):
 
 def test_draw_is_repeatable_and_inside_its_ranges():
     space = models.SEARCH_SPACE["GradientBoosting"]
-    a, b = (models.draw(space, random.Random(7)) for _ in range(2))
+    a, b = (search.draw(space, random.Random(7)) for _ in range(2))
     assert a == b and 0.02 <= a["stepSize"] <= 0.3 and isinstance(a["maxDepth"], int)
 
 
@@ -177,3 +179,152 @@ def test_forecast_job_end_to_end(spark):
     run_forecast_job(spark, observations(spark), job(), folder, skip=("features", "select", "preprocess", "tune", "train"))
     with pytest.raises(ValueError):
         run_forecast_job(spark, observations(spark), job(), folder, skip=("nothing",))
+
+
+def test_job_tunes_in_two_stages(spark):
+    """The middle horizon chooses the family; a horizon without trials takes the first stage's winner."""
+    folder = scratch_path(spark, "job")
+    space = {"Linear": {"regParam": ("log", 1e-4, 1e-2), "elasticNetParam": ("float", 0.0, 1.0)}, "RandomForest": {"numTrees": ("int", 2, 3), "maxDepth": ("int", 1, 2)}}
+    config = job(first_trials=3, trials=2, search_space=space)
+    paths = run_forecast_job(spark, observations(spark), config, folder, skip=("evaluate", "predict"))
+    first, trials = spark.read.parquet(paths["first_stage"]), spark.read.parquet(paths["trials"])
+    assert {r["horizon"] for r in first.collect()} == {2} and first.count() == 3
+    assert trials.groupBy("horizon").count().where("count = 2").count() == 3
+    family = models.best_configs(first)[2][0].family
+    assert {r["model"] for r in trials.collect()} == {family}
+    assert {r["model"] for r in spark.read.parquet(paths["metadata"]).collect()} == {family}
+    some = models.resolved_configs([1, 2, 3], first, trials.where("horizon = 1"), config.default_model)
+    assert some[1][1] is not None and some[3] == (models.best_configs(first)[2][0], None)
+    assert models.resolved_configs([1], None, None, config.default_model)[1][0] is config.default_model
+
+
+def test_five_thousand_categories_are_one_sparse_column(spark):
+    train = spark.range(5000).select(F.format_string("c%05d", "id").alias("icon")).unionByName(spark.createDataFrame([(None,)], "icon string"))
+    codes = state.category_codes(train, F.coalesce("icon", F.lit("none")))
+    got = codes.orderBy("category").collect()
+    assert [r["code"] for r in got] == list(range(5001)) and got[-1]["category"] == "none"
+    rows = spark.createDataFrame([(1, "c00000"), (2, "c04999"), (3, None), (4, "unknown")], "id int, icon string")
+    out = state.category_vector(rows, "icon", codes)
+    assert out.columns == ["id", "icon_categories"]
+    vectors = {r["id"]: r["icon_categories"] for r in out.collect()}
+    assert {i: list(v.indices) for i, v in vectors.items()} == {1: [0], 2: [4999], 3: [5000], 4: []}
+    assert {v.size for v in vectors.values()} == {5001}
+
+
+def test_moments_of_all_targets_from_one_pass(spark):
+    """Targets and features with gaps: every target uses its own complete rows."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(1000, 1, (300, 3))
+    y = np.column_stack([x @ [1.0, -2.0, 0.5] + rng.normal(0, 0.1, 300) + k for k in range(4)])
+    x[rng.random(300) < 0.1, 1] = np.nan
+    y[rng.random((300, 4)) < [0.0, 0.2, 0.2, 1.0]] = np.nan
+    gap = lambda v: None if np.isnan(v) else float(v)
+    rows = [(int(i % 3), *map(gap, x[i]), *map(gap, y[i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, c double, y0 double, y1 double, y2 double, y3 double").repartition(4)
+    found = linear.gather_moments(df, ["a", "b", "c"], ["y0", "y1", "y2", "y3"], "g")
+    assert "y3" not in found
+    for t in range(3):
+        for g in range(3):
+            use = (np.arange(300) % 3 == g) & ~np.isnan(x).any(axis=1) & ~np.isnan(y[:, t])
+            z = np.column_stack([x[use], y[use, t]])
+            m = found[f"y{t}"][g]
+            assert m.n == use.sum()
+            assert np.allclose(m.covariance(), np.cov(z.T, bias=True), atol=1e-9)
+            assert np.allclose(m.means + m.shift, z.mean(axis=0))
+
+
+@pytest.mark.parametrize("penalty,share", [(0.0, 0.0), (0.05, 0.0), (0.02, 1.0), (0.03, 0.4)])
+def test_linear_models_equal_those_of_spark(spark, penalty, share):
+    df = frame(spark).withColumn("flat", F.lit(3.0)).withColumn("y2", F.when(F.col("pos") % 9 != 0, F.col("x") - 2 * F.col("z")))
+    features = ["x", "z", "flat"]
+    fitted = linear.fit_horizons(df, features, {1: "y1", 2: "y2"}, {1: (penalty, share), 2: (penalty, share)})
+    for h, label in ((1, "y1"), (2, "y2")):
+        model, n = fitted[h]
+        rows = models.assemble(df.where(F.col(label).isNotNull()), features)
+        theirs = LinearRegression(featuresCol=models.FEATURES, labelCol=label, regParam=penalty, elasticNetParam=share, tol=1e-12, maxIter=500).fit(rows)
+        assert n == rows.count()
+        assert model.getOrDefault("weights") == pytest.approx(list(theirs.coefficients), abs=1e-5)
+        assert model.getOrDefault("intercept") == pytest.approx(theirs.intercept, abs=1e-5)
+
+
+def test_lasso_path_and_its_choice(spark):
+    """Against fits of Spark ML for given penalties, and against errors counted on the rows."""
+    df = selection.blocked_folds(frame(spark).where("split = 'train'").withColumn("noise", F.rand(seed=7)), 4)
+    features = ["x", "z", "noise"]
+    folds = linear.gather_moments(df, features, ["y1"], "fold")["y1"]
+    total = sum(list(folds.values())[1:], folds[0])
+    assert [m.n for m in folds.values()] == [70] * 4
+    path = linear.penalty_path(total)
+    assert len(path) == 100 and path[-1] == pytest.approx(path[0] / 1000)
+    weights = linear.lasso_path(total, path)
+    assert np.allclose(weights[0], 0) and all(np.count_nonzero(w) <= 3 for w in weights)
+    rows = models.assemble(df, features)
+    for k in (10, 40, 80):
+        theirs = LinearRegression(featuresCol=models.FEATURES, labelCol="y1", regParam=float(path[k]), elasticNetParam=1.0, standardization=False, tol=1e-12, maxIter=1000).fit(rows)
+        assert np.allclose(weights[k], theirs.coefficients.toArray(), atol=2e-4)
+    chosen = linear.cross_validated_lasso(folds)
+    assert chosen.penalty == chosen.penalties[int(np.argmin(chosen.errors))]
+    data = np.array([(r.x, r.z, r.noise, r.y1, r.fold) for r in df.collect()])
+    k = int(np.argmin(chosen.errors))
+    errors = []
+    for fold in range(4):
+        rest, own = data[data[:, 4] != fold], data[data[:, 4] == fold]
+        w = linear.lasso_path(total - folds[fold], chosen.penalties[: k + 1])[-1]
+        b = rest[:, 3].mean() - rest[:, :3].mean(axis=0) @ w
+        errors.append(((own[:, 3] - own[:, :3] @ w - b) ** 2).mean())
+    assert chosen.errors[k] == pytest.approx(np.mean(errors))
+
+
+def test_linear_horizons_are_one_job_and_reload(spark):
+    df = frame(spark).withColumns({f"y{h}": F.col("x") * h + F.col("z") for h in range(2, 25)})
+    targets = {h: f"y{h}" for h in range(1, 25)}
+    configs = {h: models.ModelConfig("Linear", {}) for h in targets}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("linear", "24 horizons")
+    model, metadata = models.train_horizons(df, ["x", "z"], targets, configs)
+    jobs = len(tracker.getJobIdsForGroup("linear"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8 and metadata.count() == 24
+    path = scratch_path(spark, "models")
+    model.save(path)
+    again = models.MultiHorizonModel.load(path)
+    scored = models.score_split(again, df, "test", targets, ["pos"])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Vector" not in plan
+    worst = scored.where("horizon > 1").agg(F.max(F.abs(F.col("y") - F.col("yhat")))).first()[0]
+    assert worst < 1e-8
+
+
+def objective(family, point):
+    """A bowl per family; the least value lies in a corner of family B."""
+    if family == "A":
+        return 1.0 + abs(point["u"] - 0.5)
+    return abs(math.log10(point["rate"]) + 2.3) + 0.1 * abs(point["depth"] - 7)
+
+
+def test_search_beats_random_trials():
+    space = {"A": {"u": ("float", 0.0, 1.0)}, "B": {"rate": ("log", 1e-4, 1.0), "depth": ("int", 1, 12)}}
+    ours, chance = [], []
+    for seed in range(40):
+        log = []
+        searcher = search.Searcher(space, seed)
+        for _ in range(30):
+            family, point = searcher.propose(log)
+            log.append(search.Trial(family, point, objective(family, point)))
+        ours.append(min(t.score for t in log))
+        rng = random.Random(seed)
+        chance.append(min(objective(f, search.draw(space[f], rng)) for f in ["A", "B"] * 15))
+        assert searcher.propose(log) == search.Searcher(space, seed).propose(log)
+    assert sum(ours) < 0.75 * sum(chance)
+
+
+def test_stopped_trials_never_win(spark):
+    assert not search.is_poor(9.0, [1.0, 2.0]) and search.is_poor(2.5, [1.0, 2.0, 3.0]) and not search.is_poor(2.0, [1.0, 2.0, 3.0])
+    log = spark.createDataFrame(
+        [(1, 0, "Linear", {"regParam": "0.1"}, 2.0, 1.0, 1.0), (1, 1, "RandomForest", {"numTrees": "3"}, 1.0, 1.0, 1 / 9)], models.TRIAL_SCHEMA
+    )
+    assert models.best_configs(log)[1][0].family == "Linear"
+    worst = search.Trial("A", {"u": 0.1}, 0.0, 1 / 9)
+    good = [search.Trial("A", {"u": 0.9}, float(i)) for i in range(7)]
+    _, point = search.Searcher({"A": {"u": ("float", 0.0, 1.0)}}).propose([worst, *good])
+    assert point["u"] > 0.5

@@ -20,8 +20,8 @@ def test_every_oracle_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, sf, duck, name):
-    mine = QUERIES[name](spark, sf).toPandas()
-    assert check_oracles.compare(mine, duck.execute(ORACLES[name]).df()) == ""
+    mine = QUERIES[name](spark, sf).toArrow()
+    assert check_oracles.compare(mine, duck.execute(ORACLES[name]).to_arrow_table()) == ""
 
 
 def test_entry(spark):

@@ -76,3 +76,57 @@ def test_any_number_of_categories_and_empty_columns_in_state(spark):
     assert fitted["z"]["centre"] is None and fitted["x"]["centre"] == 2499.5
     clipper = state.IqrClipper(inputCols=["x", "z"]).fit(df)
     assert clipper.transform(df).where("z IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_rows_that_are_sorted_together_are_bounded(spark, by):
+    """Brackets are narrowed until they hold ``most`` rows, at both table sizes; values stay exact."""
+    from loomcast.operators import quantiles
+
+    rng = np.random.default_rng(9)
+    p, most = (0.0, 0.01, 0.5, 0.77, 1.0), 60
+    for n in (3000, 30_000):
+        sample = np.concatenate([rng.lognormal(0, 2, n), np.full(n // 2, 1.5), np.full(n // 10, -3.0)])
+        rows = [("a" if i % 3 else "b", float(v)) for i, v in enumerate(sample)]
+        df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+        places = [lambda m, nulls, q=q: (m - 1) * F.lit(q) for q in p]
+        ranks = {"x": quantiles.Ranks(places)}
+        data = df.withColumn("x__null", F.lit(False))
+        brackets = quantiles.brackets_of(data, ranks, by, accuracy=50, most=most)
+        targets = [quantiles._Target("x", i) for i in range(len(p))]
+        inside = quantiles._inside_rows(quantiles._marked(data, brackets, by), targets, by)
+        assert inside.groupBy(*by, "i").agg(F.sum("copies").alias("n")).agg(F.max("n")).first()[0] <= most
+        found = quantiles.exact_quantiles(df, ["x"], p, by, accuracy=50, most=most).collect()
+        for r in found:
+            own = [v for g, v in rows if not by or g == r["g"]]
+            assert r["value"] == pytest.approx(np.quantile(own, r["p"]), rel=1e-12), (n, r)
+
+
+def test_infinite_values_and_heavy_ties_are_ordered(spark):
+    values = [float("-inf")] * 40 + [0.0] * 500 + [1.0] * 7 + [2.0] * 500 + [float("inf")] * 30
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    p = (0.0, 0.01, 0.3, 0.505, 0.7, 0.99, 1.0)
+    for accuracy, most in ((20, 5), (10_000, 200_000)):
+        for r in exact_quantiles(df, ["x"], p, accuracy=accuracy, most=most).collect():
+            rank = (len(values) - 1) * r["p"]
+            left, right = values[int(rank)], values[int(np.ceil(rank))]
+            assert r["value"] == pytest.approx(left if left == right else left + (right - left) * (rank - int(rank)))
+
+
+@pytest.mark.parametrize("strategy", ["median", "mean"])
+@pytest.mark.parametrize("missing", [0, 1, 30, 250, 900])
+def test_fences_of_filled_columns_without_filling_them(spark, strategy, missing):
+    """Order statistics of the column as it is give the quartiles of the filled column."""
+    from loomcast.learning import state
+
+    rng = np.random.default_rng(missing)
+    known = np.round(rng.lognormal(0, 1, 400), 2)
+    df = spark.createDataFrame([(float(v),) for v in known] + [(None,)] * missing, "x double").repartition(4)
+    (s,) = state.fit_state(df, ["x"], strategy)
+    centre = np.median(known) if strategy == "median" else known.mean()
+    filled = np.concatenate([known, np.full(missing, centre)])
+    q1, q3 = np.quantile(filled, [0.25, 0.75])
+    assert s.centre == pytest.approx(centre)
+    assert (s.lower, s.upper) == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+    clipped = np.clip(filled, s.lower, s.upper)
+    assert (s.mean, s.std) == pytest.approx((clipped.mean(), clipped.std()))

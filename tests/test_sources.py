@@ -89,15 +89,24 @@ def test_scratch_follows_the_session_setting(spark):
     assert settled(hours(spark, [1.0]), "y").count() == 1
 
 
-def test_own_scratch_folder_where_nothing_is_set():
-    class Context:
-        applicationId = "app-without-setting"
+class WithoutSetting:
+    """A session that names no shared folder."""
 
-    class Session:
-        sparkContext = Context
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"applicationId": "app-without-setting", "master": master})
 
-        class conf:
-            get = staticmethod(lambda name, default: default)
+    class conf:
+        get = staticmethod(lambda name, default: default)
 
-    first, second = scratch_path(Session, "a"), scratch_path(Session, "a")
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]"])
+def test_own_scratch_folder_where_nothing_is_set(master):
+    session = WithoutSetting(master)
+    first, second = scratch_path(session, "a"), scratch_path(session, "a")
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://host", "local-cluster[3,2,1024]"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(WithoutSetting(master), "a")

@@ -95,11 +95,50 @@ def test_no_window_takes_a_whole_series(spark):
     df = hours(spark, [1.0, 2.0, 3.0]).drop("series_id")
     out = add_lags(df, SeriesShape(key=(), step=3600, chunk_rows=2), {"temp": (1,)})
     lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
-    lagged = next(i for i, line in enumerate(lines) if "Window [lag(" in line)
-    exchange = next(line for line in lines[lagged:] if "Exchange" in line)
-    assert "hashpartitioning(__chunk" in exchange
+    windows = [i for i, line in enumerate(lines) if "Window [lag(" in line]
+    exchanges = [next(line for line in lines[i:] if "Exchange" in line) for i in windows]
+    assert len(exchanges) == 2 and "hashpartitioning(__bucket" in exchanges[0] and "hashpartitioning(__chunk" in exchanges[1]
     gathered = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert all("__size" in lines[i + 1] or "__bucket" in lines[i + 1] for i in gathered)
+    assert gathered and all("__size" in lines[i + 1] or "__bucket" in lines[i + 1] for i in gathered)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def row_shuffles(plan):
+    """Shuffles by series and bucket that are run, not read again."""
+    return [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+
+
+@pytest.mark.parametrize("numbered", [False, True])
+def test_rows_are_shuffled_once_and_not_stored(spark, sf, numbered):
+    """All branches read one shuffle by series and bucket; the input is scanned once."""
+    from loomcast.plans.panels import hourly_panel
+
+    panel = hourly_panel(spark, sf).select("series_id", "ts", "temp")
+    out = over_chunks(panel, HOURLY.with_chunk(64), lambda w: [F.lag("temp", 3).over(w).alias("l")], back=3, numbered=numbered)
+    plan = final_plan(out)
+    assert plan.count("FileScan parquet") == 1 and "events.parquet" in plan
+    assert len(row_shuffles(plan)) == 1
+    assert plan.count("ReusedExchange") >= 2
+
+
+def test_a_chunk_of_one_row_and_empty_input(spark):
+    df = hours(spark, [float(i) for i in range(9)], step=700)
+    out = over_chunks(df, HOURLY.with_chunk(1), lambda w: [F.lag("temp", 4).over(w).alias("l"), F.lead("temp", 2).over(w).alias("n")], 4, 2, True)
+    assert ordered(out, "pos", "series_rows", "l", "n") == [
+        (i, 9, float(i - 4) if i > 3 else None, float(i + 2) if i < 7 else None) for i in range(9)
+    ]
+    assert over_chunks(df.where("false"), HOURLY, lambda w: [F.lag("temp", 4).over(w).alias("l")], 4).count() == 0
+
+
+def test_rows_without_time_come_first(spark):
+    rows = [("a", None, 9.0), *[("a", START + timedelta(hours=i), float(i)) for i in range(5)]]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, temp double")
+    out = over_chunks(df, HOURLY.with_chunk(2), lambda w: [F.lag("temp", 1).over(w).alias("l")], 1, numbered=True)
+    assert ordered(out, "temp", "pos", "l", by="pos") == [(9, 0, None), (0, 1, 9), (1, 2, 0), (2, 3, 1), (3, 4, 2), (4, 5, 3)]
 
 
 def test_split_sizes_are_truncated(spark):
@@ -160,14 +199,14 @@ def test_decomposition_of_trend_and_week(spark):
     assert decompose(hours(spark, [1.0] * 13), HOURLY).count() == 0
 
 
-def test_input_of_windows_is_read_once(spark, sf):
-    """What is left to run reads the ranked rows and their bucket sizes, never the input again."""
+@pytest.mark.parametrize("name", ["wn01_lag", "wn03_trailing_mean", "wn06_lead_targets", "wn08_chronological_split", "ud03_hourly_features"])
+def test_input_of_windows_is_read_once(spark, sf, name):
+    """One scan and one shuffle of the rows, which all branches share; nothing is stored before."""
     from loomcast.plans.queries import QUERIES
 
-    plan = QUERIES["wn01_lag"](spark, sf)._jdf.queryExecution().executedPlan().toString()
-    assert "events.parquet" not in plan
-    assert plan.count("FileScan parquet") == 2
-    assert "HashAggregate" not in plan
+    plan = final_plan(QUERIES[name](spark, sf))
+    assert plan.count("FileScan parquet") == 1
+    assert len(row_shuffles(plan)) == 1
 
 
 def test_time_range_of_an_hourly_panel_reaches_the_scan(spark, sf):
