@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,39 +28,62 @@ def forecast_metrics(pairs: DataFrame, by: Sequence[str] = ("horizon",), y: str
 
 @dataclass(frozen=True)
 class Pairing:
-    """An actual and a forecast column of a wide row; rows where either is null do not count."""
+    """Columns of an actual and a forecast in a wide row, on the rows of some splits."""
 
-    labels: Mapping[str, object]
-    y: Column
-    yhat: Column
+    labels: Mapping[str, int | str]
+    y: str
+    yhat: str
+    splits: tuple[str, ...]
 
 
-MEASURES = ("mae", "rmse", "mape", "r2", "n_samples")
+SUMS = ("n", "absolute", "square", "relative", "nonzero", "total", "total_square")
 
 
-def paired_metrics(df: DataFrame, pairings: Sequence[Pairing], measures: Sequence[str] = MEASURES) -> DataFrame:
-    """``forecast_metrics`` of every pairing from one aggregate: labels, then the measures.
+def _sums_of_pairs(pairings: Sequence[Pairing]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums of errors per pairing over the rows of a partition; a row is read once for all pairings."""
 
-    Each row is read once and never repeated per horizon or candidate; the sums, one row in all,
-    are unfolded to one row per pairing. A pairing without rows has n_samples 0 and null errors.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((len(pairings), len(SUMS)))
+        for batch in batches:
+            values = {c: batch.column(c).fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "split"}
+            known = {c: batch.column(c).is_valid().to_numpy(zero_copy_only=False) for c in values}
+            split = batch.column("split").to_numpy(zero_copy_only=False)
+            inside = {parts: np.isin(split, parts) for parts in {p.splits for p in pairings}}
+            for i, p in enumerate(pairings):
+                use = inside[p.splits] & known[p.y] & known[p.yhat]
+                y = values[p.y][use]
+                error = np.abs(y - values[p.yhat][use])
+                some = y != 0
+                relative = (error[some] / np.abs(y[some])).sum()
+                held[i] += (len(y), error.sum(), (error * error).sum(), relative, some.sum(), y.sum(), (y * y).sum())
+        arrays = [pa.array(np.arange(len(pairings), dtype=np.int32)), *map(pa.array, np.ascontiguousarray(held.T))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["i", *SUMS])
+
+    return run
+
+
+def paired_metrics(df: DataFrame, pairings: Sequence[Pairing]) -> DataFrame:
+    """``forecast_metrics`` of every pairing from one pass: labels, then the measures.
+
+    ``df`` has ``split`` and the columns of the pairings. A task gives one row of sums per
+    pairing, so no row is repeated per horizon and candidate. A pairing without rows has none.
     """
-    sums: list[Column] = []
-    rows = []
-    for i, pairing in enumerate(pairings):
-        error = pairing.y - pairing.yhat
-        known = F.when(error.isNotNull(), pairing.y)
-        squares = F.sum(error * error)
-        of = {
-            "mae": F.avg(F.abs(error)),
-            "rmse": F.sqrt(F.avg(error * error)),
-            "mape": 100 * F.avg(F.abs(F.try_divide(error, pairing.y))),
-            "r2": 1 - F.try_divide(squares, F.count(error) * F.var_pop(known)),
-            "n_samples": F.count(error),
-        }
-        sums += [of[m].alias(f"{m}_{i}") for m in measures]
-        labels = [F.lit(v).alias(k) for k, v in pairing.labels.items()]
-        rows.append(F.struct(*labels, *[F.col(f"{m}_{i}").alias(m) for m in measures]))
-    return df.agg(*sums).select(F.inline(F.array(*rows)))
+    columns = list(dict.fromkeys(c for p in pairings for c in (p.y, p.yhat)))
+    rows = df.select("split", *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    # Columns such as those of t+1 have no dots or quotes, as Python tasks need it.
+    sums = rows.mapInArrow(_sums_of_pairs(pairings), "i int, " + ", ".join(f"{c} double" for c in SUMS))
+    total = sums.groupBy("i").agg(*[F.sum(c).alias(c) for c in SUMS]).where("n > 0")
+    spread = F.col("total_square") - F.col("total") * F.col("total") / F.col("n")
+    named = df.sparkSession.createDataFrame([(i, *p.labels.values()) for i, p in enumerate(pairings)], ["i", *pairings[0].labels])
+    whole = [F.col(k).cast("int").alias(k) if isinstance(v, int) else F.col(k) for k, v in pairings[0].labels.items()]
+    return named.join(total, "i").select(
+        *whole,
+        (F.col("absolute") / F.col("n")).alias("mae"),
+        F.sqrt(F.col("square") / F.col("n")).alias("rmse"),
+        (100 * F.try_divide("relative", "nonzero")).alias("mape"),
+        (1 - F.try_divide(F.col("square"), spread)).alias("r2"),
+        F.col("n").cast("long").alias("n_samples"),
+    )
 
 
 def average_metrics(metrics: DataFrame) -> DataFrame:

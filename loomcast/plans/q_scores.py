@@ -25,7 +25,7 @@ NAIVE = (
 
 
 def _label(horizon: int) -> str:
-    return f"`{target_name('temp', horizon)}`"
+    return target_name("temp", horizon)
 
 
 def naive_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,9 +41,8 @@ def naive_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def trial_pairings(**labels: str) -> list[Pairing]:
     """Every horizon with every naive forecast, on the dev rows."""
-    of_dev = lambda c: F.when(F.col("split") == "dev", F.col(c))
     return [
-        Pairing({**labels, "horizon": h, "trial": i, "model": m, "params": p}, of_dev(_label(h)), of_dev(c))
+        Pairing({**labels, "horizon": h, "trial": i, "model": m, "params": p}, _label(h), c, ("dev",))
         for h in HOURLY_HORIZONS
         for i, (m, p, c) in enumerate(NAIVE)
     ]
@@ -52,7 +51,8 @@ def trial_pairings(**labels: str) -> list[Pairing]:
 def naive_trials(spark: SparkSession, folder: str) -> DataFrame:
     """Trial log ``(horizon, trial, model, params, rmse, mae)`` scored on the dev rows."""
     rows = naive_rows(spark, folder).where("split = 'dev'")
-    return paired_metrics(rows, trial_pairings(), ("rmse", "mae")).where("rmse IS NOT NULL")
+    scored = paired_metrics(rows, trial_pairings())
+    return scored.select("horizon", "trial", "model", "params", "rmse", "mae")
 
 
 def naive_summary(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -60,10 +60,8 @@ def naive_summary(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     nothing = {"trial": -1, "model": "", "params": ""}
     counted, tested = [], []
     for h in HOURLY_HORIZONS:
-        fitted = F.when(F.col("split").isin("train", "dev"), F.col(_label(h)))
-        counted.append(Pairing({"part": "training", "horizon": h, **nothing}, fitted, fitted))
-        scored = F.when(F.col("split") == "test", F.col(_label(h)))
-        tested.append(Pairing({"part": "test", "horizon": h, **nothing}, scored, F.col("temp")))
+        counted.append(Pairing({"part": "training", "horizon": h, **nothing}, _label(h), _label(h), ("train", "dev")))
+        tested.append(Pairing({"part": "test", "horizon": h, **nothing}, _label(h), "temp", ("test",)))
     all_ = paired_metrics(naive_rows(spark, folder), [*trial_pairings(part="trial"), *counted, *tested])
     # One row per pairing, read three times.
     all_ = settled(all_, "naive-summary")
