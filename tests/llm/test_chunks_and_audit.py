@@ -155,6 +155,32 @@ def test_audit_shuffles_numbers_only(mixed):
     assert "term" not in plan.columns
 
 
+def test_audit_writes_a_term_once_per_language(spark, monkeypatch, capsys):
+    """Counts of a term in many sources share its string, and strings are shuffled without digests."""
+    made, plans, settled = {}, {}, term_audit.settled
+
+    def seen(df, label):
+        df.explain()
+        plans[label] = capsys.readouterr().out
+        made[label] = settled(df, label)
+        return made[label]
+
+    monkeypatch.setattr(term_audit, "settled", seen)
+    rows = [("wald und wiese " * (1 + i % 3), "de" if i % 2 else "nl", f"s{i % 30}") for i in range(240)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sorted(tuple(r) for r in term_audit.audit_sources(df).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found == brute_audit(rows)
+    assert made["audit-counts"].count() == 2 * 3
+    assert "digest" not in made["audit-counts"].columns
+    assert "hashpartitioning(xxhash64(term" in plans["audit-strings"]
+    assert plans["audit-strings"].count("Exchange ") == 2
+
+
 def test_chance_beyond_64_bits(spark):
     n = 10**12
     df = spark.range(1).select(F.lit(n).alias("n"), F.lit(3 * n).alias("total"), F.lit(7).cast("long").alias("v"))
